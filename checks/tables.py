@@ -24,14 +24,19 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def collection(spark: SparkSession, sf: str) -> DataFrame:
     """All documents; the stored vector where there is one, else a hash embedding."""
-    docs = table(spark, sf, "documents")
-    stored = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    labels = table(spark, sf, "labels")
-    joined = docs.join(stored, "doc_id", "left").join(labels, "doc_id", "left")
-    return joined.select(
+    docs = described(spark, sf)
+    stored = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    joined = docs.join(stored, "id", "left")
+    own = F.coalesce("embedding", hash_embedding(F.col("content"), DIM))
+    return joined.select("id", "content", own.alias("embedding"), "metadata")
+
+
+def described(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with their metadata, without vectors."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("content"),
-        F.coalesce("embedding", hash_embedding(F.col("text"), DIM)).alias("embedding"),
         encode(
             "lang", "source", "n_chars", "quality", "toxic",
             F.array("lang", "source").alias("tags"),

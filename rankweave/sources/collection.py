@@ -64,9 +64,9 @@ class Collection:
         chosen = live if only is None else {b: live[b] for b in only if b in live}
         schema = _schema(self.spec, self.id_type)
         if not chosen:
-            return self.spark.createDataFrame([], schema.add("bucket", "int"))
+            return self.spark.createDataFrame([], schema.add("bucket", T.IntegerType()))
         paths = [f"{self.path}/rows/version={v}/bucket={b}" for b, v in sorted(chosen.items())]
-        whole = schema.add("version", "long").add("bucket", "int")
+        whole = schema.add("version", T.LongType()).add("bucket", T.IntegerType())
         files = self.spark.read.schema(whole).option("basePath", f"{self.path}/rows")
         return files.parquet(*paths).drop("version")
 
@@ -103,7 +103,7 @@ class Collection:
         # Rebalancing splits a bucket that is too large for one task.
         balanced = rows.withColumn("bucket", self._bucket(F.col(self.spec.id))).hint("rebalance", "bucket")
         balanced.write.mode("overwrite").partitionBy("bucket").parquet(target)
-        whole = _schema(self.spec, self.id_type).add("bucket", "int")
+        whole = _schema(self.spec, self.id_type).add("bucket", T.IntegerType())
         written = set(self._buckets_of(self.spark.read.schema(whole).parquet(target)))
         log = self.spark.createDataFrame([(version, b, b in written) for b in sorted(touched)], _COMMITS)
         log.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
