@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rankweave.functions.metadata import encode
 from rankweave.functions.vectors import hash_embedding
 from rankweave.operators.sparse import Bm25Index
-from rankweave.runtime import scratch_path
+from rankweave.runtime import scratch_path, spread
 from rankweave.sources.indexes import load_bm25_index, save_bm25_index
 from rankweave.spec import Bm25Params
 
@@ -33,7 +33,8 @@ def collection(spark: SparkSession, sf: str) -> DataFrame:
 
 def described(spark: SparkSession, sf: str) -> DataFrame:
     """All documents with their metadata, without vectors."""
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    docs = spread(table(spark, sf, "documents"), "doc_id")
+    labels = table(spark, sf, "labels")
     return docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("content"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,54 +50,64 @@ def distance(a: Column, b: Column, metric: DistanceStrategy) -> Column:
     return inner_product(a, b)
 
 
-def _digest_bytes(text: Column) -> Column:
-    """The 32 bytes of sha256(text) as an array of integers."""
-    digest = F.sha2(text, 256)
-    return F.array(
-        *[F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("int") for i in range(32)]
-    )
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once a row and use it several times in ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _unit(values: Column) -> Column:
-    """Scale to length one; a zero vector stays as it is."""
-    # The norm rides along as the last item, so that it is computed once a row.
-    with_norm = F.aggregate(
-        values,
-        F.struct(F.lit(0.0).alias("sq"), values.alias("v")),
-        lambda acc, x: F.struct((acc["sq"] + x * x).alias("sq"), acc["v"].alias("v")),
-        lambda acc: F.transform(
-            acc["v"],
-            lambda x: F.coalesce(F.try_divide(x, F.sqrt(acc["sq"])), x),
-        ),
-    )
-    return with_norm.cast("array<float>")
+def _byte(digest: Column, i: int) -> Column:
+    return F.conv(F.substring(digest, 2 * i + 1, 2), 16, 10).cast("int")
+
+
+def _scaled(values: Column, length: Column) -> Column:
+    """Divide by the length; a zero vector stays as it is."""
+    return F.when(length > 0, F.transform(values, lambda x: x / length)).otherwise(values)
 
 
 def hash_embedding(text: Column, dim: int) -> Column:
     """Deterministic embedding of a text from its sha256 digest.
 
-    The digest bytes are repeated up to ``dim`` values, mapped from [0, 255]
-    to [-1, 1] and scaled to length one. It carries no meaning; it serves
+    The 32 digest bytes are mapped from [0, 255] to [-1, 1], repeated up to
+    ``dim`` values and scaled to length one. It carries no meaning; it serves
     wherever a reproducible stand-in for a model is wanted.
     """
-    copies = -(-dim // 32)
-    cycled = F.slice(F.flatten(F.array_repeat(_digest_bytes(text), copies)), 1, dim)
-    return _unit(F.transform(cycled, lambda b: b / F.lit(255.0) * 2 - 1))
+    rounds, rest = divmod(dim, 32)
+
+    def squares(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x * x)
+
+    def unit(values: Column) -> Column:
+        total = squares(values) * rounds + squares(F.slice(values, 1, rest))
+        return _let(F.sqrt(total), lambda length: _scaled(values, length))
+
+    def repeated(values: Column) -> Column:
+        return F.slice(F.flatten(F.array_repeat(values, rounds + 1)), 1, dim)
+
+    def values(digest: Column) -> Column:
+        return F.array(*[_byte(digest, i) / F.lit(255.0) * 2 - 1 for i in range(32)])
+
+    built = _let(F.sha2(text, 256), lambda digest: _let(values(digest), unit))
+    return repeated(built.cast("array<float>"))
 
 
 def positional_hash_embedding(text: Column, dim: int) -> Column:
     """Hash embedding whose values also depend on their position."""
-    copies = -(-(dim + 1) // 32)
-    cycled = F.slice(F.flatten(F.array_repeat(_digest_bytes(text), copies)), 1, dim + 1)
 
-    pairs = F.zip_with(
-        F.slice(cycled, 1, dim),
-        F.slice(cycled, 2, dim),
-        lambda here, after: F.struct(here.alias("here"), after.alias("after")),
-    )
+    def swung(numbers: Column) -> Column:
+        def value(i: Column) -> Column:
+            here, after = F.get(numbers, i % 32), F.get(numbers, (i + 1) % 32)
+            swing = F.lit(0.5) + F.lit(0.5) * ((i + after) % 100) / 100
+            return (here / F.lit(255.0) * 2 - 1) * swing
 
-    def value(pair: Column, i: Column) -> Column:
-        swing = F.lit(0.5) + F.lit(0.5) * ((i + pair["after"]) % 100) / 100
-        return (pair["here"] / F.lit(255.0) * 2 - 1) * swing
+        return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), value)
 
-    return _unit(F.transform(pairs, value))
+    def unit(values: Column) -> Column:
+        return _let(vector_norm(values), lambda length: _scaled(values, length))
+
+    built = _let(
+        F.sha2(text, 256),
+        lambda digest: _let(
+            F.array(*[_byte(digest, i) for i in range(32)]), lambda numbers: _let(swung(numbers), unit)
+        ),
+    )
+    return built.cast("array<float>")

@@ -217,11 +217,11 @@ def scan_with_block(
     """
     schema = _result_schema(queries, docs)
     id_type = to_arrow_type(schema["id"].dataType)
-    shared = docs.sparkSession.sparkContext.broadcast((block, probes))
+    shared = docs.sparkSession.sparkContext.broadcast((block.ids, block.vectors, probes))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries_here, lists = shared.value
-        nearest = NearestRows(queries_here.vectors, k, metric)
+        query_ids, query_vectors, lists = shared.value
+        nearest = NearestRows(query_vectors, k, metric)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -235,7 +235,7 @@ def scan_with_block(
                 nearest.add(vectors[rows], ids[rows], np.flatnonzero(lists[:, list_id]))
         context = TaskContext.get()
         group = context.partitionId() % _MERGE_GROUPS if context else 0
-        yield _as_batch(nearest, queries_here.ids, id_type, group)
+        yield _as_batch(nearest, query_ids, id_type, group)
 
     return docs.mapInArrow(scan, schema)
 

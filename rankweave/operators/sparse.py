@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankweave.functions.text import Analyzer, analyzer
 from rankweave.operators.filters import Filter, apply_filter
@@ -39,39 +43,46 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def term_counts(texts: DataFrame, key: str, text: str, analyze: Analyzer) -> DataFrame:
-    """Terms of each text with their count and the text's length in tokens.
-
-    The counting stays inside the row: tokens are sorted and the ends of equal
-    runs give the counts, so a text of any length costs no shuffle.
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (id, tokens) to batches (term, id, tf, dl)."""
+    for batch in batches:
+        ids, tokens = batch.column(0), batch.column(1)
+        lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        words = tokens.flatten().dictionary_encode()
+        if len(words) == 0:
+            continue
+        size = len(words.dictionary)
+        owner = np.repeat(np.arange(batch.num_rows), lengths)
+        pairs, counts = np.unique(owner * size + words.indices.to_numpy(), return_counts=True)
+        owner = pairs // size
+        yield pa.RecordBatch.from_arrays(
+            [
+                words.dictionary.take(pa.array(pairs % size)),
+                ids.take(pa.array(owner)),
+                pa.array(counts.astype(np.int32)),
+                pa.array(lengths[owner].astype(np.int32)),
+            ],
+            names=["term", "id", "tf", "dl"],
+        )
+
+
+def term_counts(docs: DataFrame, spec: CollectionSpec, analyze: Analyzer) -> DataFrame:
+    """(term, id, tf, dl): the terms of each document, how often it has them,
+    and its length in tokens.
+
+    A document is one row, so its terms are counted where it is read, without
+    a shuffle, a batch of documents at a time.
     """
-    tokens = texts.select(F.col(key), analyze(F.col(text)).alias("tokens"))
-    ordered = tokens.select(key, F.sort_array("tokens").alias("tokens"))
-    ends = ordered.where(F.size("tokens") > 0).select(
-        key,
-        "tokens",
-        F.filter(
-            F.sequence(F.lit(1), F.size("tokens")),
-            lambda i: F.coalesce(
-                F.get(F.col("tokens"), i) != F.get(F.col("tokens"), i - 1), F.lit(True)
-            ),
-        ).alias("ends"),
-    )
-    runs = ends.select(
-        key,
-        F.size("tokens").alias("dl"),
-        F.inline(
-            F.zip_with(
-                F.col("ends"),
-                F.concat(F.array(F.lit(0)), F.col("ends")),
-                lambda end, start: F.struct(
-                    F.get(F.col("tokens"), end - 1).alias("term"), (end - start).alias("tf")
-                ),
-            )
-        ),
+    tokens = docs.select(F.col(spec.id).alias("id"), analyze(F.col(spec.content)).alias("tokens"))
+    schema = T.StructType(
+        [
+            T.StructField("term", T.StringType()),
+            T.StructField("id", docs.schema[spec.id].dataType),
+            T.StructField("tf", T.IntegerType()),
+            T.StructField("dl", T.IntegerType()),
+        ]
     )
-    # zip_with pads the shorter side; the padding has no term.
-    return runs.where(F.col("term").isNotNull()).select("term", key, "tf", "dl")
+    return tokens.mapInArrow(_count_terms, schema)
 
 
 def build_bm25_index(
@@ -79,7 +90,7 @@ def build_bm25_index(
 ) -> Bm25Index:
     """Index over all documents, as lazy tables; save them to search often."""
     analyze = analyzer(params.text_config)
-    postings = term_counts(docs, spec.id, spec.content, analyze).withColumnRenamed(spec.id, "id")
+    postings = term_counts(docs, spec, analyze)
     lengths = docs.select(F.size(analyze(F.col(spec.content))).alias("dl"))
     return Bm25Index(postings, document_frequencies(postings), length_stats(lengths), params, analyze)
 
@@ -106,7 +117,7 @@ def refresh_bm25_index(
     """
     gone = removed.select(F.col(spec.id).alias("id")).distinct()
     kept = index.postings.join(broadcast_if_small(gone), "id", "left_anti")
-    new = term_counts(added, spec.id, spec.content, index.analyze).withColumnRenamed(spec.id, "id")
+    new = term_counts(added, spec, index.analyze)
     postings = kept.select("term", "id", "tf", "dl").unionByName(new)
     counted = remaining.agg(F.count("*").alias("n_docs"))
     total = postings.agg(F.sum("tf").alias("total")).scalar()
@@ -116,9 +127,8 @@ def refresh_bm25_index(
 
 def query_terms(queries: DataFrame, analyze: Analyzer) -> DataFrame:
     """(query_id, term, qtf): a term that a query repeats counts each time."""
-    return term_counts(queries, "query_id", "query_text", analyze).select(
-        "query_id", "term", F.col("tf").alias("qtf")
-    )
+    terms = queries.select("query_id", F.explode(analyze(F.col("query_text"))).alias("term"))
+    return terms.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
 def inverse_document_frequency(n_docs: Column, df: Column) -> Column:
@@ -146,18 +156,21 @@ def bm25_topk(
     """
     params = index.params
     wanted = query_terms(queries.select("query_id", "query_text"), index.analyze)
-    keys = ["term"]
+    keys, postings, terms = ["term"], index.postings, index.terms
     if index.buckets:
-        # A saved index is partitioned by term bucket: joining on the bucket as
-        # well lets Spark skip the partitions in which no query term lies.
+        # A saved index is partitioned by term bucket, and read only where the
+        # query terms lie.
         keys = ["term_bucket", "term"]
         wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
+        used = [row[0] for row in wanted.select("term_bucket").distinct().collect()]
+        postings = postings.where(F.col("term_bucket").isin(used))
+        terms = terms.where(F.col("term_bucket").isin(used))
     # The other two query-side tables have no more rows than this one.
     small = is_small(wanted, F.octet_length("term"))
     hint = F.broadcast if small else (lambda side: side)
 
     vocabulary = wanted.select(*keys).distinct()
-    matched = index.postings.join(hint(vocabulary), keys, "left_semi")
+    matched = postings.join(hint(vocabulary), keys, "left_semi")
 
     # One shuffle by document: all terms of a document meet in one task, so the
     # sums below need no further one. A frequent term spreads over all tasks.
@@ -171,7 +184,7 @@ def bm25_topk(
     n_docs = index.stats.select("n_docs").scalar()
     avg_dl = index.stats.select("avg_dl").scalar()
     idf = inverse_document_frequency(n_docs, F.col("df"))
-    weights = index.terms.join(hint(wanted), keys).select(
+    weights = terms.join(hint(wanted), keys).select(
         "query_id", "term", (F.col("qtf") * idf).alias("weight")
     )
     part = F.col("weight") * term_score(F.col("tf"), F.col("dl"), avg_dl, params.k1, params.b)

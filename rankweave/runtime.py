@@ -45,6 +45,16 @@ def few_results(queries: DataFrame, k: int) -> bool:
     return queries.select("query_id").limit(most + 1).count() <= most
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table of few files over all cores, by the given keys.
+
+    A file with a single row group is one task, whatever work each row makes.
+    A table of as many files as cores, as on a cluster, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that every executor can reach.
 

@@ -40,7 +40,7 @@ def save_bm25_index(
     spark = docs.sparkSession
     docs = docs.where(F.expr(where)) if where else docs
     analyze = analyzer(params.text_config)
-    postings = term_counts(docs, spec.id, spec.content, analyze).withColumnRenamed(spec.id, "id")
+    postings = term_counts(docs, spec, analyze)
     bucketed = postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     _write_by(bucketed, "term_bucket", ["term"], f"{path}/postings")
     _finish_bm25(spark, path, docs.count(), params, buckets)
