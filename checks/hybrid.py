@@ -10,6 +10,7 @@ from checks.tables import (
     bm25_index,
     collection,
     sentence_qrels,
+    stored_qrels,
     sql_bm25,
     sql_dense,
     sql_sparse,
@@ -111,7 +112,7 @@ def qrels(spark, sf):
 
 
 def _per_query(spark, sf):
-    pairs = sentence_qrels(spark, sf)
+    pairs = stored_qrels(spark, sf)
     return query_metrics(mark_relevant(_swept(spark, sf), pairs), relevant_counts(pairs), configs=NAMES)
 
 
@@ -121,7 +122,7 @@ def metrics_at_k(spark, sf):
 
 
 def mean_metrics_table(spark, sf):
-    pairs, asked = sentence_qrels(spark, sf), text_queries(spark, sf)
+    pairs, asked = stored_qrels(spark, sf), text_queries(spark, sf)
     means = evaluate(_swept(spark, sf), pairs, asked, configs=NAMES)
     names = ("recall", "precision", "ndcg", "mrr", "map")
     return means.select("config", "k", *[F.round(n, 6).alias(n) for n in names])

@@ -8,7 +8,7 @@ from checks.tables import (
     DIM,
     SQL_QRELS,
     collection,
-    sentence_qrels,
+    stored_qrels,
     sql_hash_embedding,
     table,
 )
@@ -236,7 +236,7 @@ def stream_ingest(spark, sf):
 
 
 def _similarities(spark, sf):
-    pairs = sentence_qrels(spark, sf)
+    pairs = stored_qrels(spark, sf)
     items = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     docs = table(spark, sf, "documents").select("doc_id", "text")
     sample = sample_queries(pairs, items)

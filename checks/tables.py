@@ -64,6 +64,19 @@ def vector_queries(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@cache
+def _saved_qrels(app: str, sf: str) -> str:
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "qrels")
+    sentence_qrels(spark, sf).write.parquet(path)
+    return path
+
+
+def stored_qrels(spark: SparkSession, sf: str) -> DataFrame:
+    """The sentence judgments as a stored table, written once in an application."""
+    return spark.read.parquet(_saved_qrels(spark.sparkContext.applicationId, sf))
+
+
 def sentence_qrels(spark: SparkSession, sf: str) -> DataFrame:
     """A document is relevant to a benchmark item when they share a sentence."""
 

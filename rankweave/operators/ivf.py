@@ -78,7 +78,7 @@ def build_ivf(
     sample = docs.select(features.alias("features"))
     if total > wanted:
         sample = sample.sample(fraction=min(1.0, 1.1 * wanted / total), seed=params.seed)
-    model = KMeans(k=params.lists, seed=params.seed, maxIter=15, initSteps=2).fit(sample)
+    model = KMeans(k=params.lists, seed=params.seed, maxIter=10, initSteps=2).fit(sample)
 
     centers = np.stack(model.clusterCenters())
     assigned = (

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from rankweave.functions.text import Analyzer, analyzer
 from rankweave.operators.filters import Filter, apply_filter
 from rankweave.operators.topk import top_per_query
-from rankweave.runtime import broadcast_if_small, is_small
+from rankweave.runtime import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small, size_of
 from rankweave.spec import DEFAULT_K, Bm25Params, CollectionSpec
 
 # Scores are added up as whole multiples of 1 / SCORE_SCALE. A sum then does not
@@ -156,18 +156,22 @@ def bm25_topk(
     """
     params = index.params
     wanted = query_terms(queries.select("query_id", "query_text"), index.analyze)
-    keys, postings, terms = ["term"], index.postings, index.terms
+    keys, postings = ["term"], index.postings
     if index.buckets:
         # A saved index is partitioned by term bucket, and read only where the
-        # query terms lie.
+        # query terms lie. One job finds these buckets and the size of the terms.
         keys = ["term_bucket", "term"]
         wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
-        used = [row[0] for row in wanted.select("term_bucket").distinct().collect()]
-        postings = postings.where(F.col("term_bucket").isin(used))
-        terms = terms.where(F.col("term_bucket").isin(used))
-    # The other two query-side tables have no more rows than this one.
-    small = is_small(wanted, F.octet_length("term"))
+        lies_in = F.collect_set("term_bucket")
+    else:
+        lies_in = F.lit(None)
+    width = F.octet_length("term") + 64
+    rows, size, used = wanted.limit(MAX_BROADCAST_ROWS + 1).agg(*size_of(width), lies_in).first()
+    small = rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
+    # The other query-side tables have no more rows than this one.
     hint = F.broadcast if small else (lambda side: side)
+    if index.buckets and small:
+        postings = postings.where(F.col("term_bucket").isin(used))
 
     vocabulary = wanted.select(*keys).distinct()
     matched = postings.join(hint(vocabulary), keys, "left_semi")
@@ -175,6 +179,13 @@ def bm25_topk(
     # One shuffle by document: all terms of a document meet in one task, so the
     # sums below need no further one. A frequent term spreads over all tasks.
     matched = matched.select("id", "term", "tf", "dl").repartition("id")
+    if index.buckets:
+        terms = index.terms.where(F.col("term_bucket").isin(used)) if small else index.terms
+    else:
+        # Counted over the rows just shuffled, before the filter: the texts are
+        # not read again. All columns are named so that the shuffle is the same.
+        whole = (F.col("tf") > 0) & (F.col("dl") > 0) & F.col("id").isNotNull()
+        terms = matched.groupBy("term").agg(F.count_if(whole).alias("df"))
     if filter is not None:
         if docs is None:
             raise ValueError("a filter needs the documents it is about")

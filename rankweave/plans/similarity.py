@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankweave.runtime import broadcast_if_small
-
 # Sample size, seed, and the edges 0 .. 1 of the histogram.
 SAMPLE_QUERIES = 500
 SAMPLE_SEED = 42
@@ -24,7 +22,10 @@ def seeded_hash(column: Column, seed: int) -> Column:
 
 
 def sample_queries(qrels: DataFrame, queries: DataFrame, n: int = SAMPLE_QUERIES, seed: int = SAMPLE_SEED) -> DataFrame:
-    """n judged queries that exist, in seeded order: (query_id)."""
+    """n judged queries that exist, in seeded order: (query_id).
+
+    The sample is broadcast below: n bounds it.
+    """
     judged = qrels.select("query_id").distinct().join(queries, "query_id", "left_semi")
     order = [seeded_hash(F.col("query_id"), seed), F.col("query_id")]
     return judged.orderBy(*order).limit(n)
@@ -32,7 +33,7 @@ def sample_queries(qrels: DataFrame, queries: DataFrame, n: int = SAMPLE_QUERIES
 
 def positive_pairs(sample: DataFrame, qrels: DataFrame) -> DataFrame:
     """One relevant document for each sampled query: (query_id, doc_id)."""
-    relevant = qrels.join(broadcast_if_small(sample), "query_id", "left_semi")
+    relevant = qrels.join(F.broadcast(sample), "query_id", "left_semi")
     return relevant.groupBy("query_id").agg(F.min("doc_id").alias("doc_id"))
 
 
@@ -63,7 +64,7 @@ def negative_pairs(sample: DataFrame, qrels: DataFrame, docs: DataFrame, seed: i
     the list has to be no longer than the largest such number.
     """
     relevant = qrels.select("query_id", "doc_id").distinct().join(
-        broadcast_if_small(sample), "query_id", "left_semi"
+        F.broadcast(sample), "query_id", "left_semi"
     )
     counts = relevant.groupBy("query_id").agg(F.count("*").alias("n_rel"))
     most, sampled = counts.agg(F.coalesce(F.max("n_rel"), F.lit(0)), F.count("*")).first()
@@ -72,14 +73,14 @@ def negative_pairs(sample: DataFrame, qrels: DataFrame, docs: DataFrame, seed: i
     if size <= MAX_SORTED_LIST:
         ids = ids.orderBy(seeded_hash(F.col("doc_id"), seed), "doc_id").limit(size)
     listed = _numbered(ids, seed)
-    length = listed.count()
+    length = ids.count()
     digits = F.substring(seeded_hash(F.col("query_id"), seed), 1, 8)
     start = F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(length))
     steps = F.explode(F.sequence(F.lit(0), F.col("n_rel").cast("int"))).alias("step")
     tries = counts.select("query_id", start.alias("start"), steps).select(
         "query_id", "step", F.pmod(F.col("start") + F.col("step"), F.lit(length)).alias("place")
     )
-    tried = tries.join(broadcast_if_small(listed), "place")
+    tried = tries.join(F.broadcast(listed) if size <= MAX_SORTED_LIST else listed, "place")
     free = tried.join(relevant, ["query_id", "doc_id"], "left_anti")
     return free.groupBy("query_id").agg(F.min_by("doc_id", "step").alias("doc_id"))
 

@@ -25,15 +25,15 @@ def is_small(
     variable part of a row; 64 bytes are added for the rest.
     """
     size = F.lit(64) if width is None else F.coalesce(width, F.lit(0)) + 64
-    rows, size_sum = (
-        df.limit(max_rows + 1)
-        .select(size.cast("long").alias("w"))
-        .agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0)))
-        .first()
-    )
+    rows, size_sum = df.limit(max_rows + 1).agg(*size_of(size)).first()
     return rows <= max_rows and size_sum <= max_bytes
 
 
+def size_of(width: Column) -> list[Column]:
+    """Aggregates: number of rows and the sum of their widths."""
+    return [F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))]
+
+
 def broadcast_if_small(df: DataFrame, width: Column | None = None) -> DataFrame:
     """Hint a broadcast only for a side that passed the size check."""
     return F.broadcast(df) if is_small(df, width) else df
