@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 
 def _path(key: str) -> str:
-    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    return f"$['{key}']"
+
+
+def _needs_map(key: str) -> bool:
+    """Keys that a JSON path cannot name."""
+    return not key or "'" in key or "?" in key
 
 
 def encode(*columns: Column | str) -> Column:
@@ -27,6 +32,8 @@ def or_empty(metadata: Column) -> Column:
 
 def field_text(metadata: Column, key: str) -> Column:
     """Field as text. A missing key and a JSON null are both NULL."""
+    if _needs_map(key):
+        return F.try_element_at(F.from_json(metadata, "map<string,string>"), F.lit(key))
     return F.get_json_object(metadata, _path(key))
 
 
@@ -37,4 +44,6 @@ def field_number(metadata: Column, key: str) -> Column:
 
 def field_array(metadata: Column, key: str) -> Column:
     """Field as an array of text; NULL when it is not an array."""
+    if _needs_map(key):
+        return F.try_variant_get(F.try_parse_json(field_text(metadata, key)), "$", "array<string>")
     return F.try_variant_get(F.try_parse_json(metadata), _path(key), "array<string>")

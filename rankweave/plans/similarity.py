@@ -85,6 +85,17 @@ def negative_pairs(sample: DataFrame, qrels: DataFrame, docs: DataFrame, seed: i
     return free.groupBy("query_id").agg(F.min_by("doc_id", "step").alias("doc_id"))
 
 
+def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
+    """Number from 1 of the equal bin [edge, next edge) that holds the value;
+    the last bin is closed. The quotient may be off by one at an edge, so it is
+    held against the edges themselves."""
+    step = (high - low) / F.lit(bins)
+    rough = F.floor((value - low) / (high - low) * F.lit(bins))
+    above = (value >= low + (rough + 1) * step).cast("int")
+    below = (value < low + rough * step).cast("int")
+    return F.least(rough + above - below + 1, F.lit(bins)).cast("int")
+
+
 def similarity_stats(similarities: DataFrame, by: str = "kind") -> DataFrame:
     """Mean, population standard deviation, minimum and maximum of ``similarity``."""
     value = F.col("similarity")
@@ -99,9 +110,9 @@ def similarity_stats(similarities: DataFrame, by: str = "kind") -> DataFrame:
 def similarity_histogram(similarities: DataFrame, by: str = "kind", edges: int = SIMILARITY_EDGES) -> DataFrame:
     """Counts by equal bins of [0, 1]; values outside are left out, 1 is in the last bin."""
     bins = edges - 1
-    number = F.least(F.width_bucket("similarity", F.lit(0.0), F.lit(1.0), F.lit(bins)), F.lit(bins))
+    number = _bin(F.col("similarity"), F.lit(0.0), F.lit(1.0), bins)
     inside = similarities.where(F.col("similarity").between(0.0, 1.0))
-    return inside.groupBy(by, number.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    return inside.groupBy(by, number.alias("bin")).agg(F.count("*").alias("n"))
 
 
 def length_histogram(texts: DataFrame, text: str, bins: int = LENGTH_BINS) -> DataFrame:
@@ -114,7 +125,5 @@ def length_histogram(texts: DataFrame, text: str, bins: int = LENGTH_BINS) -> Da
         F.when(low == high, low - 0.5).otherwise(low),
         F.when(low == high, high + 0.5).otherwise(high),
     )
-    number = F.least(
-        F.floor((F.col("len") - low) / (high - low) * F.lit(bins)) + 1, F.lit(bins)
-    )
-    return lengths.groupBy(number.cast("int").alias("bin")).agg(F.count("*").alias("n"))
+    number = _bin(F.col("len"), low, high, bins)
+    return lengths.groupBy(number.alias("bin")).agg(F.count("*").alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="rankweave-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that every executor can reach.
 
@@ -65,8 +71,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="rankweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_folder()
     return f"{root.rstrip('/')}/rankweave/{name}-{uuid.uuid4().hex[:12]}"
 
 
