@@ -14,14 +14,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankweave.operators.filters import Filter, apply_filter
-from rankweave.operators.topk import top_per_query
+from rankweave.operators.topk import RunningTopK, list_schema, merge_lists, task_group
 from rankweave.runtime import broadcast_if_small
 from rankweave.spec import DEFAULT_K, CollectionSpec, DistanceStrategy
 
@@ -32,16 +31,14 @@ MAX_QUERY_BYTES = 64 * 1024 * 1024
 _CELLS = 4_000_000
 # Documents and queries of one shuffled block.
 _BLOCK_BYTES = 64 * 1024 * 1024
-# First-level groups when the lists of the tasks are merged.
-_MERGE_GROUPS = 32
 
 
 def vectors_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Arrow list column as a matrix of doubles, one row for each vector."""
+    """Arrow list column as a matrix, one row for each vector."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
-    flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
     if rows == 0:
         return flat.reshape(0, 0)
     if flat.size % rows or pc.any(pc.not_equal(pc.list_value_length(column), flat.size // rows)).as_py():
@@ -49,23 +46,20 @@ def vectors_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(rows, flat.size // rows)
 
 
-class NearestRows:
+class NearestRows(RunningTopK):
     """Running k nearest documents of every query of one block.
 
-    A matrix product picks the candidates with room for its rounding error;
-    their distances are then computed row by row, so that equal vectors get
-    equal distances and the order (distance, id) is the same on every run.
+    A matrix product in single precision picks the candidates, with room for
+    its rounding error; their distances are then computed row by row in double
+    precision. Equal vectors so get equal distances, and the order (distance,
+    id) is the same on every run and for every way to cut the documents.
     """
 
     def __init__(self, queries: np.ndarray, k: int, metric: DistanceStrategy) -> None:
-        self.q = queries
-        self.k = k
+        super().__init__(len(queries), k)
+        self.q = queries.astype(np.float64)
         self.metric = metric
-        self.q_norm = np.sqrt((queries * queries).sum(axis=1))
-        self.bound = np.full(len(queries), np.inf)
-        self.owner = np.empty(0, dtype=np.int64)
-        self.key = np.empty(0, dtype=np.float64)
-        self.ids: np.ndarray | None = None
+        self.q_norm = np.sqrt((self.q * self.q).sum(axis=1))
 
     def add(self, docs: np.ndarray, ids: np.ndarray, only: np.ndarray | None = None) -> None:
         """Compare documents with all queries, or with the queries ``only``."""
@@ -80,64 +74,55 @@ class NearestRows:
             self._add_part(docs[part], ids[part], active)
 
     def _add_part(self, docs: np.ndarray, ids: np.ndarray, active: np.ndarray) -> None:
-        norm = np.sqrt((docs * docs).sum(axis=1))
-        rough, slack = self._rough_keys(docs, norm, active)
+        rough, slack = self._rough_keys(docs, active)
         limit = self.bound[active]
         if len(docs) > self.k:
             in_part = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
             limit = np.minimum(limit, in_part + slack)
         qi, di = np.nonzero(rough <= (limit + slack)[:, None])
-        if len(qi) == 0:
-            return
         owner = active[qi]
-        self._merge(owner, self._exact_keys(docs, norm, owner, di), ids[di])
-
-    def _rough_keys(self, docs, norm, active):
-        """Keys by matrix product (smaller is nearer) and their error bound."""
-        dots = self.q[active] @ docs.T
-        q_norm = self.q_norm[active]
+        self.offer(owner, self._exact_keys(docs, owner, di), ids[di])
+
+    def _rough_keys(self, docs: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys by matrix product (smaller is nearer) and a bound of their error."""
+        queries, q_norm = self.q[active], self.q_norm[active]
+        norm = np.sqrt(np.einsum("ij,ij->i", docs, docs, dtype=np.float64))
+        sizes = np.concatenate([q_norm[q_norm > 0], norm[norm > 0], [1.0]])
+        single = 1e-15 < sizes.min() and sizes.max() < 1e15
+        kind = np.float32 if single else np.float64
+        # Error of a product of rounded vectors, relative to their lengths.
+        error = (2 * docs.shape[1] + 64) * float(np.finfo(kind).eps)
         if self.metric is DistanceStrategy.COSINE_DISTANCE:
-            scale = q_norm[:, None] * norm[None, :]
             with np.errstate(divide="ignore", invalid="ignore"):
-                keys = np.where(scale > 0, 1.0 - dots / scale, np.inf)
-            return keys, np.full(len(active), 1e-9)
+                left = (queries / q_norm[:, None]).astype(kind)
+                right = (docs / norm[:, None]).astype(kind)
+                keys = 1 - left @ right.T
+            keys[q_norm == 0] = np.inf
+            keys[:, norm == 0] = np.inf
+            return keys, np.full(len(active), 2 * error)
+        dots = queries.astype(kind) @ docs.astype(kind, copy=False).T
         if self.metric is DistanceStrategy.INNER_PRODUCT:
-            return -dots, 1e-9 * (q_norm * norm.max() + 1e-300)
-        keys = q_norm[:, None] ** 2 + norm[None, :] ** 2 - 2.0 * dots
-        return keys, 1e-9 * (q_norm**2 + norm.max() ** 2 + 1e-300)
+            return -dots, error * (q_norm * norm.max() + 1e-300)
+        keys = (q_norm[:, None] ** 2 + norm[None, :] ** 2).astype(kind) - 2 * dots
+        return keys, 2 * error * (q_norm**2 + norm.max() ** 2 + 1e-300)
 
-    def _exact_keys(self, docs, norm, owner, di):
+    def _exact_keys(self, docs: np.ndarray, owner: np.ndarray, di: np.ndarray) -> np.ndarray:
         keys = np.empty(len(owner))
         step = max(1, _CELLS // docs.shape[1])
         for start in range(0, len(owner), step):
             part = slice(start, start + step)
-            a, b = self.q[owner[part]], docs[di[part]]
+            a, b = self.q[owner[part]], docs[di[part]].astype(np.float64)
             if self.metric is DistanceStrategy.EUCLIDEAN:
                 gap = a - b
                 keys[part] = (gap * gap).sum(axis=1)
-            else:
-                keys[part] = -(a * b).sum(axis=1)
-        if self.metric is DistanceStrategy.COSINE_DISTANCE:
-            scale = self.q_norm[owner] * norm[di]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                keys = np.where(scale > 0, 1.0 + keys / scale, np.inf)
+                continue
+            keys[part] = -(a * b).sum(axis=1)
+            if self.metric is DistanceStrategy.COSINE_DISTANCE:
+                scale = self.q_norm[owner[part]] * np.sqrt((b * b).sum(axis=1))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    keys[part] = np.where(scale > 0, 1.0 + keys[part] / scale, np.inf)
         return keys
 
-    def _merge(self, owner, key, ids) -> None:
-        if self.ids is not None:
-            owner = np.concatenate([self.owner, owner])
-            key = np.concatenate([self.key, key])
-            ids = np.concatenate([self.ids, ids])
-        _, id_order = np.unique(ids, return_inverse=True)
-        order = np.lexsort((id_order, key, owner))
-        owner, key, ids = owner[order], key[order], ids[order]
-        first = np.searchsorted(owner, owner, side="left")
-        place = np.arange(len(owner)) - first
-        keep = place < self.k
-        self.owner, self.key, self.ids = owner[keep], key[keep], ids[keep]
-        full = place == self.k - 1
-        self.bound[owner[full]] = key[full]
-
     def distances(self) -> np.ndarray:
         """Distances of the kept rows; NaN where the metric gives none."""
         if self.metric is DistanceStrategy.EUCLIDEAN:
@@ -174,28 +159,8 @@ def collect_block(
     return QueryBlock(table.column(0).combine_chunks(), vectors_of(table.column(1)))
 
 
-def _result_schema(queries: DataFrame, docs: DataFrame) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("query_id", queries.schema[0].dataType),
-            T.StructField("id", docs.schema[0].dataType),
-            T.StructField("distance", T.DoubleType()),
-            T.StructField("merge_group", T.IntegerType()),
-        ]
-    )
-
-
-def _as_batch(nearest: NearestRows, query_ids: pa.Array, id_type: pa.DataType, group: int) -> pa.RecordBatch:
-    kept = [] if nearest.ids is None else nearest.ids.tolist()
-    return pa.RecordBatch.from_arrays(
-        [
-            query_ids.take(pa.array(nearest.owner)),
-            pa.array(kept, type=id_type),
-            pa.array(nearest.distances(), mask=np.isnan(nearest.distances())),
-            pa.array(np.full(len(nearest.owner), group, dtype=np.int32)),
-        ],
-        names=["query_id", "id", "distance", "merge_group"],
-    )
+def _lists(queries: DataFrame, docs: DataFrame) -> T.StructType:
+    return list_schema(queries.schema[0].dataType, docs.schema[0].dataType, "distance")
 
 
 def _id_values(column: pa.Array) -> np.ndarray:
@@ -215,7 +180,7 @@ def scan_with_block(
     ``docs`` is (id, vector), or (id, vector, list_id) with ``probes``: a
     boolean matrix (query x list) of the lists that each query looks into.
     """
-    schema = _result_schema(queries, docs)
+    schema = _lists(queries, docs)
     id_type = to_arrow_type(schema["id"].dataType)
     shared = docs.sparkSession.sparkContext.broadcast((block.ids, block.vectors, probes))
 
@@ -233,9 +198,8 @@ def scan_with_block(
             for list_id in np.unique(list_ids):
                 rows = list_ids == list_id
                 nearest.add(vectors[rows], ids[rows], np.flatnonzero(lists[:, list_id]))
-        context = TaskContext.get()
-        group = context.partitionId() % _MERGE_GROUPS if context else 0
-        yield _as_batch(nearest, query_ids, id_type, group)
+        batch = nearest.batch(query_ids, id_type, nearest.distances(), task_group())
+        yield batch.rename_columns(schema.names)
 
     return docs.mapInArrow(scan, schema)
 
@@ -250,7 +214,7 @@ def scan_in_blocks(
     of its own. With a third column ``list_id`` on both sides only blocks of
     the same list meet.
     """
-    schema = _result_schema(queries, docs)
+    schema = _lists(queries, docs)
     id_type = to_arrow_type(schema["id"].dataType)
     query_type = to_arrow_type(schema["query_id"].dataType)
     doc_id, doc_vec = docs.columns[:2]
@@ -299,22 +263,15 @@ def scan_in_blocks(
             query_ids = some_queries["query_id"].combine_chunks()
             ids = _id_values(some_docs["id"].combine_chunks())
             nearest.add(vectors_of(some_docs["vector"]), ids)
-        group = key[1].as_py() % _MERGE_GROUPS
-        return pa.Table.from_batches([_as_batch(nearest, query_ids, id_type, group)])
+        batch = nearest.batch(query_ids, id_type, nearest.distances(), key[1].as_py())
+        return pa.Table.from_batches([batch]).rename_columns(schema.names)
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, schema)
 
 
-def merge_lists(lists: DataFrame, k: int, metric: DistanceStrategy) -> DataFrame:
-    """One ranked list a query out of the lists of all tasks, in two levels.
-
-    The first level is keyed by query and task group, so that a search with
-    few queries over very many tasks does not end in a few large sorts.
-    """
+def merge_nearest(lists: DataFrame, k: int, metric: DistanceStrategy) -> DataFrame:
     nearest = F.desc_nulls_last if metric.larger_is_nearer else F.asc_nulls_last
-    order = [nearest("distance"), F.asc("id")]
-    first = top_per_query(lists, k, order, by=["query_id", "merge_group"])
-    return top_per_query(first.drop("merge_group", "rank"), k, order)
+    return merge_lists(lists, k, nearest("distance"))
 
 
 def knn(
@@ -342,4 +299,4 @@ def knn(
         lists = scan_in_blocks(vectors, wanted, k, metric)
     else:
         lists = scan_with_block(vectors, block, wanted, k, metric)
-    return merge_lists(lists, k, metric)
+    return merge_nearest(lists, k, metric)

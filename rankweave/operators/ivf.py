@@ -21,7 +21,7 @@ from rankweave.operators.dense import (
     MAX_QUERY_ROWS,
     collect_block,
     knn,
-    merge_lists,
+    merge_nearest,
     scan_in_blocks,
     scan_with_block,
     vectors_of,
@@ -91,6 +91,7 @@ def build_ivf(
 
 def _center_ranks(vectors: np.ndarray, centers: np.ndarray, metric: DistanceStrategy) -> np.ndarray:
     """List numbers of every query, nearest centre first."""
+    vectors = vectors.astype(np.float64)
     if metric is not DistanceStrategy.EUCLIDEAN:
         length = np.linalg.norm(vectors, axis=1, keepdims=True)
         vectors = np.divide(vectors, length, out=vectors.copy(), where=length > 0)
@@ -152,7 +153,7 @@ def ivf_search(
         used = np.flatnonzero(table.any(axis=0)).tolist()
         vectors = vectors.where(F.col("list_id").isin(used))
         lists = scan_with_block(vectors, block, wanted, k, metric, probes=table)
-    found = merge_lists(lists, k, metric)
+    found = merge_nearest(lists, k, metric)
     if iterative_scan is IterativeScanMode.OFF or probes == len(index.centers):
         return found
     short = found.groupBy("query_id").count().where(F.col("count") >= k)

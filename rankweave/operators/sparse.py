@@ -10,17 +10,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rankweave.functions.text import Analyzer, analyzer
 from rankweave.operators.filters import Filter, apply_filter
-from rankweave.operators.topk import top_per_query
-from rankweave.runtime import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small, size_of
+from rankweave.operators.topk import (
+    RunningTopK,
+    list_schema,
+    merge_lists,
+    task_group,
+    top_per_query,
+)
+from rankweave.runtime import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small
 from rankweave.spec import DEFAULT_K, Bm25Params, CollectionSpec
 
 # Scores are added up as whole multiples of 1 / SCORE_SCALE. A sum then does not
 # depend on the order of its terms: equal documents get equal scores.
 SCORE_SCALE = 1e9
 
+# Score cells held at once by one step inside a task, and rows taken at a time.
+_CELLS = 4_000_000
+_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class Bm25Index:
@@ -139,6 +150,116 @@ def term_score(tf: Column, dl: Column, avg_dl: Column, k1: float, b: float) -> C
     return tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl / avg_dl))
 
 
+@dataclass(frozen=True)
+class _Asked:
+    """Terms of a query set that is small enough to broadcast.
+
+    Query numbers and counts lie sorted by term; those of term t are at
+    ``starts[t]:starts[t + 1]``.
+    """
+
+    query_ids: pa.Array
+    terms: pa.Table
+    starts: np.ndarray
+    query: np.ndarray
+    qtf: np.ndarray
+
+
+def _collect_terms(wanted: DataFrame) -> _Asked | None:
+    """The query terms, or None when they are over the broadcast bounds."""
+    table = wanted.limit(MAX_BROADCAST_ROWS + 1).toArrow()
+    if table.num_rows > MAX_BROADCAST_ROWS or table.nbytes > MAX_BROADCAST_BYTES:
+        return None
+    coded = table["term"].combine_chunks().dictionary_encode()
+    t = coded.indices.to_numpy()
+    order = np.argsort(t, kind="stable")
+    _, first = np.unique(t, return_index=True)
+    columns = {"term": coded.dictionary, "t": pa.array(np.arange(len(coded.dictionary), dtype=np.int32))}
+    if "term_bucket" in table.column_names:
+        columns["term_bucket"] = table["term_bucket"].combine_chunks().take(pa.array(first))
+    asking = table["query_id"].combine_chunks().dictionary_encode()
+    return _Asked(
+        asking.dictionary,
+        pa.table(columns),
+        np.searchsorted(t[order], np.arange(len(coded.dictionary) + 1)),
+        asking.indices.to_numpy()[order].astype(np.int64),
+        table["qtf"].to_numpy()[order].astype(np.float64),
+    )
+
+
+class BestTexts(RunningTopK):
+    """Running k best documents of every query, from postings sorted by document."""
+
+    def __init__(self, queries: int, k: int, starts, query, qtf) -> None:
+        super().__init__(queries, k)
+        self.starts, self.query, self.qtf = starts, query, qtf
+
+    def add(self, ids: np.ndarray, t: np.ndarray, part: np.ndarray) -> None:
+        """Whole documents: id, term number and the term's part of the score."""
+        if len(ids) == 0:
+            return
+        new = np.concatenate([[True], ids[1:] != ids[:-1]])
+        doc = np.cumsum(new) - 1
+        pairs = np.cumsum(self.starts[t + 1] - self.starts[t])
+        # Cut between documents, so that a step makes a bounded number of pairs.
+        limit = max(1, _CELLS // max(1, len(self.bound)))
+        block = np.maximum(pairs // _CELLS, doc // limit)
+        first = np.flatnonzero(new)
+        cuts = first[np.concatenate([[True], block[first[1:]] != block[first[:-1]]])]
+        for start, end in zip(cuts, np.append(cuts[1:], len(ids))):
+            self._add_block(ids[start:end], t[start:end], part[start:end], doc[start:end] - doc[start])
+
+    def _add_block(self, ids, t, part, doc) -> None:
+        counts = self.starts[t + 1] - self.starts[t]
+        row = np.repeat(np.arange(len(t)), counts)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + self.starts[t][row]
+        steps = np.floor(part[row] * self.qtf[place] * SCORE_SCALE + 0.5)
+        cell = doc[row] * len(self.bound) + self.query[place]
+        # Whole numbers: the sum of a cell does not depend on the order.
+        totals = np.bincount(cell, weights=steps, minlength=(doc[-1] + 1) * len(self.bound))
+        found = np.flatnonzero(np.bincount(cell, minlength=len(totals)))
+        owner = found % len(self.bound)
+        key = -totals[found] / SCORE_SCALE
+        good = key <= self.bound[owner]
+        first = np.searchsorted(doc, found[good] // len(self.bound))
+        self.offer(owner[good], key[good], ids[first])
+
+
+def _scan_texts(scored: DataFrame, asked: _Asked, query_type: T.DataType, k: int) -> DataFrame:
+    """k best documents of each task; a document's rows follow each other."""
+    schema = list_schema(query_type, scored.schema["id"].dataType, "bm25_score")
+    id_type = to_arrow_type(scored.schema["id"].dataType)
+    spark = scored.sparkSession
+    shared = spark.sparkContext.broadcast((asked.query_ids, asked.starts, asked.query, asked.qtf))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids, starts, query, qtf = shared.value
+        best = BestTexts(len(query_ids), k, starts, query, qtf)
+        waiting: list[tuple[np.ndarray, ...]] = []
+
+        def take(last: bool) -> None:
+            ids, t, part = (np.concatenate(c) for c in zip(*waiting))
+            # The last document may go on in the next batch.
+            end = len(ids) if last else int(np.argmax(ids == ids[-1]))
+            best.add(ids[:end], t[:end], part[:end])
+            waiting[:] = [(ids[end:], t[end:], part[end:])] if end < len(ids) else []
+
+        rows = 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            waiting.append(tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns))
+            rows += batch.num_rows
+            if rows >= _ROWS:
+                take(last=False)
+                rows = 0
+        if waiting:
+            take(last=True)
+        yield best.batch(query_ids, id_type, best.key, task_group()).rename_columns(schema.names)
+
+    return scored.mapInArrow(scan, schema)
+
+
 def bm25_topk(
     index: Bm25Index,
     queries: DataFrame,
@@ -153,58 +274,61 @@ def bm25_topk(
     that share a term with the query are ranked, and a filter (on ``docs``)
     removes rows without changing the statistics of the index. Equal scores
     are ordered by id.
+
+    Query terms that pass the size check are broadcast. The postings of these
+    terms are then shuffled once, by document, and each task adds up the scores
+    of its documents and keeps k rows for every query: pairs of query and
+    document are no rows. A larger query set is joined by term.
     """
-    params = index.params
+    if filter is not None and docs is None:
+        raise ValueError("a filter needs the documents it is about")
     wanted = query_terms(queries.select("query_id", "query_text"), index.analyze)
-    keys, postings = ["term"], index.postings
+    keys = ["term"]
     if index.buckets:
-        # A saved index is partitioned by term bucket, and read only where the
-        # query terms lie. One job finds these buckets and the size of the terms.
+        # A saved index is partitioned by term bucket.
         keys = ["term_bucket", "term"]
         wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
-        lies_in = F.collect_set("term_bucket")
-    else:
-        lies_in = F.lit(None)
-    width = F.octet_length("term") + 64
-    rows, size, used = wanted.limit(MAX_BROADCAST_ROWS + 1).agg(*size_of(width), lies_in).first()
-    small = rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
-    # The other query-side tables have no more rows than this one.
-    hint = F.broadcast if small else (lambda side: side)
-    if index.buckets and small:
-        postings = postings.where(F.col("term_bucket").isin(used))
-
-    vocabulary = wanted.select(*keys).distinct()
-    matched = postings.join(hint(vocabulary), keys, "left_semi")
-
-    # One shuffle by document: all terms of a document meet in one task, so the
-    # sums below need no further one. A frequent term spreads over all tasks.
-    matched = matched.select("id", "term", "tf", "dl").repartition("id")
-    if index.buckets:
-        terms = index.terms.where(F.col("term_bucket").isin(used)) if small else index.terms
+    asked = _collect_terms(wanted)
+    postings, terms = index.postings, index.terms
+    if asked is None:
+        vocabulary = wanted.select(*keys).distinct()
+        matched = postings.join(vocabulary, keys, "left_semi").select("id", "term", "tf", "dl")
+        by = "term"
     else:
+        vocabulary = F.broadcast(queries.sparkSession.createDataFrame(asked.terms))
+        if index.buckets:
+            used = F.col("term_bucket").isin(asked.terms["term_bucket"].unique().to_pylist())
+            postings, terms = postings.where(used), terms.where(used)
+        matched = postings.join(vocabulary, keys).select("id", "t", "tf", "dl").repartition("id")
+        by = "t"
+
+    # A frequent term spreads over all tasks; all terms of a document meet in one.
+    n_docs = index.stats.select("n_docs").scalar()
+    avg_dl = index.stats.select("avg_dl").scalar()
+    if not index.buckets:
         # Counted over the rows just shuffled, before the filter: the texts are
         # not read again. All columns are named so that the shuffle is the same.
         whole = (F.col("tf") > 0) & (F.col("dl") > 0) & F.col("id").isNotNull()
-        terms = matched.groupBy("term").agg(F.count_if(whole).alias("df"))
+        terms = matched.groupBy(by).agg(F.count_if(whole).alias("df"))
+    elif asked is not None:
+        terms = terms.join(vocabulary, keys)
+    rare = terms.select(by, inverse_document_frequency(n_docs, F.col("df")).alias("idf"))
+
     if filter is not None:
-        if docs is None:
-            raise ValueError("a filter needs the documents it is about")
         allowed = apply_filter(docs, filter, spec.metadata).select(F.col(spec.id).alias("id"))
         matched = matched.join(allowed, "id", "left_semi")
-
-    n_docs = index.stats.select("n_docs").scalar()
-    avg_dl = index.stats.select("avg_dl").scalar()
-    idf = inverse_document_frequency(n_docs, F.col("df"))
-    weights = terms.join(hint(wanted), keys).select(
-        "query_id", "term", (F.col("qtf") * idf).alias("weight")
-    )
-    part = F.col("weight") * term_score(F.col("tf"), F.col("dl"), avg_dl, params.k1, params.b)
-    steps = F.floor(part * SCORE_SCALE + 0.5)
-    scored = (
-        matched.join(hint(weights), "term")
+    part = F.col("idf") * term_score(F.col("tf"), F.col("dl"), avg_dl, index.params.k1, index.params.b)
+    lowest = F.asc("bm25_score")
+    if asked is not None:
+        scored = matched.join(F.broadcast(rare), "t").select("id", "t", part.alias("part"))
+        lists = _scan_texts(scored.sortWithinPartitions("id"), asked, queries.schema["query_id"].dataType, k)
+        return merge_lists(lists, k, lowest)
+    weights = wanted.select("query_id", "term", "qtf").join(rare, "term")
+    steps = F.floor(part * F.col("qtf") * SCORE_SCALE + 0.5)
+    scores = (
+        matched.join(weights, "term")
         .groupBy("query_id", "id")
         .agg(F.sum(steps).alias("steps"))
         .select("query_id", "id", (F.col("steps") / F.lit(-SCORE_SCALE)).alias("bm25_score"))
     )
-    return top_per_query(scored, k, [F.asc("bm25_score"), F.asc("id")])
-
+    return top_per_query(scores, k, [lowest, F.asc("id")])

@@ -1,9 +1,16 @@
-"""Top-k rows of each query."""
+"""Top-k rows of each query: inside a task, and over all tasks."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# First-level groups when the lists of the tasks are merged.
+MERGE_GROUPS = 32
 
 
 def top_per_query(
@@ -22,3 +29,75 @@ def top_per_query(
         return df.withColumn(rank, F.lit(0)).where(F.lit(False))
     window = Window.partitionBy(*(by or ["query_id"])).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+
+
+class RunningTopK:
+    """The k rows with the smallest (key, id) of each query, seen so far.
+
+    ``bound`` is the key of a query's k-th row: a row above it need not be
+    offered. Queries are numbers from 0.
+    """
+
+    def __init__(self, queries: int, k: int) -> None:
+        self.k = k
+        self.bound = np.full(queries, np.inf)
+        self.owner = np.empty(0, dtype=np.int64)
+        self.key = np.empty(0, dtype=np.float64)
+        self.ids: np.ndarray | None = None
+
+    def offer(self, owner: np.ndarray, key: np.ndarray, ids: np.ndarray) -> None:
+        if len(owner) == 0:
+            return
+        if self.ids is not None:
+            owner = np.concatenate([self.owner, owner])
+            key = np.concatenate([self.key, key])
+            ids = np.concatenate([self.ids, ids])
+        _, id_order = np.unique(ids, return_inverse=True)
+        order = np.lexsort((id_order, key, owner))
+        owner, key, ids = owner[order], key[order], ids[order]
+        place = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left")
+        keep = place < self.k
+        self.owner, self.key, self.ids = owner[keep], key[keep], ids[keep]
+        full = place == self.k - 1
+        self.bound[owner[full]] = key[full]
+
+    def batch(self, query_ids: pa.Array, id_type: pa.DataType, values: np.ndarray, group: int) -> pa.RecordBatch:
+        """The kept rows as (query_id, id, value, merge_group); NaN becomes NULL."""
+        kept = [] if self.ids is None else self.ids.tolist()
+        return pa.RecordBatch.from_arrays(
+            [
+                query_ids.take(pa.array(self.owner)),
+                pa.array(kept, type=id_type),
+                pa.array(values, mask=np.isnan(values)),
+                pa.array(np.full(len(self.owner), group % MERGE_GROUPS, dtype=np.int32)),
+            ],
+            names=["query_id", "id", "value", "merge_group"],
+        )
+
+
+def task_group() -> int:
+    context = TaskContext.get()
+    return context.partitionId() if context else 0
+
+
+def list_schema(query_type: T.DataType, id_type: T.DataType, value: str) -> T.StructType:
+    """Schema of the lists that tasks return."""
+    return T.StructType(
+        [
+            T.StructField("query_id", query_type),
+            T.StructField("id", id_type),
+            T.StructField(value, T.DoubleType()),
+            T.StructField("merge_group", T.IntegerType()),
+        ]
+    )
+
+
+def merge_lists(lists: DataFrame, k: int, value: Column) -> DataFrame:
+    """One ranked list a query out of the lists of all tasks, in two levels.
+
+    The first level is keyed by query and task group, so that a search with
+    few queries over very many tasks does not end in a few large sorts.
+    """
+    order = [value, F.asc("id")]
+    first = top_per_query(lists, k, order, by=["query_id", "merge_group"])
+    return top_per_query(first.drop("merge_group", "rank"), k, order)

@@ -80,7 +80,7 @@ def test_many_small_blocks(spark, data, metric):
     docs, queries = data
     left = make_docs(spark, docs).select("id", "embedding")
     lists = scan_in_blocks(left, make_queries(spark, queries), 15, metric, block_bytes=8 * 12 * 7)
-    check(dense.merge_lists(lists, 15, metric), brute(docs, queries, 15, metric))
+    check(dense.merge_nearest(lists, 15, metric), brute(docs, queries, 15, metric))
 
 
 def test_filter_comes_before_the_ranking(spark, data):
