@@ -226,7 +226,7 @@ def stream_ingest(spark, sf):
     _corpus(spark, sf).repartition(6).write.json(source)
     made = create_collection(spark, scratch_path(spark, "collection"), DIM, buckets=8)
     stream = load_stream(
-        stream_corpus(spark, source, files_per_batch=3), made, hash_embedder(DIM), scratch_path(spark, "offsets")
+        stream_corpus(spark, source, files_per_batch=3, max_chars=None), made, hash_embedder(DIM), scratch_path(spark, "offsets")
     )
     stream.awaitTermination()
     return made.rows().select("id", F.md5("content").alias("content"))
@@ -364,7 +364,7 @@ ORACLE = {
     "read_qrels_graded": """SELECT DISTINCT quality::VARCHAR AS query_id, doc_id::VARCHAR AS doc_id FROM labels
       WHERE quality + toxic >= 1""",
     "read_qrels_parquet": "SELECT DISTINCT quality::VARCHAR AS query_id, doc_id::VARCHAR AS doc_id FROM labels",
-    "stream_ingest": """SELECT doc_id::VARCHAR AS id, md5(substr(source || chr(10) || text, 1, 8000)) AS content
+    "stream_ingest": """SELECT doc_id::VARCHAR AS id, md5(source || chr(10) || text) AS content
       FROM documents""",
     "similarity_pairs": f"WITH {_SQL_PAIRS} SELECT query_id, doc_id, kind, round(similarity, 6) + 0e0 AS similarity FROM sims",
     "similarity_stats": f"""WITH {_SQL_PAIRS} SELECT kind, round(avg(similarity), 6) + 0e0 AS mean,

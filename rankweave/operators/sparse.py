@@ -201,11 +201,11 @@ class BestTexts(RunningTopK):
         new = np.concatenate([[True], ids[1:] != ids[:-1]])
         doc = np.cumsum(new) - 1
         pairs = np.cumsum(self.starts[t + 1] - self.starts[t])
-        # Cut between documents, so that a step makes a bounded number of pairs.
+        # Cut between documents, so that a step has few pairs and few cells.
         limit = max(1, _CELLS // max(1, len(self.bound)))
-        block = np.maximum(pairs // _CELLS, doc // limit)
         first = np.flatnonzero(new)
-        cuts = first[np.concatenate([[True], block[first[1:]] != block[first[:-1]]])]
+        apart = (np.diff(pairs[first] // _CELLS) != 0) | (np.diff(doc[first] // limit) != 0)
+        cuts = first[np.concatenate([[True], apart])]
         for start, end in zip(cuts, np.append(cuts[1:], len(ids))):
             self._add_block(ids[start:end], t[start:end], part[start:end], doc[start:end] - doc[start])
 

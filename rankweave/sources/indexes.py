@@ -17,6 +17,12 @@ from rankweave.operators.sparse import (
 from rankweave.runtime import remove_path
 from rankweave.spec import Bm25Params, CollectionSpec, DistanceStrategy, IvfParams
 
+_POSTINGS = "term string, id {}, tf int, dl int, term_bucket int"
+_TERMS = "term string, df long, term_bucket int"
+_STATS = (
+    "n_docs long, avg_dl double, text_config string, k1 double, b double, buckets int, id_type string"
+)
+
 
 def _write_by(rows: DataFrame, column: str, sort: list[str], path: str) -> None:
     """Write partitioned by a column; rebalancing splits a value that is too large."""
@@ -43,7 +49,7 @@ def save_bm25_index(
     postings = term_counts(docs, spec, analyze)
     bucketed = postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     _write_by(bucketed, "term_bucket", ["term"], f"{path}/postings")
-    _finish_bm25(spark, path, docs.count(), params, buckets)
+    _finish_bm25(spark, path, docs.count(), params, buckets, docs.schema[spec.id].dataType.simpleString())
     return load_bm25_index(spark, path, analyze)
 
 
@@ -54,28 +60,30 @@ def save_bm25_tables(index: Bm25Index, spark: SparkSession, path: str, buckets:
     )
     _write_by(bucketed, "term_bucket", ["term"], f"{path}/postings")
     n_docs = index.stats.select("n_docs").first()[0]
-    _finish_bm25(spark, path, n_docs, index.params, buckets)
+    _finish_bm25(spark, path, n_docs, index.params, buckets, index.postings.schema["id"].dataType.simpleString())
     return load_bm25_index(spark, path, index.analyze)
 
 
-def _finish_bm25(spark: SparkSession, path: str, n_docs: int, params: Bm25Params, buckets: int) -> None:
-    written = spark.read.parquet(f"{path}/postings")
+def _finish_bm25(
+    spark: SparkSession, path: str, n_docs: int, params: Bm25Params, buckets: int, id_type: str
+) -> None:
+    written = spark.read.schema(_POSTINGS.format(id_type)).parquet(f"{path}/postings")
     terms = document_frequencies(written).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     _write_by(terms, "term_bucket", ["term"], f"{path}/terms")
     tokens = written.agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
     name = params.text_config if isinstance(params.text_config, str) else None
-    row = (n_docs, tokens / n_docs if n_docs else 0.0, name, params.k1, params.b, buckets)
-    schema = "n_docs long, avg_dl double, text_config string, k1 double, b double, buckets int"
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+    row = (n_docs, tokens / n_docs if n_docs else 0.0, name, params.k1, params.b, buckets, id_type)
+    spark.createDataFrame([row], _STATS).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
 
 
 def load_bm25_index(spark: SparkSession, path: str, analyze: Analyzer | None = None) -> Bm25Index:
     """Open a saved index; pass the analyser if it is a function of one's own."""
-    stats = spark.read.parquet(f"{path}/stats")
+    # The schemas are known: nothing is read to find them out.
+    stats = spark.read.schema(_STATS).parquet(f"{path}/stats")
     s = stats.first()
     return Bm25Index(
-        spark.read.parquet(f"{path}/postings"),
-        spark.read.parquet(f"{path}/terms"),
+        spark.read.schema(_POSTINGS.format(s["id_type"])).parquet(f"{path}/postings"),
+        spark.read.schema(_TERMS).parquet(f"{path}/terms"),
         stats,
         Bm25Params(s["text_config"], s["k1"], s["b"]),
         analyze or analyzer(s["text_config"]),

@@ -6,16 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rankweave.functions.embedders import Embedder
+from rankweave.functions.text import MAX_CONTENT_CHARS
 from rankweave.sources.collection import Collection
 from rankweave.sources.corpora import corpus_to_documents
 
 
-def stream_corpus(spark: SparkSession, path: str, titled: bool = True, files_per_batch: int = 64) -> DataFrame:
+def stream_corpus(
+    spark: SparkSession,
+    path: str,
+    titled: bool = True,
+    files_per_batch: int = 64,
+    max_chars: int | None = MAX_CONTENT_CHARS,
+) -> DataFrame:
     """JSON-lines shards of a folder as a stream of documents (id, content, metadata)."""
     title = "title string, " if titled else ""
     schema = f"docid string, {title}text string"
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
-    return corpus_to_documents(rows, titled)
+    return corpus_to_documents(rows, titled, max_chars)
 
 
 def load_stream(
