@@ -169,6 +169,17 @@ class Collection:
             self._commit(delete_rows(base, given, filter, spec), touched)
         return True
 
+    def remove_old_versions(self) -> int:
+        """Delete the files that later changes replaced; no reader may be open.
+
+        Returns how many bucket folders went.
+        """
+        live = self._live()
+        commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits").where("has_rows")
+        old = [r for r in commits.collect() if live.get(r["bucket"]) != r["version"]]
+        paths = [f"{self.path}/rows/version={r['version']}/bucket={r['bucket']}" for r in old]
+        return sum(remove_path(self.spark, path) for path in paths)
+
     def drop(self) -> None:
         drop_collection(self.spark, self.path)
 

@@ -89,6 +89,8 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     made.upsert(docs(spark, ("d7", "changed", None)))
     versions = list((tmp_path / "c" / "rows" / "version=2").glob("bucket=*"))
     assert len(versions) == 1 and len(contents(made)) == 60
+    assert made.remove_old_versions() == 1 and made.remove_old_versions() == 0
+    assert len(contents(made)) == 60 and made.get_by_ids(["d7"]).first()["content"] == "changed"
 
 
 def test_bad_rows_are_refused(spark, tmp_path):
