@@ -6,8 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import LOWER, PATTERN, UPPER, contamination
 from .fingerprint import edited_pairs
 from .token_store import read_tokens, write_token_files
+from .warc import read_archives, write_archives
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(write_archives(table(spark, sf_dir, "pages")))
 
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +25,38 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_token_ids, op9_fingerprints)}
-ORACLE: dict[str, str] = {}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PATTERN}')"
+
+QUERIES = {f.__name__: f for f in (op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
+ORACLE: dict[str, str] = {
+    "op6_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f""",
+    "op10_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+cut AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, w[s:s + 12] AS held FROM cut),
+lengths AS (SELECT DISTINCT len(held) AS n FROM windows),
+places AS (SELECT doc_id, n, w, unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) AS s FROM d, lengths),
+runs AS (SELECT doc_id, n, s, w[s:s + n - 1] AS held FROM places),
+met AS (SELECT doc_id, n, s, item_id FROM runs JOIN windows USING (held)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM met) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+          FROM met GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
