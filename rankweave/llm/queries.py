@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import LOWER, PATTERN, UPPER, contamination
 from .fingerprint import edited_pairs
+from .pii import digest, find_personal_data
 from .quality import is_held_out, score, train
 from .token_store import read_tokens, write_token_files
 from .warc import read_archives, write_archives
@@ -19,6 +20,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(write_archives(table(spark, sf_dir, "pages")))
 
@@ -38,7 +43,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PATTERN}')"
 
-QUERIES = {f.__name__: f for f in (op2_quality, op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_quality, op5_personal_data, op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
 ORACLE: dict[str, str] = {
     "op6_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
