@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import LOWER, PATTERN, UPPER, contamination
 from .fingerprint import edited_pairs
+from .html_crf import extract, trained
 from .packing import pack
 from .pii import digest, find_personal_data
 from .quality import is_held_out, score, train
@@ -21,6 +22,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"), trained())
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,7 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PATTERN}')"
 
-QUERIES = {f.__name__: f for f in (op2_quality, op4_packing, op5_personal_data, op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_quality, op3_main_text, op4_packing, op5_personal_data, op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
 ORACLE: dict[str, str] = {
     "op6_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
