@@ -25,6 +25,8 @@ SHARE = 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Stands after the last word of a document; no word is empty.
 _AFTER = ""
+# Rows with an open start up to which they are broadcast (as 64-bit numbers).
+MAX_OPEN_ROWS = 2_000_000
 
 
 def words_of(text: str) -> Column:
@@ -115,8 +117,12 @@ def phrase_matches(index: PositionalIndex, terms: DataFrame) -> DataFrame:
     # Places of all terms of the starts left; a place that several starts need is asked for once.
     places = open_.join(_small_side(ranked.select("window", "offset", "term")), "window")
     places = places.select("window", "row", "start", "length", (F.col("start") + F.col("offset")).alias("pos"), "term")
-    asked = _small_side(stored(places.select("row", "pos", "term").distinct(), "phrase-places"))
-    held = stored(index.postings.select("row", "pos", "term").join(asked, ["row", "pos", "term"]), "phrase-held")
+    asked = places.select("row", "pos", "term").distinct()
+    # Only postings of rows with an open start move; the rows are numbers, 8 bytes each.
+    rows = stored(open_.select("row").distinct(), "phrase-rows")
+    rows = F.broadcast(rows) if is_small(rows, max_rows=MAX_OPEN_ROWS, max_bytes=64 * MAX_OPEN_ROWS) else rows
+    near = index.postings.select("row", "pos", "term").join(rows, "row", "left_semi")
+    held = stored(near.join(asked, ["row", "pos", "term"]), "phrase-held")
     met = places.join(held, ["row", "pos", "term"]).groupBy("window", "row", "start", "length").count()
     return met.where(F.col("count") == F.col("length")).drop("count")
 
