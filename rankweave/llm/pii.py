@@ -147,18 +147,26 @@ def disclosing_terms(
         F.count_distinct("context").alias("contexts"),
         F.count_distinct(F.struct("doc_id", "hash")).alias("n_both"),
     ).where(F.col("contexts") >= support)
-    both = stored(both, "pii-pairs")
     entities = near.groupBy("entity").agg(F.count_distinct(F.struct("doc_id", "hash")).alias("n_entity"))
+    seen = pairs.groupBy("term").agg(F.count_distinct(F.struct("doc_id", "hash")).alias("n_seen"))
+    information = F.log2(total / F.col("n_entity"))
+
+    def disclosure(times: str) -> Column:
+        # PMI / IC; an entity of every document has no information to give away.
+        given = F.log2(F.least(F.col("n_both") / F.col(times), F.lit(1.0)))
+        return F.when(information > 0, 1 + given / information).otherwise(F.lit(0.0))
+
+    # A term is in at least the documents in which it was seen near entities, so
+    # what cannot pass with that count cannot pass with the corpus count either.
+    both = both.join(entities, "entity").join(seen, "term").where(disclosure("n_seen") >= generalise)
+    both = stored(both, "pii-pairs")
     asked = both.select("term").distinct()
     asked = F.broadcast(asked) if is_small(asked, F.octet_length("term")) else asked
     texts = docs.select("doc_id", F.xxhash64("_text").alias("hash"), F.explode(F.array_distinct(_words(F.col("_text")))).alias("term"))
     places = stored(texts.join(asked, "term"), "pii-places")
     counts = places.groupBy("term").agg(F.count("*").alias("n_term"))
-    weighed = both.join(entities, "entity").join(counts, "term")
-    information = F.log2(total / F.col("n_entity"))
-    given = F.log2(F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0)))
-    # PMI / IC; an entity of every document has no information to give away.
-    share = F.when(information > 0, 1 + given / information).otherwise(F.lit(0.0))
+    weighed = both.join(counts, "term")
+    share = disclosure("n_term")
     terms = weighed.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= generalise)
     return stored(terms, "pii-terms"), places
 
