@@ -9,6 +9,7 @@ from .common import table
 from .decontaminate import LOWER, PATTERN, UPPER, contamination
 from .fingerprint import edited_pairs
 from .html_crf import extract, trained
+from .ngram_join import ngram_join
 from .packing import pack
 from .pii import digest, find_personal_data
 from .quality import is_held_out, score, train
@@ -16,6 +17,10 @@ from .token_store import read_tokens, write_token_files
 from .warc import read_archives, write_archives
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -53,8 +58,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PATTERN}')"
 
-QUERIES = {f.__name__: f for f in (op2_quality, op3_main_text, op4_packing, op5_personal_data, op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_quality, op3_main_text, op4_packing, op5_personal_data, op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
+_NGRAM = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+')"
+
 ORACLE: dict[str, str] = {
+    "op1_ngram_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_NGRAM} AS w FROM documents),
+cut AS (SELECT DISTINCT doc_id, w[s:s + 4] AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM cut GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM cut a JOIN cut b USING (g)
+         WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)""",
     "op6_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
