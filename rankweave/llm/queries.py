@@ -13,6 +13,7 @@ from .ngram_join import ngram_join
 from .packing import pack
 from .pii import digest, find_personal_data
 from .quality import is_held_out, score, train
+from .suffix_dedup import remove_repeats
 from .token_store import read_tokens, write_token_files
 from .warc import read_archives, write_archives
 
@@ -43,6 +44,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(write_archives(table(spark, sf_dir, "pages")))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return read_tokens(spark, write_token_files(table(spark, sf_dir, "documents"), tokenizer))
@@ -58,7 +63,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PATTERN}')"
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_quality, op3_main_text, op4_packing, op5_personal_data, op6_warc, op8_token_ids, op9_fingerprints, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_quality, op3_main_text, op4_packing, op5_personal_data, op6_warc, op7_repeats, op8_token_ids, op9_fingerprints, op10_decontamination)}
 _NGRAM = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+')"
 
 ORACLE: dict[str, str] = {
