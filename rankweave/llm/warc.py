@@ -86,7 +86,7 @@ def write_archives(pages: DataFrame, path: str | None = None) -> DataFrame:
     cuts = np.array(range_bounds(rows, "page_id"), np.int64)
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=9)
         for batch in batches:
             raw = [h.encode("utf-8", "surrogatepass") for h in batch.column(2).to_pylist()]
             yield pa.record_batch({
