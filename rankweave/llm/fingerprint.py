@@ -7,6 +7,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -97,8 +98,6 @@ def fingerprint(text: Column, k: int = K, words: int = WORDS) -> Column:
 
 def merged(k: int = K):
     """Aggregate of sketches: the sketch of the union of all parts."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def union(parts: pd.Series) -> str:
         total = np.zeros(0, np.uint64)
