@@ -40,6 +40,10 @@ KEPT_BITS = 40
 PAIR_FRAGMENTS = 4
 # Row numbers (8 bytes each) up to which a set of rows is broadcast.
 MAX_ROWS = 2_000_000
+# Members of a group up to which its pairs with other groups are made one by one;
+# larger ones meet a set in blocks of about so many members.
+MOST_PAIRED = 16
+BLOCK_SETS = 512
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -311,6 +315,54 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return total.where(7 * F.col("both") >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
+def _linked_to_groups(held: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """A link (a, b) of a set to a member of every large group that shares a list with it, if there is one.
+
+    The members of a group are dealt into blocks, the set meets each block, and
+    one link a block is enough to join the groups; pairs are not made as rows.
+    """
+    large = stored(held.where(F.col("size") > MOST_PAIRED).select("value", "component", "size").distinct(), "large-groups")
+    asks = held.alias("x").join(large.alias("g"), F.col("x.value") == F.col("g.value"))
+    # Of two large groups the members of one ask for the other.
+    other = (F.col("x.component") != F.col("g.component")) & (
+        (F.col("x.size") <= MOST_PAIRED) | (F.col("x.component") < F.col("g.component")))
+    blocks = F.ceil(F.col("g.size") / BLOCK_SETS)
+    asks = asks.where(other).select("x.row", F.col("g.component").alias("component"), blocks.alias("blocks")).distinct()
+    asks = stored(asks, "group-asks")
+    met = asks.select("component", "blocks").distinct()
+    members = groups.join(met, "component").select("row", "component", F.pmod(F.xxhash64("row"), "blocks").alias("block"))
+    asking = asks.select("row", "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    both = members.withColumn("asks", F.lit(0)).unionByName(asking.withColumn("asks", F.lit(1)))
+    both = both.join(sets.select("row", "n", "values"), "row").select("component", "block", "asks", "row", "n", "values")
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(parts, "component", "block").sortWithinPartitions("component", "block", "asks", "row")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows, sizes, values, cuts, links = None, [], [], [], None, []
+        for batch in batches:
+            for component, block, asks, row, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if (component, block) != at:
+                    at, rows, sizes, values, cuts = (component, block), [], [], [], None
+                own = np.frombuffer(raw, "<u8")
+                if not asks:
+                    rows.append(row)
+                    sizes.append(n)
+                    values.append(own)
+                elif rows:
+                    if cuts is None:
+                        cuts = np.cumsum([0] + [len(v) for v in values])[:-1]
+                        values, sizes = np.concatenate(values), np.array(sizes)
+                    shared = np.add.reduceat(np.isin(values, own).astype(np.int64), cuts)
+                    good = np.flatnonzero(7 * shared >= 3 * (sizes + n))
+                    if len(good):
+                        links.append((row, rows[good[0]]))
+            if links:
+                yield pa.record_batch({k: pa.array(v, pa.int64()) for k, v in zip("ab", zip(*links))})
+                links = []
+
+    return dealt.mapInArrow(meet, "a long, b long")
+
+
 def components(nodes: DataFrame, links: DataFrame, key: str = "row") -> DataFrame:
     """(row, component): the smallest row that links reach; each round also jumps over pointers."""
     both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -354,14 +406,15 @@ def ngram_join(docs: DataFrame, words: int = WORDS) -> DataFrame:
     groups = components(sets, links)
 
     # What is left are pairs of different groups in a list.
-    held = lists.select("value", "row", "n", "shared", "at").join(groups, "row")
-    mixed_lists = held.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    held = stored(held.join(mixed_lists.select("value"), "value"), "open-lists")
-    across = held.alias("x").join(held.alias("y"), (F.col("x.value") == F.col("y.value"))
-                                  & (F.col("x.component") < F.col("y.component")) & _possible("x", "y"))
-    across = across.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
-    across = stored(across.join(stars, ["a", "b"], "left_anti"), "open-pairs")
-    found = links.union(linked(across, sets))
+    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
+    held = lists.select("value", "row", "n", "shared", "at").join(groups.join(sizes, "component"), "row")
+    several = held.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    held = stored(held.join(several.select("value"), "value"), "open-lists")
+    small = held.where(F.col("size") <= MOST_PAIRED)
+    across = small.alias("x").join(small.alias("y"), (F.col("x.value") == F.col("y.value"))
+                                   & (F.col("x.component") < F.col("y.component")) & _possible("x", "y"))
+    across = stored(across.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct(), "open-pairs")
+    found = stored(links.union(linked(across, sets)).union(_linked_to_groups(held, groups, sets)), "all-links")
     groups = components(sets, found)
 
     named = same.join(groups.withColumnRenamed("row", "set_row"), "set_row").select("key", "n_shingles", "component")
