@@ -16,7 +16,7 @@ from rankweave.functions import metadata as md
 from rankweave.functions.embedders import batch_embedder, hash_embedder
 from rankweave.functions.text import build_content, first_part, with_prefix
 from rankweave.functions.vectors import cosine_similarity, hash_embedding
-from rankweave.operators.filters import MetadataFilter
+from rankweave.operators.filters import MetadataFilter, apply_filter
 from rankweave.operators.rows import delete_rows, merge_rows, present_rows, rows_by_id
 from rankweave.plans.similarity import (
     length_histogram,
@@ -26,7 +26,7 @@ from rankweave.plans.similarity import (
     similarity_histogram,
     similarity_stats,
 )
-from rankweave.runtime import scratch_path
+from rankweave.runtime import path_exists, scratch_path
 from rankweave.sources import corpora
 from rankweave.sources.collection import build_collection, create_collection, open_collection, validated
 from rankweave.streaming.ingest import load_stream, stream_corpus
@@ -81,7 +81,7 @@ def get_by_ids(spark, sf):
 def stored_lifecycle(spark, sf):
     """Create, fill, replace, delete by id and by filter, reopen, read."""
     path = scratch_path(spark, "collection")
-    made = create_collection(spark, path, DIM, id_type="bigint", buckets=8)
+    made = create_collection(spark, path, DIM, id_type="bigint")
     made.upsert(collection(spark, sf))
     made.upsert(_incoming(spark, sf), order="n")
     made.delete(ids=table(spark, sf, "labels").where("quality = 0").select(F.col("doc_id").alias("id")))
@@ -91,7 +91,7 @@ def stored_lifecycle(spark, sf):
 
 def stored_lookup(spark, sf):
     path = scratch_path(spark, "collection")
-    made = build_collection(collection(spark, sf), path, DIM, id_type="bigint", buckets=8)
+    made = build_collection(collection(spark, sf), path, DIM, id_type="bigint")
     wanted = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
     return made.get_by_ids(wanted).select("id", F.md5("content").alias("content"))
 
@@ -101,11 +101,11 @@ def stored_texts(spark, sf):
     import pandas as pd
 
     def lengths(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [float(len(t)), float(t.count(" ")), 1.0])
+        return pd.Series(list(zip(texts.str.len().astype(float), texts.str.count(" ").astype(float), [1.0] * len(texts))))
 
     path = scratch_path(spark, "collection")
     docs = table(spark, sf, "documents").select(F.col("text").alias("content"))
-    made = build_collection(docs, path, 3, batch_embedder(lengths), buckets=8)
+    made = build_collection(docs, path, 3, batch_embedder(lengths))
     return made.rows().select(
         F.md5("content").alias("content"), (F.length("id") == 36).alias("has_id"), "metadata",
         F.element_at("embedding", 1).cast("double").alias("chars"),
@@ -113,6 +113,36 @@ def stored_texts(spark, sf):
     )
 
 
+def stored_repeats(spark, sf):
+    """Chat turns as texts of one id a chat, spread over tasks to be embedded: the last row of an id counts."""
+    turns = table(spark, sf, "conversations").orderBy("conv_id", "turn")
+    docs = turns.select(F.col("conv_id").alias("id"), F.col("text").alias("content"))
+    made = build_collection(docs, scratch_path(spark, "collection"), DIM, hash_embedder(DIM), id_type="bigint", partitions=3)
+    return made.rows().select("id", F.md5("content").alias("content"))
+
+
+def stored_compacted(spark, sf):
+    """The lifecycle's changes again, then one version of them: the same rows."""
+    made = build_collection(collection(spark, sf), scratch_path(spark, "collection"), DIM, id_type="bigint")
+    made.upsert(_incoming(spark, sf), order="n")
+    made.delete(ids=table(spark, sf, "labels").where("quality = 0").select(F.col("doc_id").alias("id")))
+    made.compact()
+    return _digest(made.rows())
+
+
+def dropped(spark, sf):
+    """What is left where a collection was dropped, and how many rows a new one has."""
+    path = scratch_path(spark, "collection")
+    made = build_collection(collection(spark, sf), path, DIM, id_type="bigint")
+    held = made.rows().count()
+    made.drop()
+    left = path_exists(spark, path)
+    again = create_collection(spark, path, DIM, id_type="bigint").rows()
+    return again.agg(F.count("*").alias("n")).select(
+        F.lit(held).cast("bigint").alias("held"), F.lit(left).alias("left_over"), "n"
+    )
+
+
 def open_without_metadata(spark, sf):
     """A table without the metadata column serves as a collection."""
     docs = collection(spark, sf).drop("metadata")
@@ -122,10 +152,28 @@ def open_without_metadata(spark, sf):
 # -- functions -----------------------------------------------------------
 
 
+def metadata_typed(spark, sf):
+    """Metadata with the types of its values."""
+    docs = collection(spark, sf).withColumn("typed", md.decode_typed(F.col("metadata")))
+    return docs.select(
+        "id", F.try_variant_get("typed", "$.n_chars", "bigint").alias("n_chars"),
+        F.try_variant_get("typed", "$.tags[1]", "string").alias("tag"),
+        F.regexp_replace(F.schema_of_variant(F.variant_get("typed", "$.lang", "variant")), "STRING.*", "STRING").alias("kind"),
+    )
+
+
+def filter_star_key(spark, sf):
+    """A key that is a path's wildcard names a field like any other."""
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), md.encode(F.col("lang").alias("*"), "source").alias("metadata"))
+    return apply_filter(docs, MetadataFilter("*", "de")).select("id")
+
+
 def content_assembly(spark, sf):
     docs = table(spark, sf, "documents")
     content = build_content(F.col("text"), F.col("source"))
-    return docs.select("doc_id", F.md5(content).alias("content"), F.length(content).cast("bigint").alias("n"))
+    return docs.select("doc_id", F.md5(content).alias("content"), F.length(content).cast("bigint").alias("n"),
+                       F.md5(build_content(F.col("text"), F.col("source"), 8000)).alias("cut"))
 
 
 def text_functions(spark, sf):
@@ -163,7 +211,7 @@ def _corpus(spark, sf):
 def read_corpus_jsonl(spark, sf):
     path = scratch_path(spark, "corpus")
     _corpus(spark, sf).repartition(4).write.json(path)
-    rows = corpora.corpus_to_documents(corpora.read_corpus_jsonl(spark, f"{path}/part-*.json"), max_chars=None)
+    rows = corpora.corpus_to_documents(corpora.read_corpus_jsonl(spark, f"{path}/part-*.json"))
     return rows.select("id", F.md5("content").alias("content"), F.get_json_object("metadata", "$.title").alias("title"))
 
 
@@ -224,9 +272,9 @@ def stream_ingest(spark, sf):
     """A folder of shards, read as a stream and upserted batch by batch."""
     source = scratch_path(spark, "shards")
     _corpus(spark, sf).repartition(6).write.json(source)
-    made = create_collection(spark, scratch_path(spark, "collection"), DIM, buckets=8)
+    made = create_collection(spark, scratch_path(spark, "collection"), DIM)
     stream = load_stream(
-        stream_corpus(spark, source, files_per_batch=3, max_chars=None), made, hash_embedder(DIM), scratch_path(spark, "offsets")
+        stream_corpus(spark, source, files_per_batch=3), made, hash_embedder(DIM), scratch_path(spark, "offsets")
     )
     stream.awaitTermination()
     return made.rows().select("id", F.md5("content").alias("content"))
@@ -244,7 +292,7 @@ def _similarities(spark, sf):
         negative_pairs(sample, pairs, docs).withColumn("kind", F.lit("negative"))
     )
     asked = items.select("query_id", hash_embedding(with_prefix(F.col("text")), DIM).alias("a"))
-    held = docs.join(F.broadcast(chosen), "doc_id").select("query_id", "doc_id", "kind", hash_embedding(F.col("text"), DIM).alias("b"))
+    held = docs.join(chosen, "doc_id").select("query_id", "doc_id", "kind", hash_embedding(F.col("text"), DIM).alias("b"))
     joined = held.join(asked, "query_id")
     return joined.select("query_id", "doc_id", "kind", cosine_similarity(F.col("a"), F.col("b")).alias("similarity"))
 
@@ -285,11 +333,10 @@ merged AS (SELECT * FROM base WHERE id NOT IN (SELECT id FROM incoming) UNION AL
 _SQL_DIGEST = "id, md5(content) AS content, lang, round(list_sum(embedding::DOUBLE[]), 4) + 0e0 AS total"
 
 _SQL_PAIRS = f"""{SQL_QRELS},
-sample AS (SELECT query_id FROM (SELECT DISTINCT query_id FROM qrels) ORDER BY md5(query_id || ':42'), query_id LIMIT 500),
+sample AS (SELECT DISTINCT query_id FROM qrels),
 rel AS (SELECT * FROM qrels WHERE query_id IN (SELECT query_id FROM sample)),
 counts AS (SELECT query_id, count(*) AS n_rel FROM rel GROUP BY query_id),
-listed AS (SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) - 1 AS place FROM documents
-           QUALIFY place < (SELECT max(n_rel) + 1 + 2 * count(*) FROM counts)),
+listed AS (SELECT doc_id, row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) - 1 AS place FROM documents),
 tries AS (SELECT query_id, step,
             ((('0x' || substr(md5(query_id || ':42'), 1, 8))::BIGINT + step) % (SELECT count(*) FROM listed)) AS place
           FROM (SELECT query_id, unnest(range(0, n_rel + 1)) AS step FROM counts)),
@@ -310,7 +357,12 @@ QUERIES = {
     "stored_lifecycle": stored_lifecycle,
     "stored_lookup": stored_lookup,
     "stored_texts": stored_texts,
+    "stored_repeated_ids": stored_repeats,
+    "stored_compacted": stored_compacted,
+    "collection_dropped": dropped,
     "open_without_metadata": open_without_metadata,
+    "metadata_typed": metadata_typed,
+    "filter_star_key": filter_star_key,
     "content_assembly": content_assembly,
     "text_functions": text_functions,
     "metadata_decode": metadata_decode,
@@ -345,9 +397,16 @@ ORACLE = {
       WHERE doc_id IN (SELECT doc_id FROM labels)""",
     "stored_texts": """SELECT md5(text) AS content, TRUE AS has_id, '{}' AS metadata, length(text)::DOUBLE AS chars,
       (length(text) - length(replace(text, ' ', '')))::DOUBLE AS spaces FROM documents""",
+    "stored_repeated_ids": """SELECT conv_id AS id, md5(text) AS content FROM conversations
+      QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
+    "stored_compacted": f"""WITH {_SQL_BASE} SELECT {_SQL_DIGEST} FROM merged
+      WHERE id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)""",
+    "collection_dropped": "SELECT count(*) AS held, FALSE AS left_over, 0::BIGINT AS n FROM documents",
+    "metadata_typed": "SELECT doc_id AS id, n_chars, source AS tag, 'STRING' AS kind FROM documents",
+    "filter_star_key": "SELECT doc_id AS id FROM documents WHERE lang = 'de'",
     "open_without_metadata": "SELECT doc_id AS id, TRUE AS missing FROM documents",
-    "content_assembly": """SELECT doc_id, md5(substr(source || chr(10) || text, 1, 8000)) AS content,
-      length(substr(source || chr(10) || text, 1, 8000)) AS n FROM documents""",
+    "content_assembly": """SELECT doc_id, md5(source || chr(10) || text) AS content,
+      length(source || chr(10) || text) AS n, md5(substr(source || chr(10) || text, 1, 8000)) AS cut FROM documents""",
     "text_functions": """SELECT doc_id, lang AS domain, md5('Query: ' || text) AS prefixed, length(text) AS n FROM documents""",
     "metadata_decode": """SELECT d.doc_id AS id, lang, n_chars, quality FROM documents d
       LEFT JOIN labels l ON l.doc_id = d.doc_id""",

@@ -15,6 +15,8 @@ from checks.tables import (
 from rankweave.operators.filters import MetadataFilter
 from rankweave.operators.rows import delete_rows, merge_rows
 from rankweave.operators.sparse import bm25_topk, build_bm25_index, refresh_bm25_index
+from rankweave.runtime import scratch_path
+from rankweave.sources.indexes import save_bm25_index
 from rankweave.spec import Bm25Params
 
 K = 10
@@ -74,6 +76,30 @@ def bm25_refreshed(spark, sf):
     return _rounded(bm25_topk(index, text_queries(spark, sf), K))
 
 
+def bm25_korean(spark, sf):
+    return _rounded(bm25_topk(bm25_index(spark, sf, "korean"), text_queries(spark, sf), K))
+
+
+def bm25_korean_terms(spark, sf):
+    """Terms of texts with a Korean line in front, the document number in it, by the default analyser."""
+    docs = collection(spark, sf).withColumn("content", F.concat(F.lit(KOREAN_LINE), "id", F.lit("호 "), "content"))
+    return build_bm25_index(docs, Bm25Params("public.korean")).terms.select("term", "df")
+
+
+def bm25_null_content(spark, sf):
+    """Statistics where the French documents have no content."""
+    french = F.get_json_object("metadata", "$.lang") == "fr"
+    docs = collection(spark, sf).withColumn("content", F.when(french, F.lit(None)).otherwise(F.col("content")))
+    path = scratch_path(spark, "bm25-null")
+    saved = save_bm25_index(docs, path, Bm25Params("simple"), buckets=4).stats
+    made = build_bm25_index(docs, Bm25Params("simple")).stats
+    rows = [s.select(F.lit(n).alias("kind"), "n_docs", F.round("avg_dl", 6).alias("avg_dl")) for n, s in (("saved", saved), ("made", made))]
+    return rows[0].unionByName(rows[1])
+
+
+# Fixed value of two registered queries: a line of text in Hangul.
+KOREAN_LINE = "문서번호 "
+
 QUERIES = {
     "bm25_postings": bm25_postings,
     "bm25_terms": bm25_terms,
@@ -83,6 +109,9 @@ QUERIES = {
     "bm25_filtered_topk": bm25_filtered,
     "bm25_unsaved_topk": bm25_unsaved,
     "bm25_refreshed_topk": bm25_refreshed,
+    "bm25_korean_topk": bm25_korean,
+    "bm25_korean_terms": bm25_korean_terms,
+    "bm25_null_content_stats": bm25_null_content,
 }
 
 ORACLE = {
@@ -93,6 +122,16 @@ ORACLE = {
     "bm25_english_topk": _sql_topk("english"),
     "bm25_filtered_topk": _sql_topk(where="lang = 'en'"),
     "bm25_unsaved_topk": _sql_topk(k1=0.9, b=0.4),
+    "bm25_korean_topk": _sql_topk("korean"),
+    "bm25_korean_terms": f"""WITH {SQL_COLLECTION},
+    lined AS (SELECT id, '{KOREAN_LINE}' || id || '호 ' || content AS content FROM coll),
+    {sql_bm25('korean', source='lined')} SELECT term, df FROM dfs""",
+    "bm25_null_content_stats": r"""WITH sizes AS (
+      SELECT CASE WHEN lang = 'fr' THEN 0
+             ELSE len(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) END AS dl
+      FROM documents)
+    SELECT kind, count(*) AS n_docs, round(sum(dl) / count(*), 6) + 0e0 AS avg_dl
+    FROM sizes, (VALUES ('saved'), ('made')) k(kind) GROUP BY kind""",
     "bm25_refreshed_topk": f"""WITH {SQL_COLLECTION},
     changed AS (SELECT id, CASE WHEN lang = 'de' THEN 'replaced ' || content ELSE content END AS content
                 FROM coll WHERE lang <> 'fr'),

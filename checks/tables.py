@@ -83,7 +83,7 @@ def sentence_qrels(spark: SparkSession, sf: str) -> DataFrame:
     def sentences(rows: DataFrame, key: str, name: str) -> DataFrame:
         pieces = F.explode(F.split("text", r"[.\n]")).alias("sentence")
         cut = rows.select(F.col(key).alias(name), pieces)
-        return cut.select(name, F.trim("sentence").alias("sentence")).where(F.length("sentence") >= 20)
+        return cut.select(name, F.trim("sentence").alias("sentence")).where(F.col("sentence") != "")
 
     asked = sentences(table(spark, sf, "benchmark"), "item_id", "query_id")
     held = sentences(table(spark, sf, "documents"), "doc_id", "doc_id")
@@ -148,7 +148,7 @@ item_sentences AS (
   SELECT item_id, trim(unnest(regexp_split_to_array(text, '[.\n]'))) AS sentence FROM benchmark),
 qrels AS (
   SELECT DISTINCT item_id AS query_id, doc_id
-  FROM doc_sentences JOIN item_sentences USING (sentence) WHERE length(sentence) >= 20)"""
+  FROM doc_sentences JOIN item_sentences USING (sentence) WHERE sentence <> '')"""
 
 
 def sql_distance(metric: str, a: str, b: str) -> str:
@@ -186,12 +186,24 @@ def sql_english(tokens: str) -> str:
     )
 
 
+def sql_korean(text: str) -> str:
+    """Overlapping pairs of Hangul syllables, whole words of other scripts."""
+    apart = f"regexp_replace(lower({text}), '([가-힣]+)', ' \\1 ', 'g')"
+    words = SQL_TOKENS["simple"].format(apart)
+    return (
+        f"flatten(list_transform({words}, lambda w: CASE WHEN regexp_matches(w, '^[가-힣]{{2}}') "
+        "THEN list_transform(range(1, length(w)), lambda i: substr(w, i::BIGINT, 2)) ELSE [w] END))"
+    )
+
+
 def sql_bm25(config: str = "simple", k1: float = 1.2, b: float = 0.75, source: str = "coll") -> str:
     """CTEs of a BM25 index and of all scores: postings, dfs, stats, bm25_scores."""
     doc = SQL_TOKENS["simple"].format("content")
     query = SQL_TOKENS["simple"].format("query_text")
     if config == "english":
         doc, query = sql_english(doc), sql_english(query)
+    if config == "korean":
+        doc, query = sql_korean("content"), sql_korean("query_text")
     return f"""
 doc_tokens AS (SELECT id, {doc} AS tokens FROM {source}),
 doc_terms AS (SELECT id, len(tokens) AS dl, unnest(tokens) AS term FROM doc_tokens),

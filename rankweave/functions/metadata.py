@@ -12,7 +12,7 @@ def _path(key: str) -> str:
 
 def _needs_map(key: str) -> bool:
     """Keys that a JSON path cannot name."""
-    return not key or "'" in key or "?" in key
+    return not key or key == "*" or "'" in key or "?" in key
 
 
 def encode(*columns: Column | str) -> Column:
@@ -26,6 +26,11 @@ def decode(metadata: Column) -> Column:
     return F.coalesce(F.from_json(metadata, "map<string,string>"), empty)
 
 
+def decode_typed(metadata: Column) -> Column:
+    """JSON object as a variant, values with their JSON types; NULL becomes an empty object."""
+    return F.coalesce(F.try_parse_json(metadata), F.parse_json(F.lit("{}")))
+
+
 def or_empty(metadata: Column) -> Column:
     return F.coalesce(metadata, F.lit("{}"))
 

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 Analyzer = Callable[[Column], Column]
 
-# Fixed value: most characters of a title + text that go into the content.
-MAX_CONTENT_CHARS = 8000
-
 # Fixed value: what the evaluation puts before a query.
 QUERY_PREFIX = "Query: "
 
@@ -37,9 +34,9 @@ _SCRIPT_RUNS = rf"([{_HANGUL}]+|[\p{{L}}\p{{N}}&&[^{_HANGUL}]]+)"
 
 
 def build_content(
-    text: Column, title: Column | None = None, max_chars: int | None = MAX_CONTENT_CHARS
+    text: Column, title: Column | None = None, max_chars: int | None = None
 ) -> Column:
-    """Document content: the title on its own line, then the text."""
+    """Document content: the title on its own line, then the text; whole unless a length is given."""
     whole = text if title is None else F.concat(title, F.lit("\n"), text)
     return whole if max_chars is None else F.substring(whole, 1, max_chars)
 

@@ -111,7 +111,10 @@ def document_frequencies(postings: DataFrame) -> DataFrame:
 
 
 def length_stats(lengths: DataFrame) -> DataFrame:
-    return lengths.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"))
+    """Documents and their average length; a document without content counts, with length 0."""
+    total = F.coalesce(F.sum(F.coalesce("dl", F.lit(0))), F.lit(0))
+    average = F.coalesce(F.try_divide(total, F.count("*")), F.lit(0.0))
+    return lengths.agg(F.count("*").alias("n_docs"), average.alias("avg_dl"))
 
 
 def refresh_bm25_index(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +29,19 @@ class SearchTarget:
     bm25: Bm25Index | None = None
     vectors: IvfIndex | None = None
     spec: CollectionSpec = CollectionSpec()
+    #: The caller's word that every search filters by the condition of a partial
+    #: vector index. Without it such an index would lose rows, and is not used.
+    filters_imply_index: bool = False
+
+    def usable_vectors(self) -> IvfIndex | None:
+        whole = self.vectors is None or self.vectors.params.where is None
+        return self.vectors if whole or self.filters_imply_index else None
 
 
 def _dense(target: SearchTarget, queries: DataFrame, k: int, config: SearchConfig, filter) -> DataFrame:
-    if target.vectors is not None:
-        return ivf_search(
-            target.vectors, queries, k, config.probes, filter, config.iterative_scan
-        )
+    vectors = target.usable_vectors()
+    if vectors is not None:
+        return ivf_search(vectors, queries, k, config.probes, filter, config.iterative_scan)
     return knn(target.docs, queries, k, config.distance_strategy, filter, target.spec)
 
 
@@ -69,9 +75,16 @@ def ranked(
 
     With query texts and the sparse arm enabled the arms of the config run;
     one arm alone is cut to k without fusion. With vectors only, the search is
-    dense with k rows.
+    dense with k rows; so it is for single queries of empty or null text.
     """
     has_text = "query_text" in queries.columns
+    if has_text and config.enable_sparse:
+        silent = F.coalesce("query_text", F.lit("")) == ""
+        if not queries.where(silent).isEmpty():
+            asked = ranked(target, queries.where(~silent), config, k, filter)
+            unasked = queries.where(silent).drop("query_text")
+            dense = ranked(target, unasked, replace(config, enable_dense=True), k, filter)
+            return asked.select(dense.columns).unionByName(dense)
     no_rank, no_score = F.lit(None).cast("int"), F.lit(None).cast("double")
     if not (has_text and config.enable_sparse):
         if not config.enable_dense:
@@ -91,6 +104,9 @@ def ranked(
         )
     dense, sparse = candidates(target, queries, config, filter)
     fuse = config.fusion_function or reciprocal_rank_fusion
+    # Distances are those of the index, if one was searched.
+    vectors = target.usable_vectors()
+    metric = config.distance_strategy if vectors is None else vectors.params.distance_strategy
     return fuse(
         dense,
         sparse,
@@ -98,7 +114,7 @@ def ranked(
         dense_weight=config.dense_weight,
         sparse_weight=config.sparse_weight,
         fetch_top_k=k,
-        distance_strategy=config.distance_strategy,
+        distance_strategy=metric,
     )
 
 

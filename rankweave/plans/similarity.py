@@ -5,74 +5,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Sample size, seed, and the edges 0 .. 1 of the histogram.
-SAMPLE_QUERIES = 500
+# Seed, and the edges 0 .. 1 of the histogram.
 SAMPLE_SEED = 42
 SIMILARITY_EDGES = 50
 LENGTH_BINS = 10
 
-# Length of the list that negatives are drawn from, for each sampled query, and
-# the longest list that is taken by a top-n; a longer one is numbered in ranges.
-LIST_PER_QUERY = 2
-MAX_SORTED_LIST = 100_000
+# Documents numbered in one task, about; sets how finely the hash order is cut.
+NUMBERED_ROWS = 50_000
 
 
 def seeded_hash(column: Column, seed: int) -> Column:
     return F.md5(F.concat(column.cast("string"), F.lit(f":{seed}")))
 
 
-def sample_queries(qrels: DataFrame, queries: DataFrame, n: int = SAMPLE_QUERIES, seed: int = SAMPLE_SEED) -> DataFrame:
-    """n judged queries that exist, in seeded order: (query_id).
-
-    The sample is broadcast below: n bounds it.
-    """
+def sample_queries(qrels: DataFrame, queries: DataFrame, n: int | None = None, seed: int = SAMPLE_SEED) -> DataFrame:
+    """Judged queries that exist: (query_id). With ``n``, the first n in seeded order."""
     judged = qrels.select("query_id").distinct().join(queries, "query_id", "left_semi")
     order = [seeded_hash(F.col("query_id"), seed), F.col("query_id")]
-    return judged.orderBy(*order).limit(n)
+    return judged if n is None else judged.orderBy(*order).limit(n)
 
 
 def positive_pairs(sample: DataFrame, qrels: DataFrame) -> DataFrame:
     """One relevant document for each sampled query: (query_id, doc_id)."""
-    relevant = qrels.join(F.broadcast(sample), "query_id", "left_semi")
+    relevant = qrels.join(sample, "query_id", "left_semi")
     return relevant.groupBy("query_id").agg(F.min("doc_id").alias("doc_id"))
 
 
-def _numbered(ids: DataFrame, seed: int) -> DataFrame:
+def _numbered(ids: DataFrame, seed: int, rows: int) -> DataFrame:
     """Ids numbered from 0 in seeded order: (place, doc_id).
 
-    The first hex digits of the hash cut the order into 4096 even ranges; a
-    row's place is its number in the range plus the sizes of the ranges before.
+    The first hex digits of the hash cut the order into even ranges; a row's
+    place is its number in the range plus the sizes of the ranges before. How
+    many digits cut it changes the tasks and not the places.
     """
+    digits = 2
+    while 16**digits * NUMBERED_ROWS < rows:
+        digits += 1
     hashed = ids.select("doc_id", seeded_hash(F.col("doc_id"), seed).alias("h"))
-    hashed = hashed.withColumn("range", F.substring("h", 1, 3))
+    hashed = hashed.withColumn("range", F.substring("h", 1, digits))
     sizes = hashed.groupBy("range").agg(F.count("*").alias("n"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("range").orderBy("h", "doc_id")
     numbered = hashed.withColumn("number", F.row_number().over(inside) - 1)
-    return numbered.join(F.broadcast(offsets), "range").select(
-        (F.col("offset") + F.col("number")).alias("place"), "doc_id"
-    )
+    return numbered.join(offsets, "range").select((F.col("offset") + F.col("number")).alias("place"), "doc_id")
 
 
 def negative_pairs(sample: DataFrame, qrels: DataFrame, docs: DataFrame, seed: int = SAMPLE_SEED) -> DataFrame:
     """One seeded random document that is not relevant, for each sampled query.
 
-    A query starts at a place of its own in a seeded list of documents and
-    takes the first one not judged relevant. A query with n relevant documents
-    never needs more than n + 1 steps, so no query meets all documents, and
-    the list has to be no longer than the largest such number.
+    All documents stand in seeded order. A query starts at a place of its own
+    and takes the first document not judged relevant. A query with n relevant
+    documents never needs more than n + 1 steps, so no query meets all of them.
     """
-    relevant = qrels.select("query_id", "doc_id").distinct().join(
-        F.broadcast(sample), "query_id", "left_semi"
-    )
+    relevant = qrels.select("query_id", "doc_id").distinct().join(sample, "query_id", "left_semi")
     counts = relevant.groupBy("query_id").agg(F.count("*").alias("n_rel"))
-    most, sampled = counts.agg(F.coalesce(F.max("n_rel"), F.lit(0)), F.count("*")).first()
-    size = most + 1 + LIST_PER_QUERY * sampled
     ids = docs.select("doc_id")
-    if size <= MAX_SORTED_LIST:
-        ids = ids.orderBy(seeded_hash(F.col("doc_id"), seed), "doc_id").limit(size)
-    listed = _numbered(ids, seed)
     length = ids.count()
     digits = F.substring(seeded_hash(F.col("query_id"), seed), 1, 8)
     start = F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(length))
@@ -80,7 +68,7 @@ def negative_pairs(sample: DataFrame, qrels: DataFrame, docs: DataFrame, seed: i
     tries = counts.select("query_id", start.alias("start"), steps).select(
         "query_id", "step", F.pmod(F.col("start") + F.col("step"), F.lit(length)).alias("place")
     )
-    tried = tries.join(F.broadcast(listed) if size <= MAX_SORTED_LIST else listed, "place")
+    tried = tries.join(_numbered(ids, seed, length), "place")
     free = tried.join(relevant, ["query_id", "doc_id"], "left_anti")
     return free.groupBy("query_id").agg(F.min_by("doc_id", "step").alias("doc_id"))
 

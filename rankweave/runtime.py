@@ -22,11 +22,11 @@ def is_small(
 ) -> bool:
     """True when ``df`` is proven to be under both bounds.
 
-    Reads at most ``max_rows + 1`` rows. ``width`` gives the bytes of the
-    variable part of a row; 64 bytes are added for the rest.
+    A count and a sum over all rows, added up in each task first. ``width``
+    gives the bytes of the variable part of a row; 64 bytes are added for the rest.
     """
     size = F.lit(64) if width is None else F.coalesce(width, F.lit(0)) + 64
-    rows, size_sum = df.limit(max_rows + 1).agg(*size_of(size)).first()
+    rows, size_sum = df.agg(*size_of(size)).first()
     return rows <= max_rows and size_sum <= max_bytes
 
 
@@ -43,7 +43,7 @@ def broadcast_if_small(df: DataFrame, width: Column | None = None) -> DataFrame:
 def few_results(queries: DataFrame, k: int) -> bool:
     """True when k result rows for every query stay under the broadcast bound."""
     most = MAX_BROADCAST_ROWS // max(1, k)
-    return queries.select("query_id").limit(most + 1).count() <= most
+    return queries.count() <= most
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -88,3 +88,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(target))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(target)]

@@ -1,9 +1,9 @@
-"""A stored collection: Parquet files by id bucket, changed bucket by bucket.
+"""A stored collection: appended rows, of which the latest of an id counts.
 
-A change writes the buckets it touches into a new version folder, then appends
-one row for each of them to the ``commits`` table; until that append, readers
-see the state before. A change that dies half-way leaves no trace a reader
-sees, and doing it again is safe. One writer at a time.
+Every change appends a folder ``rows/version=N`` with its own rows only: new
+and replaced documents, or the ids that go. Readers take the row with the
+highest version of each id. ``compact`` writes the current rows anew and lets
+the older folders go. One writer at a time.
 """
 
 from __future__ import annotations
@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankweave.functions.embedders import Embedder, embed_documents
 from rankweave.operators.filters import Filter, compile_filter
-from rankweave.operators.rows import delete_rows, merge_rows, present_rows, rows_by_id, with_defaults
-from rankweave.runtime import path_exists, remove_path, scratch_path
+from rankweave.operators.rows import latest_rows, present_rows, rows_by_id, with_defaults
+from rankweave.runtime import broadcast_if_small, folders, path_exists, remove_path
 from rankweave.spec import CollectionSpec
 
 _ID_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType()}
@@ -45,37 +45,36 @@ class Collection:
     spec: CollectionSpec
     dim: int
     id_type: str
-    buckets: int
 
     # -- reading ---------------------------------------------------------
 
-    def _live(self) -> dict[int, int]:
-        """Bucket -> version that holds it now (at most one row a bucket)."""
-        commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
-        newest = commits.groupBy("bucket").agg(F.max_by(F.struct("version", "has_rows"), "version").alias("c"))
-        return {r["bucket"]: r["c"]["version"] for r in newest.collect() if r["c"]["has_rows"]}
-
-    def _last_version(self) -> int:
-        commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits")
-        return commits.agg(F.max("version")).first()[0] or 0
-
-    def _read(self, only: Sequence[int] | None = None) -> DataFrame:
-        live = self._live()
-        chosen = live if only is None else {b: live[b] for b in only if b in live}
-        schema = _schema(self.spec, self.id_type)
-        if not chosen:
-            return self.spark.createDataFrame([], schema.add("bucket", T.IntegerType()))
-        paths = [f"{self.path}/rows/version={v}/bucket={b}" for b, v in sorted(chosen.items())]
-        whole = schema.add("version", T.LongType()).add("bucket", T.IntegerType())
-        files = self.spark.read.schema(whole).option("basePath", f"{self.path}/rows")
-        return files.parquet(*paths).drop("version")
+    def _stored(self) -> DataFrame:
+        """Every appended row, with its version and whether it is a deletion."""
+        whole = _schema(self.spec, self.id_type).add("deleted", T.BooleanType()).add("version", T.LongType())
+        return self.spark.read.schema(whole).parquet(f"{self.path}/rows")
+
+    def versions(self) -> list[int]:
+        """Numbers of the changes that are stored, from the names of their folders."""
+        return sorted(int(n[8:]) for n in folders(self.spark, f"{self.path}/rows") if n.startswith("version="))
 
     def rows(self) -> DataFrame:
-        """All documents as they are now."""
-        return self._read().select(self.spec.columns())
+        """All documents as they are now.
 
-    def _bucket(self, id_column: Column) -> Column:
-        return F.pmod(F.xxhash64(id_column.cast(_ID_TYPES[self.id_type])), F.lit(self.buckets)).cast("int")
+        The oldest version holds each id once, so it is not shuffled: what later
+        changes name is taken out of it, and their latest rows are added.
+        """
+        numbers, key, columns = self.versions(), self.spec.id, self.spec.columns()
+        if not numbers:
+            return self.spark.createDataFrame([], _schema(self.spec, self.id_type))
+        stored = self._stored()
+        base = stored.where((F.col("version") == numbers[0]) & ~F.col("deleted"))
+        if len(numbers) == 1:
+            return base.select(columns)
+        newest = Window.partitionBy(key).orderBy(F.desc("version"))
+        later = stored.where(F.col("version") > numbers[0])
+        last = later.withColumn("_n", F.row_number().over(newest)).where("_n = 1 AND NOT deleted")
+        named = broadcast_if_small(later.select(key).distinct(), F.octet_length(F.col(key).cast("string")))
+        return base.join(named, key, "left_anti").select(columns).unionByName(last.select(columns))
 
     def _named(self, ids: DataFrame | Sequence[Any]) -> DataFrame:
         if isinstance(ids, DataFrame):
@@ -83,67 +82,56 @@ class Collection:
         schema = T.StructType([T.StructField(self.spec.id, _ID_TYPES[self.id_type])])
         return self.spark.createDataFrame([(i,) for i in ids], schema)
 
-    def _buckets_of(self, rows: DataFrame) -> list[int]:
-        return [r[0] for r in rows.select("bucket").distinct().collect()]
-
     def get_by_ids(self, ids: DataFrame | Sequence[Any]) -> DataFrame:
-        """Documents with these ids (id as text, content, metadata); reads
-        only the buckets they lie in. Ids that do not exist are absent."""
-        named = self._named(ids)
-        buckets = self._buckets_of(named.select(self._bucket(F.col(self.spec.id)).alias("bucket")))
-        found = rows_by_id(self._read(buckets).select(self.spec.columns()), named, self.spec)
-        return present_rows(found, self.spec)
+        """Documents with these ids (id as text, content, metadata). Ids that
+        do not exist are absent."""
+        return present_rows(rows_by_id(self.rows(), self._named(ids), self.spec), self.spec)
 
     # -- changing --------------------------------------------------------
 
-    def _commit(self, rows: DataFrame, touched: Sequence[int]) -> None:
-        """Write the new content of the touched buckets and make it current."""
-        version = self._last_version() + 1
-        target = f"{self.path}/rows/version={version}"
-        # Rebalancing splits a bucket that is too large for one task.
-        balanced = rows.withColumn("bucket", self._bucket(F.col(self.spec.id))).hint("rebalance", "bucket")
-        balanced.write.mode("overwrite").partitionBy("bucket").parquet(target)
-        whole = _schema(self.spec, self.id_type).add("bucket", T.IntegerType())
-        written = set(self._buckets_of(self.spark.read.schema(whole).parquet(target)))
-        log = self.spark.createDataFrame([(version, b, b in written) for b in sorted(touched)], _COMMITS)
-        log.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+    def _append(self, rows: DataFrame) -> DataFrame:
+        """Store rows as the next version; returns them as they were stored."""
+        version = max(self.versions(), default=0) + 1
+        path = f"{self.path}/rows/version={version}"
+        rows.write.mode("overwrite").parquet(path)
+        schema = _schema(self.spec, self.id_type).add("deleted", T.BooleanType())
+        return self.spark.read.schema(schema).parquet(path)
 
     def upsert(self, docs: DataFrame, order: str | None = None) -> DataFrame:
         """Insert or replace rows by id; returns the ids as a DataFrame.
 
         A missing id becomes a random one, missing metadata ``{}``. Of rows
-        with the same id the last counts: by ``order``, or by position.
+        with the same id the last counts: by ``order``, or by position. Only
+        these rows are written.
         """
         spec = self.spec
         ordinal = F.monotonically_increasing_id() if order is None else F.col(order)
+        vector = F.col(spec.embedding).cast("array<float>")
+        fit = F.col(spec.content).isNotNull() & F.coalesce(F.size(vector) == self.dim, F.lit(False))
+        refusal = f"every row needs content and an embedding of {self.dim} values"
         incoming = with_defaults(docs, spec).select(
             F.col(spec.id).cast(_ID_TYPES[self.id_type]).alias(spec.id),
-            F.col(spec.content),
-            F.col(spec.embedding).cast("array<float>").alias(spec.embedding),
+            F.when(fit, F.col(spec.content)).otherwise(F.raise_error(F.lit(refusal)).cast("string")).alias(spec.content),
+            vector.alias(spec.embedding),
             *([spec.metadata] if spec.metadata else []),
             ordinal.alias("_ordinal"),
         )
-        # Random ids must be written before they are used more than once.
-        staged_path = scratch_path(self.spark, "upsert")
-        incoming.withColumn("bucket", self._bucket(F.col(spec.id))).write.parquet(staged_path)
-        staged = self.spark.read.parquet(staged_path)
-        bad = staged.where(
-            F.col(spec.content).isNull()
-            | F.col(spec.embedding).isNull()
-            | (F.size(spec.embedding) != self.dim)
-        )
-        if not bad.isEmpty():
-            remove_path(self.spark, staged_path)
-            raise ValueError(f"every row needs content and an embedding of {self.dim} values")
-        touched = self._buckets_of(staged)
-        base = self._read(touched)
-        self._commit(merge_rows(base, staged, "_ordinal", spec), touched)
-        return staged.select(spec.id)
+        last = latest_rows(incoming, "_ordinal", spec).withColumn("deleted", F.lit(False))
+        try:
+            return self._append(last).select(spec.id)
+        except Exception as error:
+            # The failed write has left no version behind.
+            if refusal in str(error):
+                remove_path(self.spark, f"{self.path}/rows/version={max(self.versions(), default=0) + 1}")
+                raise ValueError(refusal) from error
+            raise
 
     def add_texts(
         self, docs: DataFrame, embedder: Embedder, order: str | None = None, partitions: int | None = None
     ) -> DataFrame:
-        """Embed the contents, then upsert."""
+        """Embed the contents, then upsert. Positions are taken before rows are spread."""
+        if order is None:
+            docs, order = docs.withColumn("_place", F.monotonically_increasing_id()), "_place"
         embedded = embed_documents(docs, embedder, self.spec.content, self.spec.embedding, partitions)
         return self.upsert(embedded, order)
 
@@ -152,46 +140,40 @@ class Collection:
     ) -> bool:
         """Delete rows by id, by filter, or by both together.
 
-        False when nothing was asked for: no ids, and no filter or an empty one.
+        Stores the ids that go. False when nothing was asked for: no ids, and no
+        filter or an empty one.
         """
         spec = self.spec
         predicate = compile_filter(filter, spec.metadata)
         given = None if ids is None or (not isinstance(ids, DataFrame) and not len(ids)) else self._named(ids)
         if given is None and predicate is None:
             return False
+        gone = self.rows() if predicate is None else self.rows().where(predicate)
         if given is not None:
-            buckets = self._buckets_of(given.select(self._bucket(F.col(spec.id)).alias("bucket")))
-        else:
-            buckets = self._buckets_of(self._read().where(predicate))
-        touched = [b for b in buckets if b in self._live()]
-        if touched:
-            base = self._read(touched).select(spec.columns())
-            self._commit(delete_rows(base, given, filter, spec), touched)
+            gone = rows_by_id(gone, given, spec)
+        empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in _schema(spec, self.id_type).fields[1:]]
+        self._append(gone.select(spec.id, *empty, F.lit(True).alias("deleted")))
         return True
 
-    def remove_old_versions(self) -> int:
-        """Delete the files that later changes replaced; no reader may be open.
+    def compact(self) -> int:
+        """Write the current rows as one version and remove the older ones; no reader may be open.
 
-        Returns how many bucket folders went.
+        Returns how many versions went. Oldest first: a deletion outlives the
+        rows it hides.
         """
-        live = self._live()
-        commits = self.spark.read.schema(_COMMITS).parquet(f"{self.path}/commits").where("has_rows")
-        old = [r for r in commits.collect() if live.get(r["bucket"]) != r["version"]]
-        paths = [f"{self.path}/rows/version={r['version']}/bucket={r['bucket']}" for r in old]
-        return sum(remove_path(self.spark, path) for path in paths)
+        older = self.versions()
+        if len(older) < 2:
+            return 0
+        self._append(self.rows().withColumn("deleted", F.lit(False)))
+        for version in older:
+            remove_path(self.spark, f"{self.path}/rows/version={version}")
+        return len(older)
 
     def drop(self) -> None:
         drop_collection(self.spark, self.path)
 
 
-_COMMITS = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("has_rows", T.BooleanType()),
-    ]
-)
-_DEFINITION = "id string, content string, embedding string, metadata string, dim int, id_type string, buckets int"
+_DEFINITION = "id string, content string, embedding string, metadata string, dim int, id_type string"
 
 
 def create_collection(
@@ -200,7 +182,6 @@ def create_collection(
     dim: int,
     spec: CollectionSpec = CollectionSpec(),
     id_type: str = "string",
-    buckets: int = 64,
     overwrite: bool = False,
 ) -> Collection:
     """Create a collection if there is none; ``overwrite`` starts it anew."""
@@ -209,8 +190,7 @@ def create_collection(
     if overwrite:
         drop_collection(spark, path)
     if not path_exists(spark, f"{path}/definition"):
-        row = (spec.id, spec.content, spec.embedding, spec.metadata, dim, id_type, buckets)
-        spark.createDataFrame([], _COMMITS).coalesce(1).write.mode("overwrite").parquet(f"{path}/commits")
+        row = (spec.id, spec.content, spec.embedding, spec.metadata, dim, id_type)
         spark.createDataFrame([row], _DEFINITION).coalesce(1).write.parquet(f"{path}/definition")
     return open_collection(spark, path)
 
@@ -221,7 +201,7 @@ def open_collection(spark: SparkSession, path: str) -> Collection:
         raise ValueError(f"no collection at {path}")
     d = spark.read.schema(_DEFINITION).parquet(f"{path}/definition").first()
     spec = CollectionSpec(d["id"], d["content"], d["embedding"], d["metadata"])
-    return Collection(spark, path, spec, d["dim"], d["id_type"], d["buckets"])
+    return Collection(spark, path, spec, d["dim"], d["id_type"])
 
 
 def drop_collection(spark: SparkSession, path: str) -> None:
@@ -254,12 +234,14 @@ def build_collection(
     dim: int,
     embedder: Embedder | None = None,
     spec: CollectionSpec = CollectionSpec(),
+    order: str | None = None,
+    partitions: int | None = None,
     **options: Any,
 ) -> Collection:
     """Create a collection and fill it in one call."""
     collection = create_collection(docs.sparkSession, path, dim, spec, **options)
     if embedder is None:
-        collection.upsert(docs)
+        collection.upsert(docs, order)
     else:
-        collection.add_texts(docs, embedder)
+        collection.add_texts(docs, embedder, order, partitions)
     return collection

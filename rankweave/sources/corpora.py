@@ -6,22 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankweave.functions.metadata import encode
-from rankweave.functions.text import MAX_CONTENT_CHARS, build_content
+from rankweave.functions.text import build_content
 
 
-def read_corpus_jsonl(
-    spark: SparkSession, path: str, titled: bool = True, max_docs: int | None = None
-) -> DataFrame:
+def read_corpus_jsonl(spark: SparkSession, path: str, titled: bool = True) -> DataFrame:
     """JSON-lines corpus: (docid, [title], text). A glob reads all its shards."""
     title = "title string, " if titled else ""
-    rows = spark.read.schema(f"docid string, {title}text string").json(path)
-    return rows if max_docs is None else rows.limit(max_docs)
+    return spark.read.schema(f"docid string, {title}text string").json(path)
 
 
-def read_corpus_parquet(spark: SparkSession, path: str, max_docs: int | None = None) -> DataFrame:
+def read_corpus_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Columnar corpus (_id, title, text) as (docid, title, text)."""
-    rows = spark.read.parquet(path).select(F.col("_id").alias("docid"), "title", "text")
-    return rows if max_docs is None else rows.limit(max_docs)
+    return spark.read.parquet(path).select(F.col("_id").alias("docid"), "title", "text")
 
 
 def read_queries_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -83,7 +79,7 @@ def read_qrels_parquet(spark: SparkSession, path: str) -> DataFrame:
 def corpus_to_documents(
     corpus: DataFrame,
     titled: bool = True,
-    max_chars: int | None = MAX_CONTENT_CHARS,
+    max_chars: int | None = None,
     metadata: list[Column | str] | None = None,
 ) -> DataFrame:
     """Corpus rows as documents (id, content, metadata); the id is also metadata."""

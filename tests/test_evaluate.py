@@ -102,9 +102,18 @@ def test_sweep_configurations(spark):
     assert best["hybrid (RRF k=60, d=0.7)"] != best["hybrid (RRF k=60)"]
 
 
-@pytest.mark.parametrize("longest", [100_000, 3])
-def test_negatives_are_not_relevant(spark, monkeypatch, longest):
-    monkeypatch.setattr(similarity, "MAX_SORTED_LIST", longest)
+def test_negatives_do_not_depend_on_layout_or_ranges(spark, monkeypatch):
+    pairs = spark.createDataFrame([(q, (q * 7 + d) % 500) for q in range(40) for d in range(q % 5 + 1)], "query_id int, doc_id long")
+    sample = pairs.select("query_id").distinct()
+    docs = spark.range(500).select(F.col("id").alias("doc_id"))
+    found = []
+    for rows, parts in ((50_000, 1), (50_000, 7), (1, 3)):
+        monkeypatch.setattr(similarity, "NUMBERED_ROWS", rows)
+        found.append(sorted(map(tuple, negative_pairs(sample, pairs, docs.repartition(parts)).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 40
+
+
+def test_negatives_are_not_relevant(spark):
     docs = spark.range(30).select(F.col("id").alias("doc_id"))
     # Query 0 finds every document but one relevant.
     pairs = spark.createDataFrame([(0, d) for d in range(29)] + [(q, q) for q in range(1, 20)], "query_id int, doc_id long")

@@ -13,56 +13,55 @@ from rankweave.operators.filters import (
     filter_from_dict,
 )
 
-CORPUS = [
-    ("tech", "ai", 2024, 4.5, True), ("tech", "database", 2023, 4.8, True),
-    ("tech", "database", 2024, 4.2, True), ("tech", "search", 2022, 4.0, True),
-    ("tech", "search", 2024, 4.7, False), ("programming", "python", 2023, 4.9, True),
-    ("programming", "javascript", 2023, 4.3, True), ("travel", "domestic", 2024, 4.6, True),
-    ("travel", "international", 2023, 4.4, True), ("food", "korean", 2024, 3.8, False),
+# A shelf of instruments: family, body, strings, weight, in_tune.
+SHELF = [
+    ("plucked", "spruce", 6, 1.9, True), ("plucked", "maple", 12, 2.3, False), ("plucked", "carbon", 4, 2.0, True),
+    ("bowed", "spruce", 4, 0.5, True), ("bowed", "maple", 4, 0.6, True), ("bowed", "maple", 4, 3.1, False),
+    ("struck", "spruce", 230, 310.0, False), ("struck", "copper", 0, 48.5, True), ("blown", "silver", 0, 0.4, True),
+    ("blown", "grenadilla", 0, 0.8, True), ("blown", "brass", 0, 1.1, False), ("blown", "brass", 0, 9.7, True),
 ]
-KEYS = ("category", "subcategory", "year", "rating", "published")
+FIELDS = ("family", "body", "strings", "weight", "in_tune")
 
 
 @pytest.fixture(scope="module")
-def corpus(spark):
-    data = [(i, json.dumps(dict(zip(KEYS, row)))) for i, row in enumerate(CORPUS)]
+def shelf(spark):
+    data = [(i, json.dumps(dict(zip(FIELDS, row)))) for i, row in enumerate(SHELF)]
     return spark.createDataFrame(data, "id int, metadata string").cache()
 
 
-TECH = M("category", "tech")
+BLOWN = M("family", "blown")
 
 
 @pytest.mark.parametrize(
-    "node, n",
+    "node, keep",
     [
-        (TECH, 5),
-        (M("category", "tech", Op.NE), 5),
-        (M("rating", 4.5, Op.GT), 4),
-        (M("rating", 4.5, Op.GTE), 5),
-        (M("year", 2024, Op.LT), 5),
-        (M("year", 2023, Op.LTE), 5),
-        (M("category", ["tech", "programming"], Op.IN), 7),
-        (M("category", ["travel", "food"], Op.NIN), 7),
-        (M("year", [2023, 2024], Op.BETWEEN), 9),
-        (M("published", True, Op.EXISTS), 10),
-        (M("subcategory", "data%", Op.TEXT_MATCH), 2),
-        (M("subcategory", "%SEARCH%", Op.TEXT_MATCH_INSENSITIVE), 2),
-        (M("subcategory", "%SEARCH%", Op.TEXT_MATCH), 0),
-        (G([TECH, M("year", 2024, Op.GTE)]), 3),
-        (G([M("category", "travel"), M("category", "food")], C.OR), 3),
-        (G([TECH], C.NOT), 5),
-        (G([G([TECH, M("rating", 4.5, Op.GTE)]), M("category", "programming")], C.OR), 5),
-        (G([TECH, M("year", 2023, Op.GTE), M("published", True)]), 3),
-        (M("category", "nonexistent"), 0),
-        (M("published", True), 8),
-        (M("published", False), 2),
-        (M("published", [True], Op.IN), 8),
-        (M("year", [2022, 2023], Op.IN), 5),
+        (BLOWN, lambda f, b, s, w, t: f == "blown"),
+        (M("family", "blown", Op.NE), lambda f, b, s, w, t: f != "blown"),
+        (M("weight", 2.0, Op.GT), lambda f, b, s, w, t: w > 2.0),
+        (M("weight", 2.0, Op.GTE), lambda f, b, s, w, t: w >= 2.0),
+        (M("strings", 6, Op.LT), lambda f, b, s, w, t: s < 6),
+        (M("strings", 6, Op.LTE), lambda f, b, s, w, t: s <= 6),
+        (M("body", ["brass", "copper"], Op.IN), lambda f, b, s, w, t: b in ("brass", "copper")),
+        (M("body", ["brass", "maple"], Op.NIN), lambda f, b, s, w, t: b not in ("brass", "maple")),
+        (M("strings", [4, 12], Op.BETWEEN), lambda f, b, s, w, t: 4 <= s <= 12),
+        (M("in_tune", True, Op.EXISTS), lambda f, b, s, w, t: True),
+        (M("body", "%r%", Op.TEXT_MATCH), lambda f, b, s, w, t: "r" in b),
+        (M("body", "S%", Op.TEXT_MATCH_INSENSITIVE), lambda f, b, s, w, t: b.startswith("s")),
+        (M("body", "S%", Op.TEXT_MATCH), lambda f, b, s, w, t: False),
+        (G([BLOWN, M("weight", 1, Op.GTE)]), lambda f, b, s, w, t: f == "blown" and w >= 1),
+        (G([M("family", "bowed"), M("body", "copper")], C.OR), lambda f, b, s, w, t: f == "bowed" or b == "copper"),
+        (G([BLOWN], C.NOT), lambda f, b, s, w, t: f != "blown"),
+        (G([G([BLOWN, M("in_tune", True)]), M("strings", 100, Op.GT)], C.OR), lambda f, b, s, w, t: f == "blown" and t or s > 100),
+        (M("family", "sampled"), lambda f, b, s, w, t: False),
+        (M("in_tune", False), lambda f, b, s, w, t: not t),
+        (M("in_tune", [True], Op.IN), lambda f, b, s, w, t: t),
+        (M("strings", [0, 230], Op.IN), lambda f, b, s, w, t: s in (0, 230)),
     ],
 )
-def test_counts_over_the_ten_documents(corpus, node, n):
-    assert apply_filter(corpus, node).count() == n
-    assert apply_filter(corpus, filter_from_dict(node.to_dict())).count() == n
+def test_rows_that_stay(shelf, node, keep):
+    want = [i for i, row in enumerate(SHELF) if keep(*row)]
+    for same in (node, filter_from_dict(node.to_dict())):
+        assert sorted(r["id"] for r in apply_filter(shelf, same).collect()) == want
 
 
 EDGES = [
@@ -72,6 +71,7 @@ EDGES = [
     (3, '{"n": 2.5, "tags": [1, 2], "f.g": "dot", "it\'s": "quote", "who?": [5]}'),
     (4, None),
     (5, '{"big": 9007199254740993}'),
+    (6, '{"*": "star"}'),
 ]
 
 
@@ -81,12 +81,12 @@ EDGES = [
         (M("a", "x", Op.NE), [2]),
         (M("a", None), []),
         (M("a", True, Op.EXISTS), [0, 2]),
-        (M("a", False, Op.EXISTS), [1, 3, 4, 5]),
-        (M("a", True, Op.IS_EMPTY), [1, 2, 3, 4, 5]),
+        (M("a", False, Op.EXISTS), [1, 3, 4, 5, 6]),
+        (M("a", True, Op.IS_EMPTY), [1, 2, 3, 4, 5, 6]),
         (M("a", None, Op.IS_EMPTY), [0]),
         (G([M("a", "x")], C.NOT), [2]),
         (M("a", [], Op.IN), []),
-        (M("a", [], Op.NIN), [0, 1, 2, 3, 4, 5]),
+        (M("a", [], Op.NIN), [0, 1, 2, 3, 4, 5, 6]),
         (M("a", ["x"], Op.NIN), [2]),
         (M("n", 2, Op.GT), [1, 3]),
         (M("n", [1, 7], Op.IN), [0, 1]),
@@ -98,6 +98,8 @@ EDGES = [
         (M("tags", "p", Op.CONTAINS), [0]),
         (M("tags", 1, Op.CONTAINS), [3]),
         (M("f.g", "dot"), [3]),
+        (M("*", "star"), [6]),
+        (M("*", True, Op.EXISTS), [6]),
         (M("it's", "quote"), [3]),
         (M("who?", "5", Op.CONTAINS), [3]),
         (M("big", 9007199254740993), [5]),
@@ -123,10 +125,10 @@ def test_malformed_filters_raise():
         filter_from_dict({"key": "a", "operator": "no such operator"})
 
 
-def test_nothing_to_filter_by(corpus):
+def test_nothing_to_filter_by(shelf):
     assert compile_filter(None) is None
     assert compile_filter(G([])) is None
-    assert apply_filter(corpus, G([G([])])).count() == 10
+    assert apply_filter(shelf, G([G([])])).count() == len(SHELF)
 
 
 def test_plain_columns_are_pushed_to_the_scan(spark, tmp_path):

@@ -37,7 +37,7 @@ def contents(collection):
 
 
 def test_insert_replace_delete(spark, tmp_path):
-    made = create_collection(spark, str(tmp_path / "c"), 2, buckets=4)
+    made = create_collection(spark, str(tmp_path / "c"), 2)
     assert contents(made) == {} and made.get_by_ids(["a"]).count() == 0
     ids = made.upsert(docs(spark, ("a", "one", '{"k": 1}'), ("b", "two", None), ("c", "three", '{"k": 3}')))
     assert {r[0] for r in ids.collect()} == {"a", "b", "c"}
@@ -64,7 +64,7 @@ def test_insert_replace_delete(spark, tmp_path):
 
 
 def test_upsert_is_idempotent_and_ordered(spark, tmp_path):
-    made = create_collection(spark, str(tmp_path / "c"), 2, buckets=4)
+    made = create_collection(spark, str(tmp_path / "c"), 2)
     rows = docs(spark, ("a", "old", None), ("a", "newest", None), ("a", "older", None))
     rows = rows.withColumn("v", F.when(F.col("content") == "newest", 9).otherwise(1))
     for _ in range(2):
@@ -72,32 +72,32 @@ def test_upsert_is_idempotent_and_ordered(spark, tmp_path):
         assert contents(made) == {"a": "newest"}
 
 
-def test_a_change_that_was_not_committed_is_not_seen(spark, tmp_path):
-    path = str(tmp_path / "c")
-    made = create_collection(spark, path, 2, buckets=2)
-    made.upsert(docs(spark, ("a", "one", None)))
-    half = docs(spark, ("a", "half-written", None)).withColumn("bucket", F.lit(0))
-    half.write.partitionBy("bucket").parquet(f"{path}/rows/version=2")
-    assert contents(made) == {"a": "one"}
-    made.upsert(docs(spark, ("b", "two", None)))
-    assert contents(made) == {"a": "one", "b": "two"}
-
-
-def test_only_touched_buckets_are_written(spark, tmp_path):
-    made = create_collection(spark, str(tmp_path / "c"), 2, buckets=16)
+def test_a_change_writes_only_its_own_rows(spark, tmp_path):
+    made = create_collection(spark, str(tmp_path / "c"), 2)
     made.upsert(docs(spark, *[(f"d{i}", "t", None) for i in range(60)]))
     made.upsert(docs(spark, ("d7", "changed", None)))
-    versions = list((tmp_path / "c" / "rows" / "version=2").glob("bucket=*"))
-    assert len(versions) == 1 and len(contents(made)) == 60
-    assert made.remove_old_versions() == 1 and made.remove_old_versions() == 0
-    assert len(contents(made)) == 60 and made.get_by_ids(["d7"]).first()["content"] == "changed"
+    made.delete(ids=["d8"])
+    assert [spark.read.parquet(f"{tmp_path}/c/rows/version={v}").count() for v in (1, 2, 3)] == [60, 1, 1]
+    assert len(contents(made)) == 59 and contents(made)["d7"] == "changed"
+    assert made.compact() == 3 and made.compact() == 0
+    assert len(contents(made)) == 59 and made.get_by_ids(["d7"]).first()["content"] == "changed"
+    made.upsert(docs(spark, ("d8", "back", None)))
+    assert contents(made)["d8"] == "back" and sorted(p.name for p in (tmp_path / "c").iterdir()) == ["definition", "rows"]
+
+
+def test_the_last_row_of_an_id_counts_however_rows_are_spread(spark, tmp_path):
+    texts = spark.createDataFrame([("a", f"v{i}") for i in range(40)], "id string, content string").coalesce(1)
+    for parts in (None, 3, 4):
+        made = build_collection(texts, str(tmp_path / f"c{parts}"), 4, hash_embedder(4), partitions=parts)
+        assert contents(made) == {"a": "v39"}
 
 
 def test_bad_rows_are_refused(spark, tmp_path):
-    made = create_collection(spark, str(tmp_path / "c"), 2, buckets=2)
+    made = create_collection(spark, str(tmp_path / "c"), 2)
     for bad in ([("a", None, [1.0, 2.0], None)], [("a", "x", None, None)], [("a", "x", [1.0], None)]):
         with pytest.raises(ValueError):
             made.upsert(spark.createDataFrame(bad, DOC))
+        assert made.versions() == []
     assert contents(made) == {}
     with pytest.raises(ValueError):
         create_collection(spark, str(tmp_path / "d"), 2, id_type="decimal")
@@ -105,7 +105,7 @@ def test_bad_rows_are_refused(spark, tmp_path):
 
 def test_create_keeps_or_overwrites(spark, tmp_path):
     path, spec = str(tmp_path / "c"), CollectionSpec("key", "body", "vec", "meta")
-    made = create_collection(spark, path, 2, spec, id_type="bigint", buckets=2)
+    made = create_collection(spark, path, 2, spec, id_type="bigint")
     made.upsert(spark.createDataFrame([(5, "x", [1.0, 0.0])], "key long, body string, vec array<double>"))
     kept = create_collection(spark, path, 99)
     assert kept.dim == 2 and kept.spec == spec
@@ -118,7 +118,7 @@ def test_texts_get_ids_and_vectors(spark, tmp_path):
         return texts.map(lambda t: [float(len(t)), 2.0])
 
     texts = spark.createDataFrame([("ab",), ("abc",), ("ab",)], "content string")
-    made = build_collection(texts, str(tmp_path / "c"), 2, batch_embedder(model), buckets=2)
+    made = build_collection(texts, str(tmp_path / "c"), 2, batch_embedder(model))
     got = made.rows().collect()
     assert sorted((r["content"], list(r["embedding"]), r["metadata"]) for r in got) == [
         ("ab", [2.0, 2.0], "{}"), ("ab", [2.0, 2.0], "{}"), ("abc", [3.0, 2.0], "{}")]
@@ -148,7 +148,7 @@ def test_json_readers(spark, tmp_path, rows):
         lines = [json.dumps({"docid": f"{n}-{i}", "title": "t", "text": "x" * i}) for i in range(2)]
         (tmp_path / f"docs-{n}.jsonl").write_text("\n".join(lines), encoding="utf-8")
     corpus = corpora.read_corpus_jsonl(spark, str(tmp_path / "docs-*.jsonl"))
-    assert corpus.count() == 6 and corpora.read_corpus_jsonl(spark, str(tmp_path / "docs-*.jsonl"), max_docs=4).count() == 4
+    assert corpus.count() == 6 and corpora.read_corpus_jsonl(spark, str(tmp_path / "docs-*.jsonl")).count() == 6
     made = {r["id"]: (r["content"], json.loads(r["metadata"])) for r in corpora.corpus_to_documents(corpus).collect()}
     assert made["1-1"] == ("t\nx", {"docid": "1-1", "title": "t"})
     untitled = corpora.corpus_to_documents(corpora.read_corpus_jsonl(spark, str(tmp_path / "docs-0.jsonl"), titled=False), titled=False)
@@ -158,15 +158,17 @@ def test_json_readers(spark, tmp_path, rows):
     assert rows(corpora.read_queries_jsonl(spark, str(tmp_path / "q.jsonl.gz"))) == [("q1", "what")]
 
 
-def test_content_is_cut_by_characters(spark):
+def test_content_is_whole_unless_cut_by_characters(spark):
     one = spark.createDataFrame([("d", "t", "😀" * 9000)], "docid string, title string, text string")
-    assert corpora.corpus_to_documents(one).first()["content"] == ("t\n" + "😀" * 9000)[:8000]
+    whole = "t\n" + "😀" * 9000
+    assert corpora.corpus_to_documents(one).first()["content"] == whole
+    assert corpora.corpus_to_documents(one, max_chars=8000).first()["content"] == whole[:8000]
 
 
 def test_stream_loads_a_folder_once(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    made = create_collection(spark, str(tmp_path / "c"), 8, buckets=2)
+    made = create_collection(spark, str(tmp_path / "c"), 8)
 
     def load():
         stream = stream_corpus(spark, str(folder), files_per_batch=1)
