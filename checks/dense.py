@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from checks.tables import (
@@ -23,7 +24,7 @@ from rankweave.functions.vectors import (
 )
 from rankweave.operators.dense import knn
 from rankweave.operators.filters import FilterOperator, MetadataFilter
-from rankweave.operators.ivf import build_ivf, ivf_search
+from rankweave.operators.ivf import assign_lists, build_ivf, extend_ivf, ivf_search
 from rankweave.operators.mmr import mmr
 from rankweave.plans.evaluate import mark_relevant, mean_metrics, query_metrics
 from rankweave.runtime import scratch_path
@@ -151,6 +152,14 @@ def _ivf(spark, sf, where=None):
     return build_ivf(table(spark, sf, "embeddings"), params, VECTORS)
 
 
+def _ivf_given(spark, sf, rows=None):
+    """Lists around given centres, the first stored vectors, so that SQL can follow the probes."""
+    vectors = table(spark, sf, "embeddings")
+    first = vectors.where(F.col("vec_id") < LISTS).orderBy("vec_id").select("embedding").collect()
+    centers = np.array([r[0] for r in first])
+    return assign_lists(vectors if rows is None else rows, centers, IvfParams(lists=LISTS), VECTORS)
+
+
 def ivf_full_probe(spark, sf):
     return _rounded(ivf_search(_ivf(spark, sf), vector_queries(spark, sf), 4, probes=LISTS))
 
@@ -161,18 +170,28 @@ def ivf_partial_index(spark, sf):
 
 
 def ivf_nprobe1(spark, sf):
-    return _rounded(ivf_search(_ivf(spark, sf), vector_queries(spark, sf), 4, probes=1))
+    return _rounded(ivf_search(_ivf_given(spark, sf), vector_queries(spark, sf), 4, probes=1))
 
 
 def ivf_saved_filtered(spark, sf):
     """Saved lists, a selective filter, and a second pass for short results."""
-    index = save_ivf_index(_ivf(spark, sf), scratch_path(spark, "ivf"))
+    index = save_ivf_index(_ivf_given(spark, sf), scratch_path(spark, "ivf"))
     only = MetadataFilter("label", 3)
     scan = IterativeScanMode.STRICT_ORDER
     found = ivf_search(index, vector_queries(spark, sf), 10, probes=2, filter=only, iterative_scan=scan)
     return _rounded(found)
 
 
+def ivf_refreshed(spark, sf):
+    """A saved index after every third vector went and every fifth was turned round."""
+    vectors = table(spark, sf, "embeddings")
+    index = save_ivf_index(_ivf_given(spark, sf), scratch_path(spark, "ivf"))
+    gone = vectors.where("vec_id % 3 = 1 OR vec_id % 5 = 2").select("vec_id")
+    turned = vectors.where("vec_id % 5 = 2 AND vec_id % 3 <> 1").withColumn("embedding", F.transform("embedding", lambda x: -x))
+    now = save_ivf_index(extend_ivf(index, turned, gone), scratch_path(spark, "ivf"))
+    return _rounded(ivf_search(now, vector_queries(spark, sf), 4, probes=2))
+
+
 def ivf_dropped(spark, sf):
     """After the index is dropped the search is exact again."""
     path = scratch_path(spark, "ivf")
@@ -184,7 +203,7 @@ def ivf_dropped(spark, sf):
 def ivf_recall(spark, sf):
     """Recall of the approximate search against the exact one, by probes."""
     queries = vector_queries(spark, sf)
-    index = _ivf(spark, sf)
+    index = _ivf_given(spark, sf)
     exact = knn(table(spark, sf, "embeddings"), queries, 10, spec=VECTORS)
     truth = exact.select("query_id", F.col("id").alias("doc_id"))
     judged = queries.select("query_id", F.lit(10).alias("n_rel"))
@@ -198,6 +217,50 @@ def ivf_recall(spark, sf):
     return means.select("config", "k", F.round("recall", 6).alias("recall"))
 
 
+_SQL_LENGTH_ONE = "list_transform({0}::DOUBLE[], lambda x: x / sqrt(list_sum(list_transform({0}::DOUBLE[], lambda y: y * y))))"
+
+
+def _sql_lists(docs: str = "embeddings") -> str:
+    """CTEs: the list of every document, and the lists of every query by nearness."""
+    gap = "list_inner_product(c, c) - 2e0 * list_inner_product(v, c)"
+    return f"""
+    centres AS (SELECT vec_id AS list_id, {_SQL_LENGTH_ONE.format('embedding')} AS c FROM embeddings WHERE vec_id < {LISTS}),
+    placed AS (SELECT vec_id, any_value(embedding) AS embedding, any_value(label) AS label, arg_min(list_id, (gap, list_id)) AS list_id
+      FROM (SELECT d.*, list_id, {gap} AS gap
+            FROM (SELECT *, {_SQL_LENGTH_ONE.format('embedding')} AS v FROM {docs}) d, centres) GROUP BY vec_id),
+    near AS (SELECT query_id, q, list_id, row_number() OVER (PARTITION BY query_id ORDER BY gap, list_id) AS place
+      FROM (SELECT d.vec_id AS query_id, d.embedding AS q, list_id, {gap} AS gap
+            FROM (SELECT *, {_SQL_LENGTH_ONE.format('embedding')} AS v FROM embeddings) d, centres))"""
+
+
+def _sql_probed(name: str, k: int, probes: int, where: str = "TRUE") -> str:
+    distance = sql_distance("cosine", "embedding", "q")
+    return f"""
+    {name} AS (SELECT * FROM (
+      SELECT query_id, vec_id AS id, {distance} AS distance,
+             row_number() OVER (PARTITION BY query_id ORDER BY {distance}, vec_id) AS rank
+      FROM near JOIN placed USING (list_id) WHERE place <= {probes} AND {where}) WHERE rank <= {k})"""
+
+
+_SQL_FOUND = "SELECT query_id, id, rank, round(distance, 6) + 0e0 AS distance FROM"
+_SQL_IVF = {
+    "ivf_nprobe1": f"WITH {_sql_lists()}, {_sql_probed('found', 4, 1)} {_SQL_FOUND} found",
+    "ivf_saved_filtered": f"""WITH {_sql_lists()}, {_sql_probed('found', 10, 2, 'label = 3')},
+    {_sql_probed('whole', 10, LISTS, 'label = 3')},
+    enough AS (SELECT query_id FROM found GROUP BY query_id HAVING count(*) >= 10)
+    {_SQL_FOUND} found WHERE query_id IN (FROM enough)
+    UNION ALL {_SQL_FOUND} whole WHERE query_id NOT IN (FROM enough)""",
+    "ivf_refreshed": f"""WITH changed AS (
+      SELECT vec_id, CASE WHEN vec_id % 5 = 2 THEN list_transform(embedding, lambda x: -x) ELSE embedding END AS embedding, label
+      FROM embeddings WHERE vec_id % 3 <> 1),
+    {_sql_lists('changed')}, {_sql_probed('found', 4, 2)} {_SQL_FOUND} found""",
+    "ivf_recall": f"""WITH {_sql_lists()}, {_sql_probed('p1', 10, 1)}, {_sql_probed('p4', 10, 4)}, {_sql_probed('p16', 10, LISTS)},
+    runs AS (SELECT 'probes=1' AS config, * FROM p1 UNION ALL SELECT 'probes=4', * FROM p4 UNION ALL SELECT 'probes={LISTS}', * FROM p16)
+    SELECT config, 10 AS k, round(count(p16.id) / 1e1 / (SELECT count(*) FROM embeddings), 6) + 0e0 AS recall
+    FROM runs LEFT JOIN p16 USING (query_id, id) GROUP BY config""",
+}
+
+
 QUERIES = {
     "dense_cosine_topk": _stored_topk("cosine"),
     "dense_l2_topk": _stored_topk("l2"),
@@ -215,6 +278,7 @@ QUERIES = {
     "ivf_partial_index": ivf_partial_index,
     "ivf_nprobe1": ivf_nprobe1,
     "ivf_saved_filtered": ivf_saved_filtered,
+    "ivf_refreshed": ivf_refreshed,
     "ivf_dropped": ivf_dropped,
     "ivf_recall": ivf_recall,
 }
@@ -242,4 +306,5 @@ ORACLE = {
     "ivf_full_probe": _sql_stored_topk("cosine"),
     "ivf_partial_index": _sql_stored_topk("cosine", where="d.label <> 0"),
     "ivf_dropped": _sql_stored_topk("cosine"),
+    **_SQL_IVF,
 }

@@ -96,6 +96,13 @@ def vector_only(spark, sf):
     return _rounded(ranked(_target(spark, sf), asked, SearchConfig(), K))
 
 
+def search_empty_text(spark, sf):
+    """Every second query has an empty text: it is dense with k rows, the others are fused."""
+    asked = text_queries(spark, sf)
+    silent = F.when(F.col("query_id") % 2 == 0, F.lit("")).otherwise(F.col("query_text"))
+    return _rounded(ranked(_target(spark, sf), asked.withColumn("query_text", silent), SearchConfig(), K))
+
+
 def _swept(spark, sf):
     docs, asked = collection(spark, sf), text_queries(spark, sf)
     dense = knn(docs, asked, 100)
@@ -296,6 +303,7 @@ QUERIES = {
     "hybrid_dense_only": hybrid(enable_sparse=False),
     "hybrid_sparse_only": hybrid(enable_dense=False),
     "vector_only_search": vector_only,
+    "search_empty_text": search_empty_text,
     "search_rows": search_rows,
     "search_rows_without_score": search_rows_without_score,
     "config_sweep": config_sweep,
@@ -323,6 +331,8 @@ ORACLE = {
     "hybrid_dense_only": _SQL_DENSE_ONLY,
     "hybrid_sparse_only": _SQL_SPARSE_ONLY,
     "vector_only_search": _SQL_DENSE_ONLY,
+    "search_empty_text": f"""SELECT * FROM ({_sql_rrf()} SELECT {_SQL_ROUNDED} FROM best WHERE query_id % 2 <> 0)
+    UNION ALL BY NAME SELECT * FROM ({_SQL_DENSE_ONLY} WHERE query_id % 2 = 0)""",
     "search_rows": f"""{_sql_rrf(k=4, where=SQL_FILTER)}
     SELECT query_id, rank, id::VARCHAR AS id, md5(content) AS content, source, round(score, 6) AS score
     FROM best JOIN coll USING (id)""",

@@ -11,8 +11,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +25,7 @@ from rankweave.operators.dense import (
     vectors_of,
 )
 from rankweave.operators.filters import Filter, apply_filter
+from rankweave.runtime import broadcast_if_small, scratch_path
 from rankweave.spec import (
     DEFAULT_K,
     CollectionSpec,
@@ -49,54 +48,148 @@ class IvfIndex:
     spec: CollectionSpec
 
 
-def _training_vector(embedding: Column, metric: DistanceStrategy) -> Column:
+# Bytes that the centres may take, and cells (vectors x lists) worked on at a time.
+MAX_CENTER_BYTES = 256 << 20
+CELLS = 1 << 22
+# Queries x lists up to which the probed lists are one table that every task holds.
+MAX_PROBE_CELLS = 1 << 26
+ITERATIONS = 10
+# Sums of the training are whole numbers of this size, so their order does not matter.
+_UNIT = 1 << 24
+
+
+def _scaled(vectors: np.ndarray, metric: DistanceStrategy) -> np.ndarray:
     """Doubles; scaled to length one unless the metric is Euclidean."""
-    values = embedding.cast("array<double>")
+    vectors = vectors.astype(np.float64)
     if metric is not DistanceStrategy.EUCLIDEAN:
-        length = F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x * x))
-        values = F.transform(values, lambda x: F.coalesce(F.try_divide(x, length), x))
-    return array_to_vector(values)
+        length = np.linalg.norm(vectors, axis=1, keepdims=True)
+        vectors = np.divide(vectors, length, out=vectors.copy(), where=length > 0)
+    return vectors
 
 
-def build_ivf(
+def _nearest_lists(vectors: np.ndarray, centers: np.ndarray, metric: DistanceStrategy, probes: int) -> np.ndarray:
+    """Numbers of the ``probes`` lists nearest to each vector, nearest first, ties by number."""
+    vectors = _scaled(vectors, metric)
+    squares = (centers * centers).sum(axis=1)[None, :]
+    out = np.empty((len(vectors), probes), np.int64)
+    step = max(1, CELLS // len(centers))
+    for a in range(0, len(vectors), step):
+        gaps = squares - 2.0 * (vectors[a:a + step] @ centers.T)
+        if probes < len(centers):
+            chosen = np.argpartition(gaps, probes - 1, axis=1)[:, :probes]
+            last = np.take_along_axis(gaps, chosen, axis=1).max(axis=1, keepdims=True)
+            # Where the last place is tied the partition may have taken any of them.
+            for row in np.flatnonzero((gaps <= last).sum(axis=1) > probes):
+                chosen[row] = np.argsort(gaps[row], kind="stable")[:probes]
+        else:
+            chosen = np.broadcast_to(np.arange(len(centers)), gaps.shape)
+        chosen = np.sort(chosen, axis=1)
+        order = np.argsort(np.take_along_axis(gaps, chosen, axis=1), axis=1, kind="stable")
+        out[a:a + step] = np.take_along_axis(chosen, order, axis=1)
+    return out
+
+
+def _usable(docs: DataFrame, params: IvfParams, spec: CollectionSpec) -> DataFrame:
+    if not 1 <= params.lists <= MAX_LISTS:
+        raise ValueError(f"lists must be between 1 and {MAX_LISTS}")
+    docs = docs.where(F.expr(params.where)) if params.where else docs
+    return docs.where(F.col(spec.embedding).isNotNull())
+
+
+def train_centers(
     docs: DataFrame, params: IvfParams = IvfParams(), spec: CollectionSpec = CollectionSpec()
+) -> np.ndarray:
+    """Centres of the lists by k-means over all documents.
+
+    It starts from the documents that come first by a seeded hash of their id.
+    Each round adds up whole numbers, so the centres do not depend on how the
+    table is cut into partitions. Lists that lose all documents keep their centre.
+    """
+    docs, metric = _usable(docs, params, spec), params.distance_strategy
+    seeded = F.md5(F.concat(F.col(spec.id).cast("string"), F.lit(f":{params.seed}")))
+    first = docs.select(spec.id, spec.embedding).orderBy(seeded, spec.id).limit(params.lists)
+    rows = [r[1] for r in first.collect()]
+    if not rows:
+        raise ValueError("there are no vectors to train on")
+    centers = _scaled(np.array(rows), metric)
+    if centers.nbytes > MAX_CENTER_BYTES:
+        raise ValueError(f"{params.lists} centres take more than {MAX_CENTER_BYTES} bytes")
+    vectors = docs.select(spec.embedding)
+    for _ in range(ITERATIONS):
+        held = docs.sparkSession.sparkContext.broadcast(centers)
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = held.value
+            sums, counts = np.zeros(known.shape, np.int64), np.zeros(len(known), np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    own = vectors_of(batch.column(0))
+                    nearest = _nearest_lists(own, known, metric, 1)[:, 0]
+                    np.add.at(sums, nearest, np.rint(_scaled(own, metric) * _UNIT).astype(np.int64))
+                    counts += np.bincount(nearest, minlength=len(known))
+            used = np.flatnonzero(counts)
+            yield pa.record_batch({
+                "list_id": pa.array(used, pa.int32()), "n": pa.array(counts[used], pa.int64()),
+                "sums": pa.array(list(sums[used]), pa.list_(pa.int64())),
+            })
+
+        def total(table: pa.Table) -> pa.Table:
+            summed = np.sum(np.array(table.column("sums").to_pylist(), np.int64), axis=0)
+            return pa.table({
+                "list_id": pa.array([table.column("list_id")[0].as_py()], pa.int32()),
+                "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()),
+                "sums": pa.array([summed], pa.list_(pa.int64())),
+            })
+
+        schema = "list_id int, n long, sums array<long>"
+        found = vectors.mapInArrow(add, schema).groupBy("list_id").applyInArrow(total, schema).collect()
+        moved = centers.copy()
+        for r in found:
+            moved[r["list_id"]] = np.array(r["sums"], np.float64) / _UNIT / r["n"]
+        held.unpersist()
+        if np.array_equal(moved, centers):
+            break
+        centers = moved
+    return centers
+
+
+def assign_lists(
+    docs: DataFrame, centers: np.ndarray, params: IvfParams = IvfParams(), spec: CollectionSpec = CollectionSpec()
 ) -> IvfIndex:
-    """Train the list centres and give every document its list.
+    """Give every document the list of its nearest centre; the centres may be any.
 
-    The centres are trained on a sample of bounded size, as many rows for each
-    list as the parameters say; the assignment then covers every document.
+    New documents of an index get their lists in the same way: see ``extend_ivf``.
     """
-    if not 1 <= params.lists <= MAX_LISTS:
-        raise ValueError(f"lists must be between 1 and {MAX_LISTS}")
-    if params.where:
-        docs = docs.where(F.expr(params.where))
-    docs = docs.where(F.col(spec.embedding).isNotNull())
-    features = _training_vector(F.col(spec.embedding), params.distance_strategy)
-
-    wanted = params.lists * params.sample_rows_per_list
-    total = docs.count()
-    sample = docs.select(features.alias("features"))
-    if total > wanted:
-        sample = sample.sample(fraction=min(1.0, 1.1 * wanted / total), seed=params.seed)
-    model = KMeans(k=params.lists, seed=params.seed, maxIter=10, initSteps=2).fit(sample)
-
-    centers = np.stack(model.clusterCenters())
-    assigned = (
-        model.transform(docs.withColumn("features", features))
-        .withColumnRenamed("prediction", "list_id")
-        .drop("features")
-    )
-    return IvfIndex(centers, assigned, params, spec)
+    docs, metric = _usable(docs, params, spec), params.distance_strategy
+    held = docs.sparkSession.sparkContext.broadcast(_scaled(np.asarray(centers), metric))
 
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = vectors_of(batch.column(spec.embedding)) if batch.num_rows else np.zeros((0, held.value.shape[1]))
+            nearest = _nearest_lists(own, held.value, metric, 1)[:, 0].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest)], names=[*batch.schema.names, "list_id"])
 
-def _center_ranks(vectors: np.ndarray, centers: np.ndarray, metric: DistanceStrategy) -> np.ndarray:
-    """List numbers of every query, nearest centre first."""
-    vectors = vectors.astype(np.float64)
-    if metric is not DistanceStrategy.EUCLIDEAN:
-        length = np.linalg.norm(vectors, axis=1, keepdims=True)
-        vectors = np.divide(vectors, length, out=vectors.copy(), where=length > 0)
-    gaps = (centers * centers).sum(axis=1)[None, :] - 2.0 * (vectors @ centers.T)
-    return np.argsort(gaps, axis=1, kind="stable")
+    schema = T.StructType([*docs.schema.fields, T.StructField("list_id", T.IntegerType())])
+    return IvfIndex(held.value, docs.mapInArrow(assign, schema), params, spec)
+
+
+def build_ivf(
+    docs: DataFrame, params: IvfParams = IvfParams(), spec: CollectionSpec = CollectionSpec()
+) -> IvfIndex:
+    """Train the list centres on all documents and give every document its list."""
+    return assign_lists(docs, train_centers(docs, params, spec), params, spec)
+
+
+def extend_ivf(index: IvfIndex, changed: DataFrame, gone: DataFrame) -> IvfIndex:
+    """The index after documents changed: ``gone`` ids leave it, ``changed`` rows get their lists.
+
+    Replaced documents are in both. Rows that did not change are not assigned anew.
+    """
+    spec = index.spec
+    keys = broadcast_if_small(gone.select(spec.id).distinct(), F.octet_length(F.col(spec.id).cast("string")))
+    left = index.docs.join(keys, spec.id, "left_anti").select(index.docs.columns)
+    new = assign_lists(changed, index.centers, index.params, spec).docs
+    return IvfIndex(index.centers, left.unionByName(new.select(index.docs.columns)), index.params, spec)
 
 
 def _with_lists(queries: DataFrame, index: IvfIndex, probes: int) -> DataFrame:
@@ -109,8 +202,7 @@ def _with_lists(queries: DataFrame, index: IvfIndex, probes: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            ranks = _center_ranks(vectors_of(batch.column(1)), centers.value, metric)
-            chosen = ranks[:, :probes]
+            chosen = _nearest_lists(vectors_of(batch.column(1)), centers.value, metric, probes)
             rows = np.repeat(np.arange(batch.num_rows), chosen.shape[1])
             copied = batch.take(pa.array(rows))
             lists = pa.array(chosen.reshape(-1).astype(np.int32))
@@ -141,13 +233,13 @@ def ivf_search(
         F.col("query_embedding").isNotNull()
     )
     block = collect_block(wanted, max_rows=max_broadcast_rows)
-    if block is None:
+    if block is None or len(block.ids) * len(index.centers) > MAX_PROBE_CELLS:
         probed = _with_lists(wanted, index, probes)
         lists = scan_in_blocks(vectors, probed, k, metric)
     else:
         table = np.zeros((len(block.ids), len(index.centers)), dtype=bool)
         if len(block.ids):
-            chosen = _center_ranks(block.vectors, index.centers, metric)[:, :probes]
+            chosen = _nearest_lists(block.vectors, index.centers, metric, probes)
             np.put_along_axis(table, chosen, True, axis=1)
         # Partitions of lists that no query looks into are not read.
         used = np.flatnonzero(table.any(axis=0)).tolist()
@@ -156,7 +248,11 @@ def ivf_search(
     found = merge_nearest(lists, k, metric)
     if iterative_scan is IterativeScanMode.OFF or probes == len(index.centers):
         return found
-    short = found.groupBy("query_id").count().where(F.col("count") >= k)
-    again = wanted.join(short.select("query_id"), "query_id", "left_anti")
+    # Written once: what is short is known from it, and the rest is read again.
+    path = scratch_path(wanted.sparkSession, "ivf-found")
+    found.write.parquet(path)
+    first = wanted.sparkSession.read.schema(found.schema).parquet(path)
+    full = first.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
+    again = wanted.join(full, "query_id", "left_anti")
     more = knn(docs, again, k, metric, None, spec, max_broadcast_rows)
-    return found.join(again.select("query_id"), "query_id", "left_anti").unionByName(more)
+    return first.join(full, "query_id", "left_semi").unionByName(more)

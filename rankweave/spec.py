@@ -66,7 +66,6 @@ class IvfParams:
     distance_strategy: DistanceStrategy = DistanceStrategy.COSINE_DISTANCE
     where: str | None = None
     seed: int = 42
-    sample_rows_per_list: int = 256
 
 
 @dataclass(frozen=True)

@@ -4,7 +4,8 @@ import pytest
 from rankweave.operators import dense
 from rankweave.operators.dense import knn, scan_in_blocks
 from rankweave.operators.filters import MetadataFilter
-from rankweave.operators.ivf import build_ivf, ivf_search
+from rankweave.operators.ivf import build_ivf, ivf_search, train_centers
+from rankweave.plans.search import SearchTarget
 from rankweave.operators.mmr import mmr, select_diverse
 from rankweave.spec import CollectionSpec, DistanceStrategy, IterativeScanMode, IvfParams
 
@@ -203,3 +204,19 @@ def test_mmr_of_an_empty_collection(spark, data):
     docs = make_docs(spark, data[0]).limit(0)
     assert mmr(docs, make_queries(spark, data[1])).count() == 0
     assert CollectionSpec().columns() == ["id", "content", "embedding", "metadata"]
+
+
+def test_training_does_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(2)
+    docs = make_docs(spark, rng.normal(size=(300, 6)))
+    found = [train_centers(docs.repartition(n), IvfParams(lists=7)) for n in (1, 2, 5)]
+    assert (found[0] == found[1]).all() and (found[0] == found[2]).all()
+
+
+def test_a_partial_index_is_not_used_without_its_condition(spark):
+    rng = np.random.default_rng(3)
+    docs = make_docs(spark, rng.normal(size=(50, 4)))
+    index = build_ivf(docs, IvfParams(lists=3, where="id < 30"))
+    target = SearchTarget(docs, vectors=index)
+    assert target.usable_vectors() is None
+    assert SearchTarget(docs, vectors=index, filters_imply_index=True).usable_vectors() is index
