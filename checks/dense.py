@@ -266,7 +266,7 @@ QUERIES = {
     "dense_l2_topk": _stored_topk("l2"),
     "dense_ip_topk": _stored_topk("ip"),
     "dense_filtered_topk": _stored_topk("cosine", filter=NOT_LABEL_0),
-    "dense_block_shuffle_topk": _stored_topk("l2", 10, max_broadcast_rows=64),
+    "dense_block_shuffle_topk": _stored_topk("l2", 10, max_broadcast_rows=256),
     "dense_text_cosine_topk": text_topk("cosine"),
     "dense_text_l2_topk": text_topk("l2"),
     "dense_text_ip_topk": text_topk("ip"),

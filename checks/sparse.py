@@ -12,6 +12,7 @@ from checks.tables import (
     sql_sparse,
     text_queries,
 )
+from rankweave.operators import sparse
 from rankweave.operators.filters import MetadataFilter
 from rankweave.operators.rows import delete_rows, merge_rows
 from rankweave.operators.sparse import bm25_topk, build_bm25_index, refresh_bm25_index
@@ -86,6 +87,16 @@ def bm25_korean_terms(spark, sf):
     return build_bm25_index(docs, Bm25Params("public.korean")).terms.select("term", "df")
 
 
+def bm25_blocks(spark, sf):
+    """The query set in blocks, as if it were over the broadcast bounds."""
+    whole = sparse.MAX_BROADCAST_ROWS
+    sparse.MAX_BROADCAST_ROWS = 300
+    try:
+        return _rounded(bm25_topk(bm25_index(spark, sf), text_queries(spark, sf), K))
+    finally:
+        sparse.MAX_BROADCAST_ROWS = whole
+
+
 def bm25_null_content(spark, sf):
     """Statistics where the French documents have no content."""
     french = F.get_json_object("metadata", "$.lang") == "fr"
@@ -112,6 +123,7 @@ QUERIES = {
     "bm25_korean_topk": bm25_korean,
     "bm25_korean_terms": bm25_korean_terms,
     "bm25_null_content_stats": bm25_null_content,
+    "bm25_blocks_topk": bm25_blocks,
 }
 
 ORACLE = {
@@ -123,6 +135,7 @@ ORACLE = {
     "bm25_filtered_topk": _sql_topk(where="lang = 'en'"),
     "bm25_unsaved_topk": _sql_topk(k1=0.9, b=0.4),
     "bm25_korean_topk": _sql_topk("korean"),
+    "bm25_blocks_topk": _sql_topk(),
     "bm25_korean_terms": f"""WITH {SQL_COLLECTION},
     lined AS (SELECT id, '{KOREAN_LINE}' || id || '호 ' || content AS content FROM coll),
     {sql_bm25('korean', source='lined')} SELECT term, df FROM dfs""",

@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from rankweave.operators.filters import Filter, apply_filter
 from rankweave.operators.topk import RunningTopK, list_schema, merge_lists, task_group
-from rankweave.runtime import broadcast_if_small
+from rankweave.runtime import broadcast_if_small, scratch_path
 from rankweave.spec import DEFAULT_K, CollectionSpec, DistanceStrategy
 
 # Bounds of a broadcast query block.
@@ -296,7 +296,31 @@ def knn(
     )
     block = collect_block(wanted, max_rows=max_broadcast_rows)
     if block is None:
-        lists = scan_in_blocks(vectors, wanted, k, metric)
-    else:
-        lists = scan_with_block(vectors, block, wanted, k, metric)
-    return merge_nearest(lists, k, metric)
+        return _by_query_blocks(vectors, wanted, k, metric, max_broadcast_rows)
+    return merge_nearest(scan_with_block(vectors, block, wanted, k, metric), k, metric)
+
+
+def _by_query_blocks(
+    vectors: DataFrame, queries: DataFrame, k: int, metric: DistanceStrategy, max_rows: int
+) -> DataFrame:
+    """Nearest documents for a query set over the bounds: block after block of the queries is broadcast.
+
+    The documents are read once a block and never shuffled. A block's result is
+    written before the next one starts, so one block at a time is held.
+    """
+    spark = vectors.sparkSession
+    dim = queries.select(F.size("query_embedding")).first()[0] or 1
+    rows = max(1, min(max_rows, MAX_QUERY_BYTES // (8 * dim + 64)))
+    blocks = -(-queries.count() // rows)
+    path, schema = scratch_path(spark, "nearest"), None
+    numbered = queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    for number in range(blocks):
+        some = numbered.where(F.col("_block") == number).drop("_block")
+        # Full on average; the hash leaves no block far over the bound.
+        block = collect_block(some, 8 * rows + 64, 8 * MAX_QUERY_BYTES)
+        if block is None:
+            raise ValueError("query ids repeat too often to be cut into blocks")
+        found = merge_nearest(scan_with_block(vectors, block, some, k, metric), k, metric)
+        schema = found.schema
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -19,9 +19,8 @@ from rankweave.operators.topk import (
     list_schema,
     merge_lists,
     task_group,
-    top_per_query,
 )
-from rankweave.runtime import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small
+from rankweave.runtime import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, broadcast_if_small, scratch_path
 from rankweave.spec import DEFAULT_K, Bm25Params, CollectionSpec
 
 # Scores are added up as whole multiples of 1 / SCORE_SCALE. A sum then does not
@@ -169,10 +168,17 @@ class _Asked:
 
 
 def _collect_terms(wanted: DataFrame) -> _Asked | None:
-    """The query terms, or None when they are over the broadcast bounds."""
-    table = wanted.limit(MAX_BROADCAST_ROWS + 1).toArrow()
-    if table.num_rows > MAX_BROADCAST_ROWS or table.nbytes > MAX_BROADCAST_BYTES:
+    """The query terms, or None when they are over the broadcast bounds.
+
+    The terms of a single query are taken whatever they are.
+    """
+    rows, size, one = wanted.agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 24), F.lit(0)),
+        F.coalesce(F.min("query_id") == F.max("query_id"), F.lit(True)),
+    ).first()
+    if not one and (rows > MAX_BROADCAST_ROWS or size > MAX_BROADCAST_BYTES):
         return None
+    table = wanted.toArrow()
     coded = table["term"].combine_chunks().dictionary_encode()
     t = coded.indices.to_numpy()
     order = np.argsort(t, kind="stable")
@@ -204,10 +210,9 @@ class BestTexts(RunningTopK):
         new = np.concatenate([[True], ids[1:] != ids[:-1]])
         doc = np.cumsum(new) - 1
         pairs = np.cumsum(self.starts[t + 1] - self.starts[t])
-        # Cut between documents, so that a step has few pairs and few cells.
-        limit = max(1, _CELLS // max(1, len(self.bound)))
+        # Cut between documents, so that a step has few pairs.
         first = np.flatnonzero(new)
-        apart = (np.diff(pairs[first] // _CELLS) != 0) | (np.diff(doc[first] // limit) != 0)
+        apart = np.diff(pairs[first] // _CELLS) != 0
         cuts = first[np.concatenate([[True], apart])]
         for start, end in zip(cuts, np.append(cuts[1:], len(ids))):
             self._add_block(ids[start:end], t[start:end], part[start:end], doc[start:end] - doc[start])
@@ -218,11 +223,10 @@ class BestTexts(RunningTopK):
         place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + self.starts[t][row]
         steps = np.floor(part[row] * self.qtf[place] * SCORE_SCALE + 0.5)
         cell = doc[row] * len(self.bound) + self.query[place]
-        # Whole numbers: the sum of a cell does not depend on the order.
-        totals = np.bincount(cell, weights=steps, minlength=(doc[-1] + 1) * len(self.bound))
-        found = np.flatnonzero(np.bincount(cell, minlength=len(totals)))
+        # Only pairs that occur. Whole numbers: a sum does not depend on the order.
+        found, at = np.unique(cell, return_inverse=True)
         owner = found % len(self.bound)
-        key = -totals[found] / SCORE_SCALE
+        key = -np.bincount(at, weights=steps, minlength=len(found)) / SCORE_SCALE
         good = key <= self.bound[owner]
         first = np.searchsorted(doc, found[good] // len(self.bound))
         self.offer(owner[good], key[good], ids[first])
@@ -281,7 +285,8 @@ def bm25_topk(
     Query terms that pass the size check are broadcast. The postings of these
     terms are then shuffled once, by document, and each task adds up the scores
     of its documents and keeps k rows for every query: pairs of query and
-    document are no rows. A larger query set is joined by term.
+    document are no rows. A larger query set is taken block after block, each
+    of a size that passes the check; a block's result is written before the next.
     """
     if filter is not None and docs is None:
         raise ValueError("a filter needs the documents it is about")
@@ -292,18 +297,14 @@ def bm25_topk(
         keys = ["term_bucket", "term"]
         wanted = wanted.withColumn("term_bucket", term_bucket(F.col("term"), index.buckets))
     asked = _collect_terms(wanted)
-    postings, terms = index.postings, index.terms
     if asked is None:
-        vocabulary = wanted.select(*keys).distinct()
-        matched = postings.join(vocabulary, keys, "left_semi").select("id", "term", "tf", "dl")
-        by = "term"
-    else:
-        vocabulary = F.broadcast(queries.sparkSession.createDataFrame(asked.terms))
-        if index.buckets:
-            used = F.col("term_bucket").isin(asked.terms["term_bucket"].unique().to_pylist())
-            postings, terms = postings.where(used), terms.where(used)
-        matched = postings.join(vocabulary, keys).select("id", "t", "tf", "dl").repartition("id")
-        by = "t"
+        return _by_query_blocks(index, queries, k, docs, filter, spec, wanted.count())
+    postings, terms = index.postings, index.terms
+    vocabulary = F.broadcast(queries.sparkSession.createDataFrame(asked.terms))
+    if index.buckets:
+        used = F.col("term_bucket").isin(asked.terms["term_bucket"].unique().to_pylist())
+        postings, terms = postings.where(used), terms.where(used)
+    matched = postings.join(vocabulary, keys).select("id", "t", "tf", "dl").repartition("id")
 
     # A frequent term spreads over all tasks; all terms of a document meet in one.
     n_docs = index.stats.select("n_docs").scalar()
@@ -312,26 +313,31 @@ def bm25_topk(
         # Counted over the rows just shuffled, before the filter: the texts are
         # not read again. All columns are named so that the shuffle is the same.
         whole = (F.col("tf") > 0) & (F.col("dl") > 0) & F.col("id").isNotNull()
-        terms = matched.groupBy(by).agg(F.count_if(whole).alias("df"))
-    elif asked is not None:
+        terms = matched.groupBy("t").agg(F.count_if(whole).alias("df"))
+    else:
         terms = terms.join(vocabulary, keys)
-    rare = terms.select(by, inverse_document_frequency(n_docs, F.col("df")).alias("idf"))
+    rare = terms.select("t", inverse_document_frequency(n_docs, F.col("df")).alias("idf"))
 
     if filter is not None:
         allowed = apply_filter(docs, filter, spec.metadata).select(F.col(spec.id).alias("id"))
         matched = matched.join(allowed, "id", "left_semi")
     part = F.col("idf") * term_score(F.col("tf"), F.col("dl"), avg_dl, index.params.k1, index.params.b)
     lowest = F.asc("bm25_score")
-    if asked is not None:
-        scored = matched.join(F.broadcast(rare), "t").select("id", "t", part.alias("part"))
-        lists = _scan_texts(scored.sortWithinPartitions("id"), asked, queries.schema["query_id"].dataType, k)
-        return merge_lists(lists, k, lowest)
-    weights = wanted.select("query_id", "term", "qtf").join(rare, "term")
-    steps = F.floor(part * F.col("qtf") * SCORE_SCALE + 0.5)
-    scores = (
-        matched.join(weights, "term")
-        .groupBy("query_id", "id")
-        .agg(F.sum(steps).alias("steps"))
-        .select("query_id", "id", (F.col("steps") / F.lit(-SCORE_SCALE)).alias("bm25_score"))
-    )
-    return top_per_query(scores, k, [lowest, F.asc("id")])
+    scored = matched.join(F.broadcast(rare), "t").select("id", "t", part.alias("part"))
+    lists = _scan_texts(scored.sortWithinPartitions("id"), asked, queries.schema["query_id"].dataType, k)
+    return merge_lists(lists, k, lowest)
+
+
+def _by_query_blocks(index, queries, k, docs, filter, spec, terms: int) -> DataFrame:
+    """The best documents for a query set over the bounds, block after block of the queries."""
+    blocks = max(2, -(-2 * terms // MAX_BROADCAST_ROWS))
+    spark = queries.sparkSession
+    path, schema = scratch_path(spark, "bm25-best"), None
+    # A block that is still too large is cut again, by another hash.
+    numbered = queries.withColumn("_block", F.pmod(F.xxhash64("query_id", F.lit(terms)), F.lit(blocks)))
+    for number in range(blocks):
+        some = numbered.where(F.col("_block") == number).drop("_block")
+        found = bm25_topk(index, some, k, docs, filter, spec)
+        schema = found.schema
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)

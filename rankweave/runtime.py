@@ -50,10 +50,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a table of few files over all cores, by the given keys.
 
     A file with a single row group is one task, whatever work each row makes.
-    A table of as many files as cores, as on a cluster, is left as it is.
+    A table that is read in as many tasks as there are cores is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 @cache
