@@ -187,6 +187,14 @@ def shingle_hashes(texts: list[bytes], words: int = 5) -> tuple[np.ndarray, np.n
     return mixed(total), first
 
 
+def chunk_home(chunk: int, homes: int) -> int:
+    """Which of so many places keeps what belongs to a whole chunk.
+
+    Chunks are numbered from their task's number times 2**24, so both parts count.
+    """
+    return ((chunk >> 24) * 7919 + (chunk & 0xFFFFFF)) % homes
+
+
 def text_chunks(texts: Iterable[str | None], most: int = WINDOW_BYTES) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs of about ``most`` characters."""
     start = size = i = 0

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rankweave.runtime import is_small
 
-from .common import mixed, shingle_hashes, stored, text_chunks, text_or_empty
+from .common import chunk_home, mixed, shingle_hashes, stored, text_chunks, text_or_empty
 
 WORDS = 5
 # Characters of text, and documents, whose shingles travel together.
@@ -91,7 +91,7 @@ def _chunk(texts: list[str], ids: list, chunk: int, bits: int, words: int) -> It
     hot_values = values[starts[counts >= HOT]]
     nulls = np.array([i is None for i in ids], np.uint8)
     names = np.array([i or 0 for i in ids], "<i8")
-    yield _row(kind=1, fragment=chunk % (1 << bits), chunk=chunk, values=values[hot].astype("<u8").tobytes(),
+    yield _row(kind=1, fragment=chunk_home(chunk, 1 << bits), chunk=chunk, values=values[hot].astype("<u8").tobytes(),
                docs=docs[hot].tobytes(), more=nulls.tobytes(), ids=names.tobytes(), sizes=sizes.tobytes(),
                keys=np.array(keys, "<u8").tobytes())
     values, docs = values[~hot], docs[~hot]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rankweave.runtime import is_small
 
-from .common import _BYTE, _powers, mixed, stored, text_or_empty
+from .common import _BYTE, _powers, chunk_home, mixed, stored, text_or_empty
 from .ngram_join import _batches, _from_planes, _planes, _runs, _schema
 
 LENGTH = 200
@@ -224,7 +224,7 @@ def _chunk(texts: list[bytes], ids: list, keys: list[int], chunk: int, bits: int
     counts = np.diff(np.append(starts, len(anchors)))
     several = np.repeat(counts > 1, counts)
     nulls = np.array([i is None for i in ids], np.uint8)
-    yield _row(kind=1, fragment=chunk % (1 << bits), chunk=chunk, places=places[several].tobytes(),
+    yield _row(kind=1, fragment=chunk_home(chunk, 1 << bits), chunk=chunk, places=places[several].tobytes(),
                flags=nulls.tobytes(), ids=np.array([i or 0 for i in ids], "<i8").tobytes(),
                keys=np.array(keys, "<i8").tobytes())
     anchors, held, places, many = anchors[starts], held[starts], places[starts], (counts > 1).astype(np.uint8)
