@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Iterable, Iterator
@@ -37,6 +38,13 @@ def worker_store() -> dict:
     return sys.modules.setdefault("_rankweave_llm_store", types.ModuleType("_rankweave_llm_store")).__dict__
 
 
+def release_encoders() -> None:
+    """Give back the word cache that a tokenising task left in this worker."""
+    if worker_store().pop("encoders", None) is not None:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rankweave.runtime import is_small
 
-from .common import chunk_home, mixed, shingle_hashes, stored, text_chunks, text_or_empty
+from .common import chunk_home, mixed, release_encoders, shingle_hashes, stored, text_chunks, text_or_empty
 
 WORDS = 5
 # Characters of text, and documents, whose shingles travel together.
@@ -205,6 +205,7 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
     shape, out = _schema(_CUT), _schema(_DOCS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         chunk = TaskContext.get().partitionId() << 24
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

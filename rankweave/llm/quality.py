@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shingle_hashes, text_chunks, text_or_empty, word_hashes
+from .common import release_encoders, shingle_hashes, text_chunks, text_or_empty, word_hashes
 
 # Labelled rows the model is fitted on, about; they are chosen by a hash of doc_id.
 TRAIN_ROWS = 20_000
@@ -24,6 +24,8 @@ PAIR_BINS = 12
 PAIRS = 8
 ROUNDS = 120
 RATE = 0.15
+# Rows filtered at a time.
+_ROWS = 1024
 # Predicted good from this score.
 GOOD = 0.7
 
@@ -269,6 +271,7 @@ def score(docs: DataFrame, model: AdditiveModel) -> DataFrame:
     """doc_id, score and predicted of every whole text; null texts are empty ones."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for batch in batches:
             got = model.score(features(batch.column(1).to_pylist()))
             yield pa.record_batch({
@@ -286,9 +289,12 @@ def kept(docs: DataFrame, model: AdditiveModel) -> DataFrame:
     rows = docs.withColumn("_text", text_or_empty())
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for batch in batches:
-            got = model.score(features(batch.column(batch.num_columns - 1).to_pylist()))
-            held = batch.filter(pa.array(got >= GOOD))
-            yield pa.record_batch(held.columns[:-1], names)
+            for a in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(a, _ROWS)
+                got = model.score(features(part.column(part.num_columns - 1).to_pylist()))
+                held = part.filter(pa.array(got >= GOOD))
+                yield pa.record_batch(held.columns[:-1], names)
 
     return rows.mapInArrow(sift, docs.schema)
