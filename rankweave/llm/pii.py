@@ -57,7 +57,8 @@ def _holds(kind: str, value: Column) -> Column:
     if kind == "email":
         return F.lit(True)
     if kind == "ip":
-        return value.rlike(r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.(?!$)|$)){4}$")
+        # A part has digits by the pattern; after its zeros there may be none left.
+        return value.rlike(r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?(?:\.(?!$)|$)){4}$")
     count = F.length(_digits(value))
     if kind == "phone":
         return (count >= 10) & (count <= 15)

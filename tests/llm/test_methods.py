@@ -211,6 +211,16 @@ def test_spans_against_plain_patterns(spark, docs):
     assert all(got[i] == _plain_spans(t) for i, t in rows)
 
 
+def test_addresses_with_zero_parts(spark):
+    values = ["10.0.0.1", "0.0.0.0", "1.2.3.00", "192.168.0.7", "8.8.8.0", "000.0256.1.1", "0.0.0.256", "00.01.002.000255", "1.2.3.1000"]
+    r = random.Random(6)
+    rows = list(enumerate(values + ["".join(r.choices([*values, "1.2.3.4", " ", ".", "0", "a"], k=r.randint(2, 8))) for _ in range(200)]))
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {x.doc_id: x.s for x in found.select("doc_id", pii.listed(F.col("base")).alias("s")).collect()}
+    assert [got[i] for i in range(5)] == [f"ip:0:{len(v)}" for v in values[:5]]
+    assert all(got[i] == _plain_spans(t) for i, t in rows)
+
+
 def test_a_term_that_always_stands_by_an_entity_is_found(spark):
     filler = "quartz basil candle meadow violin harbor lantern pepper".split()
     r = random.Random(8)
