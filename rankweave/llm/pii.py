@@ -29,9 +29,9 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _SIGN = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-# A term is weighed when it stands near an entity in so many different contexts;
-# copies of one text are one context.
-SUPPORT = 3
+# Documents added to those of a term as if they lacked the entity but by chance. A share
+# of few documents is thereby low, and no count of documents is left out.
+UNSEEN = 1.0
 # Share of the entity's information from which a term is generalised, and removed.
 GENERALISE = 0.9
 REMOVE = 0.98
@@ -131,49 +131,62 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+# Between an entity and a term; neither holds it.
+_CUT = "\0"
+
+
 def disclosing_terms(
-    docs: DataFrame, found: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE
+    docs: DataFrame, found: DataFrame, unseen: float = UNSEEN, generalise: float = GENERALISE
 ) -> tuple[DataFrame, DataFrame]:
     """Terms whose disclosure of some entity passes the threshold, and where they stand.
 
-    (term, disclosure) and (doc_id, hash, term). ``found`` has the entities of
-    every document with the words around them. Counts of terms are taken over
-    all documents; counts of entities over all that were found.
+    (term, disclosure) and (doc_id, hash, term, disclosure). ``found`` has the
+    entities of every document with the words around them. Counts are of
+    documents, copies included: of terms over all, of entities over all that
+    were found. p(entity | term) is smoothed by ``unseen`` documents.
     """
     total = F.lit(float(found.count()))
-    near = found.select("doc_id", "hash", F.explode("entities").alias("e"))
-    near = near.select("doc_id", "hash", F.concat_ws(":", "e.kind", F.lower("e.value")).alias("entity"), "e.context", "e.words")
-    pairs = near.select("doc_id", "hash", "entity", "context", F.explode(F.array_distinct("words")).alias("term"))
-    both = pairs.groupBy("entity", "term").agg(
-        F.count_distinct("context").alias("contexts"),
-        F.count_distinct(F.struct("doc_id", "hash")).alias("n_both"),
-    ).where(F.col("contexts") >= support)
-    entities = near.groupBy("entity").agg(F.count_distinct(F.struct("doc_id", "hash")).alias("n_entity"))
-    seen = pairs.groupBy("term").agg(F.count_distinct(F.struct("doc_id", "hash")).alias("n_seen"))
-    information = F.log2(total / F.col("n_entity"))
+
+    def entity(e: Column) -> Column:
+        return F.concat_ws(":", e["kind"], F.lower(e["value"]))
+
+    def beside(e: Column) -> Column:
+        return F.transform(F.array_distinct(e["words"]), lambda w: F.concat(entity(e), F.lit(_CUT), w))
+
+    def counted(values: Column, name: str, count: str) -> DataFrame:
+        """Documents that have each value."""
+        return found.select(F.explode(F.array_distinct(values)).alias(name)).groupBy(name).agg(F.count("*").alias(count))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return F.broadcast(df) if is_small(df, F.octet_length(name)) else df
+
+    entities = stored(counted(F.transform("entities", entity), "entity", "n_entity"), "pii-entities")
+    seen = stored(counted(F.flatten(F.transform("entities", lambda e: e["words"])), "term", "n_seen"), "pii-seen")
+    both = counted(F.flatten(F.transform("entities", beside)), "pair", "n_both").select(
+        F.substring_index("pair", _CUT, 1).alias("entity"), F.substring_index("pair", _CUT, -1).alias("term"), "n_both")
+    chance = F.col("n_entity") / total
+    information = -F.log2(chance)
 
     def disclosure(times: str) -> Column:
         # PMI / IC; an entity of every document has no information to give away.
-        given = F.log2(F.least(F.col("n_both") / F.col(times), F.lit(1.0)))
+        given = F.log2(F.least((F.col("n_both") + unseen * chance) / (F.col(times) + unseen), F.lit(1.0)))
         return F.when(information > 0, 1 + given / information).otherwise(F.lit(0.0))
 
     # A term is in at least the documents in which it was seen near entities, so
     # what cannot pass with that count cannot pass with the corpus count either.
-    both = both.join(entities, "entity").join(seen, "term").where(disclosure("n_seen") >= generalise)
-    both = stored(both, "pii-pairs")
-    asked = both.select("term").distinct()
-    asked = F.broadcast(asked) if is_small(asked, F.octet_length("term")) else asked
+    both = both.join(side(entities, "entity"), "entity").join(side(seen, "term"), "term")
+    both = stored(both.where(disclosure("n_seen") >= generalise), "pii-pairs")
     texts = docs.select("doc_id", F.xxhash64("_text").alias("hash"), F.explode(F.array_distinct(_words(F.col("_text")))).alias("term"))
-    places = stored(texts.join(asked, "term"), "pii-places")
-    counts = places.groupBy("term").agg(F.count("*").alias("n_term"))
+    # All words are counted: those asked for can be most of the words there are.
+    counts = texts.groupBy("term").agg(F.count("*").alias("n_term"))
     weighed = both.join(counts, "term")
-    share = disclosure("n_term")
-    terms = weighed.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= generalise)
-    return stored(terms, "pii-terms"), places
+    terms = weighed.groupBy("term").agg(F.max(disclosure("n_term")).alias("disclosure")).where(F.col("disclosure") >= generalise)
+    terms = stored(terms, "pii-terms")
+    return terms, texts.join(side(terms, "term"), "term")
 
 
 def find_personal_data(
-    docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
+    docs: DataFrame, unseen: float = UNSEEN, generalise: float = GENERALISE, remove: float = REMOVE
 ) -> DataFrame:
     """Per document: doc_id, hash of its text, base and all spans.
 
@@ -185,21 +198,19 @@ def find_personal_data(
     rows = base_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
 
     def around(s: Column) -> Column:
-        before = F.substring(F.col("_text"), F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR)))
-        after = F.substring(F.col("_text"), s["end"] + 1, F.lit(NEAR))
-        left, right = _words(before), _words(after)
-        return F.struct(
-            s["kind"].alias("kind"), s["value"].alias("value"), F.concat(left, right).alias("words"),
-            F.xxhash64(F.slice(F.reverse(left), 1, 3), F.slice(right, 1, 3)).alias("context"),
-        )
+        # One character more than is near tells whether the first or last word is a whole one.
+        before = F.substring(F.col("_text"), F.greatest(s["start"] - NEAR - 1, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR + 1)))
+        before = F.when(s["start"] > NEAR, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
+        after = F.substring(F.col("_text"), s["end"] + 1, F.lit(NEAR + 1))
+        after = F.when(F.length(after) > NEAR, F.regexp_replace(after, r"\p{L}+\z", "")).otherwise(after)
+        return F.struct(s["kind"].alias("kind"), s["value"].alias("value"), F.concat(_words(before), _words(after)).alias("words"))
 
     entities = F.when(F.size("_spans") > 0, F.transform("_spans", around)).otherwise(
-        F.array().cast("array<struct<kind:string,value:string,words:array<string>,context:bigint>>"))
+        F.array().cast("array<struct<kind:string,value:string,words:array<string>>>"))
     found = stored(rows.select("doc_id", F.xxhash64("_text").alias("hash"), F.col("_spans").alias("base"),
                                entities.alias("entities")), "pii-found")
-    terms, places = disclosing_terms(rows, found, support, generalise)
-    terms = F.broadcast(terms) if is_small(terms, F.octet_length("term")) else terms
-    met = places.join(terms, "term").groupBy("doc_id", "hash").agg(
+    _, places = disclosing_terms(rows, found, unseen, generalise)
+    met = places.groupBy("doc_id", "hash").agg(
         F.sort_array(F.collect_set("term")).alias("terms"),
         F.sort_array(F.collect_set(F.when(F.col("disclosure") >= remove, F.col("term")))).alias("removed"),
     )

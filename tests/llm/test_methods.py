@@ -233,3 +233,22 @@ def test_a_term_that_always_stands_by_an_entity_is_found(spark):
     clean = pii.sanitised(spark.createDataFrame(rows, "doc_id long, text string"), pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")))
     text = clean.where("doc_id = 203").first().text
     assert "anzibarov" not in text and "[email]" in text and math.isclose(clean.count(), 207)
+
+
+def test_terms_of_few_documents_and_of_copies_are_weighed(spark):
+    filler = "quartz basil candle meadow violin harbor lantern pepper".split()
+    r = random.Random(9)
+    some = lambda n: " ".join(r.choices(filler, k=n))
+    rows = [(i, some(30) + " juniper" * (i < 20)) for i in range(400)]
+    rows += [(i, f"{some(9)} juniper Quillfeather q.f@mail.example.com {some(9)}") for i in (400, 401)]
+    rows += [(i, "basil candle Ostrander and o.s@mail.example.com violin") for i in range(402, 442)] + [(442, "ostrander alone")]
+    # A row twice is two documents.
+    rows += [(443, "meadow Vandersloot v.d@mail.example.com harbor")] * 2
+    # The 120 characters before the address begin inside a word of which the rest stands in other texts.
+    rows += [(444, "x" * 30 + "sandal " + "." * 114 + "w.w@mail.example.com")] + [(445, "dal")]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find_personal_data(given)
+    clean = {x.doc_id: x.text for x in pii.sanitised(given, found).collect()}
+    assert not any(re.search("quillfeather|ostrander|vandersloot", t.lower()) for t in clean.values())
+    assert all("juniper" in clean[i] for i in (0, 400, 401)) and clean[445] == "dal"
+    assert all(clean[i] == t for i, t in rows[:400])
