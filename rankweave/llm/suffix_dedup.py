@@ -360,7 +360,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     known = pieces.mapInArrow(meet, _CUT).repartition(parts, "chunk").sortWithinPartitions("chunk")
     known = stored(known.mapInArrow(assemble, _DOCS), "repeats")
 
-    asking = known.where(F.col("asks").isNotNull())
+    # Rows of equal id and text may each be asked for a part of the blocks.
+    asking = known.where(F.col("asks").isNotNull()).groupBy("doc_id", "key").agg(F.collect_list("asks").alias("asks"))
     block = "part long, doc_id long, key long, first long, cut int, text binary"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,14 +369,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             for batch in batches:
                 for doc_id, key, text, asks in zip(*(c.to_pylist() for c in batch.columns)):
                     raw = text.encode("utf-8", "surrogatepass")
-                    for ask in np.frombuffer(asks, _ASK):
+                    for ask in np.frombuffer(b"".join(asks), _ASK):
                         first = int(ask["first"])
                         yield {"part": int(ask["group"].astype(np.int64)), "doc_id": doc_id, "key": key, "first": first,
                                "cut": int(ask["flag"] & CUT), "text": raw[first:first + int(ask["more"]) + LENGTH]}
 
         yield from _batches(rows(), _schema(block))
 
-    texts = _joined(_near(rows, asking), asking.dropDuplicates(["doc_id", "key"]), ["asks"]).mapInArrow(blocks, block)
+    texts = _joined(_near(rows, asking), asking, ["asks"]).mapInArrow(blocks, block)
     texts = stored(texts, "blocks")
     span = "doc_id long, key long, begin long, end long"
 

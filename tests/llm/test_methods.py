@@ -90,6 +90,26 @@ def test_removed_bytes_against_brute_force(docs, monkeypatch, most):
         assert r.kept == np.frombuffer(texts[r.doc_id], np.uint8)[~gone].tobytes() and r.n_removed == gone.sum()
 
 
+@pytest.mark.parametrize("most", [suffix_dedup.MOST_BLOCKS, 1])
+def test_equal_rows_in_two_chunks_give_all_their_blocks(spark, monkeypatch, most):
+    met = suffix_dedup._met
+    # In every second fragment the blocks of the later chunk come first.
+    turned = lambda rows: sorted(rows, key=lambda x: x["chunk"], reverse=rows[0]["fragment"] % 2 > 0)
+    monkeypatch.setattr(suffix_dedup, "_met", lambda rows: met(turned(rows)))
+    monkeypatch.setattr(suffix_dedup, "MOST_BLOCKS", most)
+    r = random.Random(11)
+    made = lambda n: "".join(r.choices("abcdefghij ", k=n))
+    rows = []
+    for i in range(8):
+        text, at = made(1500), 200 + 100 * i
+        rows += [(None if i % 2 else i, text)] * 2 + [(100 + i, made(299) + "<" + text[at:at + 250] + ">" + made(299))]
+    given = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    got = {x.doc_id: x for x in suffix_dedup.remove_repeats(given, keep_text=True).collect()}
+    for i in range(8):
+        text = rows[3 * i + 2][1].encode()
+        assert (got[100 + i].n_removed, got[100 + i].kept) == (250, text[:300] + text[550:])
+
+
 def test_column_generation_reaches_the_least_number():
     sizes, demand = np.array([3, 5, 7]), np.array([30.0, 20.0, 10.0])
     patterns, times = packing.solve(sizes, demand, 15)
