@@ -151,6 +151,39 @@ def test_given_pages_give_their_article(spark):
         assert html_crf.main_text(model, r.html) == "\n".join(b.text for b in held)
 
 
+ARTICLE = "<article><h1>Tides</h1><p>The harbour fills twice a day &amp; empties again.</p></article>"
+
+
+@pytest.mark.parametrize("head", [
+    "<head><title>T</title><meta charset=utf-8><style>p {}</style>", "<head><script>var a = '<body>'</script>\n",
+    "<head><title>T</title><noscript><link rel=x></noscript></head>", "<head>dropped<title>T</title></head>", "<head><title>T</title><!-- </head> -->",
+])
+@pytest.mark.parametrize("body", ["<body>", ""])
+def test_a_head_ends_without_an_end_tag(head, body):
+    got = [b.text for b in html_blocks.blocks(f"<html>{head}{body}{ARTICLE}</html>")]
+    assert got == ["Tides", "The harbour fills twice a day & empties again."]
+
+
+def test_text_straight_after_an_open_head_stays():
+    assert [b.text for b in html_blocks.blocks("<head><title>T</title>some <b>bold</b> words")] == ["some bold words"]
+
+
+@pytest.mark.parametrize("tag", "button svg object canvas audio video select math template noscript datalist iframe".split())
+def test_hidden_elements_that_are_never_closed(tag):
+    texts = lambda page: [b.text for b in html_blocks.blocks(page)]
+    want = ["Tides", "The harbour fills twice a day & empties again."]
+    assert texts(f"<div><{tag} class=a></div>{ARTICLE}") == want
+    assert texts(f"{ARTICLE}<div><{tag}>never shown</{tag}></div>") == want
+    if tag != "iframe":
+        assert texts(f"<div><{tag}></div>{ARTICLE}<p><{tag}>never shown</{tag}></p>") == want
+        assert texts(f"<p><{tag}>a<{tag}>b</{tag}>c</{tag}></p>{ARTICLE}") == want
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea", "title"])
+def test_texts_without_markup_reach_to_the_end(tag):
+    assert [b.text for b in html_blocks.blocks(f"<p>before</p><{tag}>x {ARTICLE}")] == ["before"]
+
+
 def test_quality_on_held_out_labels(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     scored = quality.score(docs, quality.train(docs, labels)).withColumn("held", quality.is_held_out())
