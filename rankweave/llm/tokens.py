@@ -32,8 +32,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text in a document.
-        self.tokenizer.encode_special_tokens = True
+        # The library finds the strings of added tokens before it cuts a text; such texts are encoded whole.
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = end
         vocabulary = self.tokenizer.get_vocab()
         self.size = max(max(vocabulary.values(), default=0), end) + 1
@@ -77,6 +77,8 @@ class Encoder:
             lines = pc.replace_substring(held, "\n", " \n")
             parts = [pa.scalar(x, pa.large_string()) for x in (_FIRST, "")]
             lists = pc.split_pattern(pc.binary_join_element_wise(parts[0], lines, parts[1]), " ")
+        for sign in [x for x in self.added if any(map(str.isspace, x))]:
+            odd = pc.or_(odd, pc.match_substring(held, sign, ignore_case=True))
         coded = pc.dictionary_encode(lists.flatten())
         words = coded.dictionary.to_pylist()
         self._learn(words)
@@ -108,7 +110,7 @@ class Encoder:
             if w not in self.new:
                 if (found := self.old.get(w)) is not None:
                     self.new[w] = found
-                else:
+                elif not any(sign in w.lower() for sign in self.added):
                     missing.append(w)
         if self.spaced:
             self._in_calls([w for w in missing if _MARK not in w], self._learn_spaced)

@@ -45,6 +45,18 @@ def test_word_cache_gives_the_tokenizers_ids(docs, name):
     assert held.encode(texts) == [held.whole(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_those_of_the_plain_library(docs, name):
+    from tokenizers import Tokenizer
+
+    plain, held = Tokenizer.from_file(public_tokenizers.path(name)), Encoder(public_tokenizers.path(name))
+    texts = [r.text or "" for r in docs.limit(50).collect()]
+    for sign in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof text|>"):
+        texts += [sign, f"foo {sign} bar", f"foo{sign}bar", f"a\n{sign}\n{sign}{sign} b", f"{sign} foo", "foo <|endoftext bar"]
+    got = [np.frombuffer(x, held.dtype).tolist() for x in held.encode(texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_codec_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
