@@ -6,6 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .conversation_repair import repair
+from .exact_topk import exact_topk
+from .spelling_variants import spelling_variants
 from .decontaminate import LOWER, PATTERN, UPPER, contamination
 from .fingerprint import edited_pairs
 from .html_crf import extract, trained
@@ -61,9 +64,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PATTERN}')"
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_quality, op3_main_text, op4_packing, op5_personal_data, op6_warc, op7_repeats, op8_token_ids, op9_fingerprints, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_quality, op3_main_text, op4_packing, op5_personal_data, op6_warc, op7_repeats, op8_token_ids, op9_fingerprints, op10_decontamination, op11_conversation_repair, op12_exact_topk, op13_spelling_variants)}
 _NGRAM = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+')"
 
 ORACLE: dict[str, str] = {
@@ -105,4 +120,15 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+q AS (SELECT * FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             list_sum(list_transform(list_zip(q.w, c.w), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::BIGINT AS score
+      FROM q JOIN v c ON c.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5""",
 }
