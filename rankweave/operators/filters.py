@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankweave.functions import metadata as md
+from rankweave.functions.shredded import ShreddedLayout, shredded_keys
 
 
 class FilterOperator(str, Enum):
@@ -96,14 +97,21 @@ class _Field:
 
     key: str
     json: Column | None
+    layout: ShreddedLayout | None = None
 
     def text(self) -> Column:
+        if self.layout is not None:
+            return self.layout.text(self.key)
         return F.col(self.key) if self.json is None else md.field_text(self.json, self.key)
 
     def number(self) -> Column:
+        if self.layout is not None:
+            return self.layout.number(self.key)
         return F.col(self.key) if self.json is None else md.field_number(self.json, self.key)
 
     def array(self) -> Column:
+        if self.layout is not None:
+            return self.layout.array(self.key)
         return F.col(self.key) if self.json is None else md.field_array(self.json, self.key)
 
     def against(self, values: list[Any]) -> tuple[Column, list[Any]]:
@@ -219,13 +227,13 @@ _LEAVES = {
 }
 
 
-def _compile(node: Filter, json: Column | None) -> Column | None:
+def _compile(node: Filter, json: Column | None, layout: ShreddedLayout | None = None) -> Column | None:
     if isinstance(node, MetadataFilter):
         build = _LEAVES.get(node.operator)
         if build is None:
             raise ValueError(f"unsupported operator: {node.operator!r}")
-        return build(_Field(node.key, json), node)
-    parts = [part for part in (_compile(f, json) for f in node.filters) if part is not None]
+        return build(_Field(node.key, json, layout), node)
+    parts = [part for part in (_compile(f, json, layout) for f in node.filters) if part is not None]
     if not parts:
         return None
     if node.condition is FilterCondition.OR:
@@ -234,16 +242,22 @@ def _compile(node: Filter, json: Column | None) -> Column | None:
     return ~both if node.condition is FilterCondition.NOT else both
 
 
-def compile_filter(node: Filter | None, metadata_column: str | None = "metadata") -> Column | None:
+def compile_filter(
+    node: Filter | None, metadata_column: str | None = "metadata", shredded: list[str] | None = None
+) -> Column | None:
     """Boolean column of a filter; None when there is nothing to filter by.
 
     With ``metadata_column=None`` the keys are plain columns, and the
     predicates reach the Parquet scan. A comparison with a missing key is NULL:
     such a row is not selected, and not selected by the negation either.
+    With ``shredded`` (the keys of a table written by ``write_shredded``)
+    fields are read from their typed columns, or else from the parsed VARIANT;
+    the text is not parsed again.
     """
     if node is None:
         return None
-    return _compile(node, None if metadata_column is None else F.col(metadata_column))
+    layout = None if shredded is None or metadata_column is None else ShreddedLayout(metadata_column, shredded)
+    return _compile(node, None if metadata_column is None else F.col(metadata_column), layout)
 
 
 def apply_filter(
@@ -254,5 +268,6 @@ def apply_filter(
         return df
     if isinstance(node, Column):
         return df.where(node)
-    predicate = compile_filter(node, metadata_column)
+    shredded = None if metadata_column is None else shredded_keys(df, metadata_column)
+    predicate = compile_filter(node, metadata_column, shredded)
     return df if predicate is None else df.where(predicate)
