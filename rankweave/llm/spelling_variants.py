@@ -43,6 +43,8 @@ _INDEX = {c: i for i, c in enumerate(ALPHABET)}
 # Words of one length that one cell (one task of the range search) holds, about.
 CELL_WORDS = 20_000
 LEAF = 16
+# Queries that go down a cell's tree together.
+QUERY_CHUNK = 256
 
 RESULT = "word string, form string, root string, n long, n_near long, form_n long"
 
@@ -222,8 +224,22 @@ class CountTree:
         self.kids[node] = (left, right)
         return node
 
-    def within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """All (query, point) index pairs with L1 distance at most ``radius``."""
+    def within(self, queries: np.ndarray, radius: int, chunk: int = QUERY_CHUNK) -> tuple[np.ndarray, np.ndarray]:
+        """All (query, point) index pairs with L1 distance at most ``radius``.
+
+        Queries go down the tree ``chunk`` at a time, so the pairs held at once
+        stay bounded whatever the cell's size.
+        """
+        found_q, found_p = [], []
+        for first in range(0, len(queries), chunk):
+            qs, ps = self._within(queries[first : first + chunk], radius)
+            found_q.append(qs + first)
+            found_p.append(ps)
+        if not found_q:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(found_q), np.concatenate(found_p)
+
+    def _within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         q_at = np.arange(len(queries))
         nodes = np.zeros(len(queries), np.int64)
         found_q, found_p = [], []
@@ -233,19 +249,22 @@ class CountTree:
             near = away <= radius
             q_at, nodes = q_at[near], nodes[near]
             leaf = self.kids[nodes, 0] < 0
-            for qi, node in zip(q_at[leaf], nodes[leaf]):
-                start, end = self.spans[node]
-                points = self.order[start:end]
-                found_q.append(np.full(len(points), qi))
-                found_p.append(points)
+            if leaf.any():
+                # Every point of every leaf reached, with its query, checked at once.
+                starts, ends = self.spans[nodes[leaf], 0], self.spans[nodes[leaf], 1]
+                sizes = ends - starts
+                shift = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+                points = self.order[shift + np.arange(int(sizes.sum()))]
+                owners = np.repeat(q_at[leaf], sizes)
+                close = np.abs(self.points[points] - queries[owners]).sum(axis=1) <= radius
+                found_q.append(owners[close])
+                found_p.append(points[close])
             inner = ~leaf
             q_at = np.repeat(q_at[inner], 2)
             nodes = self.kids[nodes[inner]].reshape(-1)
         if not found_q:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        qs, ps = np.concatenate(found_q), np.concatenate(found_p)
-        close = np.abs(queries[qs] - self.points[ps]).sum(axis=1) <= radius
-        return qs[close], ps[close]
+        return np.concatenate(found_q), np.concatenate(found_p)
 
 
 def _search_cell(length: int, targets: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -254,8 +273,12 @@ def _search_cell(length: int, targets: pd.DataFrame, queries: pd.DataFrame) -> p
         return _pairs([])
     t_words, q_words = targets["word"].tolist(), queries["word"].tolist()
     t_n, q_n = targets["n"].to_numpy(), queries["n"].to_numpy()
-    tree = CountTree(np.stack([letter_counts(w) for w in t_words]))
+    t_vectors = np.stack([letter_counts(w) for w in t_words])
     q_vectors = np.stack([letter_counts(w) for w in q_words])
+    # Letters that no word of the cell or its askers has add nothing to a distance.
+    used = np.flatnonzero(t_vectors.any(axis=0) | q_vectors.any(axis=0))
+    t_vectors, q_vectors = t_vectors[:, used], q_vectors[:, used]
+    tree = CountTree(t_vectors)
     rows = []
     for same in (True, False):
         chosen = [i for i, w in enumerate(q_words) if (len(w) == length) == same]
