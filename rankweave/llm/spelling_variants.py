@@ -245,7 +245,7 @@ class CountTree:
         found_q, found_p = [], []
         while len(q_at):
             q = queries[q_at]
-            away = np.maximum(self.lo[nodes] - q, 0).sum(axis=1) + np.maximum(q - self.hi[nodes], 0).sum(axis=1)
+            away = (np.maximum(self.lo[nodes] - q, 0) + np.maximum(q - self.hi[nodes], 0)).sum(axis=1, dtype=np.int16)
             near = away <= radius
             q_at, nodes = q_at[near], nodes[near]
             leaf = self.kids[nodes, 0] < 0
@@ -256,7 +256,7 @@ class CountTree:
                 shift = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
                 points = self.order[shift + np.arange(int(sizes.sum()))]
                 owners = np.repeat(q_at[leaf], sizes)
-                close = np.abs(self.points[points] - queries[owners]).sum(axis=1) <= radius
+                close = np.abs(self.points[points] - queries[owners]).sum(axis=1, dtype=np.int16) <= radius
                 found_q.append(owners[close])
                 found_p.append(points[close])
             inner = ~leaf
@@ -277,22 +277,51 @@ def _search_cell(length: int, targets: pd.DataFrame, queries: pd.DataFrame) -> p
     q_vectors = np.stack([letter_counts(w) for w in q_words])
     # Letters that no word of the cell or its askers has add nothing to a distance.
     used = np.flatnonzero(t_vectors.any(axis=0) | q_vectors.any(axis=0))
-    t_vectors, q_vectors = t_vectors[:, used], q_vectors[:, used]
+    # Counts clipped to 127 fit a byte; clipping never makes two counts further apart, so no pair is lost.
+    t_vectors = np.minimum(t_vectors[:, used], 127).astype(np.int8)
+    q_vectors = np.minimum(q_vectors[:, used], 127).astype(np.int8)
     tree = CountTree(t_vectors)
-    rows = []
+    t_codes, q_codes = _codes(t_words, length), _codes(q_words, length)
+    lengths = np.array([len(w) for w in q_words])
+    parts = []
     for same in (True, False):
-        chosen = [i for i, w in enumerate(q_words) if (len(w) == length) == same]
-        if not chosen:
+        chosen = np.flatnonzero((lengths == length) == same)
+        if not len(chosen):
             continue
         qs, ps = tree.within(q_vectors[chosen], 2 if same else 1)
-        for qi, pi in zip(qs, ps):
-            a, b = q_words[chosen[qi]], t_words[pi]
-            if a == b or not one_edit(a, b):
-                continue
-            rows.append((a, b, int(t_n[pi])))
-            if not same:
-                rows.append((b, a, int(q_n[chosen[qi]])))
-    return _pairs(rows)
+        qs = chosen[qs]
+        # Letter order, checked for all pairs at once.
+        good = _one_edit_codes(q_codes[qs], t_codes[ps], same)
+        qs, ps = qs[good], ps[good]
+        parts.append(pd.DataFrame({"word": np.array(q_words, object)[qs], "other": np.array(t_words, object)[ps], "other_n": t_n[ps]}))
+        if not same:
+            parts.append(pd.DataFrame({"word": np.array(t_words, object)[ps], "other": np.array(q_words, object)[qs], "other_n": q_n[qs]}))
+    if not parts:
+        return _pairs([])
+    return pd.concat(parts, ignore_index=True).astype({"other_n": "int64"})
+
+
+def _codes(words: list[str], width: int) -> np.ndarray:
+    """Code points of each word, padded with zeros to ``width``."""
+    out = np.zeros((len(words), width), np.int32)
+    for i, w in enumerate(words):
+        out[i, : len(w)] = [ord(c) for c in w[:width]]
+    return out
+
+
+def _one_edit_codes(a: np.ndarray, b: np.ndarray, same: bool) -> np.ndarray:
+    """Per row: b is a with one code point replaced (same length), or with one inserted.
+
+    In the second case a is one shorter and padded with a zero at its end.
+    """
+    if same:
+        return (a != b).sum(axis=1) == 1
+    width = b.shape[1]
+    # a[:i] == b[:i] and a[i:] == b[i+1:] for some i: a common prefix and suffix cover a.
+    prefix = np.cumprod(a[:, : width - 1] == b[:, : width - 1], axis=1).sum(axis=1)
+    shifted = a[:, : width - 1] == b[:, 1:]
+    suffix = np.cumprod(shifted[:, ::-1], axis=1).sum(axis=1)
+    return prefix + suffix >= width - 1
 
 
 def _pairs(rows: list) -> pd.DataFrame:
