@@ -225,19 +225,17 @@ class CountTree:
         return node
 
     def within(self, queries: np.ndarray, radius: int, chunk: int = QUERY_CHUNK) -> tuple[np.ndarray, np.ndarray]:
-        """All (query, point) index pairs with L1 distance at most ``radius``.
+        """All (query, point) index pairs with L1 distance at most ``radius``."""
+        found = list(self.chunks(queries, radius, chunk))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([q for q, _ in found]), np.concatenate([p for _, p in found])
 
-        Queries go down the tree ``chunk`` at a time, so the pairs held at once
-        stay bounded whatever the cell's size.
-        """
-        found_q, found_p = [], []
+    def chunks(self, queries: np.ndarray, radius: int, chunk: int = QUERY_CHUNK):
+        """The same pairs, ``chunk`` queries at a time, so that a caller can thin them as they come."""
         for first in range(0, len(queries), chunk):
             qs, ps = self._within(queries[first : first + chunk], radius)
-            found_q.append(qs + first)
-            found_p.append(ps)
-        if not found_q:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(found_q), np.concatenate(found_p)
+            yield qs + first, ps
 
     def _within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         q_at = np.arange(len(queries))
@@ -288,11 +286,16 @@ def _search_cell(length: int, targets: pd.DataFrame, queries: pd.DataFrame) -> p
         chosen = np.flatnonzero((lengths == length) == same)
         if not len(chosen):
             continue
-        qs, ps = tree.within(q_vectors[chosen], 2 if same else 1)
-        qs = chosen[qs]
-        # Letter order, checked for all pairs at once.
-        good = _one_edit_codes(q_codes[qs], t_codes[ps], same)
-        qs, ps = qs[good], ps[good]
+        kept_q, kept_p = [], []
+        for qs, ps in tree.chunks(q_vectors[chosen], 2 if same else 1):
+            qs = chosen[qs]
+            # Letter order, checked for all pairs of a chunk at once; only near pairs are held.
+            good = _one_edit_codes(q_codes[qs], t_codes[ps], same)
+            kept_q.append(qs[good])
+            kept_p.append(ps[good])
+        if not kept_q:
+            continue
+        qs, ps = np.concatenate(kept_q), np.concatenate(kept_p)
         parts.append(pd.DataFrame({"word": np.array(q_words, object)[qs], "other": np.array(t_words, object)[ps], "other_n": t_n[ps]}))
         if not same:
             parts.append(pd.DataFrame({"word": np.array(t_words, object)[ps], "other": np.array(q_words, object)[qs], "other_n": q_n[qs]}))
