@@ -42,9 +42,9 @@ _INDEX = {c: i for i, c in enumerate(ALPHABET)}
 
 # Words of one length that one cell (one task of the range search) holds, about.
 CELL_WORDS = 20_000
-LEAF = 16
+LEAF = 8
 # Queries that go down a cell's tree together.
-QUERY_CHUNK = 256
+QUERY_CHUNK = 32
 
 RESULT = "word string, form string, root string, n long, n_near long, form_n long"
 
