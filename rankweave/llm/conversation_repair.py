@@ -27,7 +27,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,39 +92,47 @@ def repair(conversations: DataFrame) -> DataFrame:
     with its cost and audit. Extra input columns are ignored.
     """
     rows = damaged(conversations)
-    return rows.groupBy("_c").applyInPandas(_repaired_group, RESULT)
-
-
-def _repaired_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    conv_id = key[0]
-    live = rows[~rows["_dropped"].astype(bool)]
-    if live.empty:
-        return pd.DataFrame([[conv_id, 0, 0, 0, 0, 0, 0, "", EMPTY_SHA256]], columns=RESULT_COLUMNS)
-    live = live.sort_values(["_turn", "_role", "_text"], na_position="first", kind="stable")
-    roles, texts = live["_role"].tolist(), live["_text"].tolist()
-    faults = row_faults(roles, texts, live["_blank"].tolist(), live["_cut"].tolist())
-    turns = live["_turn"].dropna()
-    gaps = int(turns.max() - turns.min() + 1 - turns.nunique()) if len(turns) else 0
+    return rows.groupBy("_c").applyInArrow(_repaired_group, RESULT)
+
+
+def _repaired_group(key: tuple, rows: pa.Table) -> pa.Table:
+    conv_id = key[0].as_py()
+    turn, dropped, role, text, blank, cut = (rows.column(c).to_pylist() for c in ("_turn", "_dropped", "_role", "_text", "_blank", "_cut"))
+    live = [i for i, gone in enumerate(dropped) if not gone]
+    if not live:
+        return _result(conv_id, 0, [0, 0, 0], 0, 0, "", EMPTY_SHA256)
+    # By turn, nulls first; ties by role and text.
+    live.sort(key=lambda i: (turn[i] is not None, turn[i] or 0, role[i], text[i]))
+    roles, texts = [role[i] for i in live], [text[i] for i in live]
+    faults = row_faults(roles, texts, [blank[i] for i in live], [cut[i] for i in live])
+    turns = [turn[i] for i in live if turn[i] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
     initials = [r[:1] for r in roles]
     illegal = sum(a + b not in LEGAL_PAIRS for a, b in zip(initials, initials[1:]))
     cost, script = cheapest_script(initials, faults)
     lines, at = [], 0
-    for letter, role in script:
+    for letter, new_role in script:
         if letter == "I":
-            lines.append(f"{_ROLE[role]}:")
+            lines.append(f"{_ROLE[new_role]}:")
             continue
         if letter == "K":
             lines.append(f"{roles[at]}:{texts[at]}")
         elif letter == "R":
-            lines.append(f"{_ROLE[role]}:{texts[at]}")
+            lines.append(f"{_ROLE[new_role]}:{texts[at]}")
         at += 1
     digest = hashlib.sha256("\n".join(lines).encode("utf-8")).hexdigest()
     counts = [sum(f == kind for f in faults) for kind in (BLANK, DUPLICATE, CUT)]
     audit = "".join(letter for letter, _ in script)
-    return pd.DataFrame([[conv_id, gaps, *counts, illegal, cost, audit, digest]], columns=RESULT_COLUMNS)
+    return _result(conv_id, gaps, counts, illegal, cost, audit, digest)
+
+
+def _result(conv_id, gaps, counts, illegal, cost, audit, digest) -> pa.Table:
+    values = [conv_id, gaps, *counts, illegal, cost, audit, digest]
+    return pa.table({name: pa.array([v], kind) for name, v, kind in zip(RESULT_COLUMNS, values, _TYPES)})
 
 
 RESULT_COLUMNS = [part.split()[0] for part in RESULT.split(", ")]
+_TYPES = [pa.int64()] * 7 + [pa.string(), pa.string()]
 
 
 def row_faults(roles: list[str], texts: list[str], blank: list[bool], cut: list[bool]) -> list[int]:
