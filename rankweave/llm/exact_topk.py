@@ -3,7 +3,7 @@
 Vectors are grouped by length (squared norm): ranges of the squared norm cut
 at quantiles over all rows, each range dealt by a hash of the id into buckets
 of at most about ``BUCKET_ROWS`` rows, so a norm that many rows share is split
-too. A query first meets the bucket of the longest vectors; the k-th best of
+too. A query first meets one bucket of the longest vectors; the k-th best of
 those scores is a lower bound ``s`` of its final k-th score. A bucket whose
 longest vector p gives ``|q| |p| < s`` cannot hold a result, so the query only
 visits ranges from the first one that can; inside a bucket the local cosine
@@ -16,27 +16,29 @@ threshold ``s / (|q| max|p|)`` chooses the pruning:
   ``|q| |p| >= s`` is taken.
 
 The products of the candidates left are computed exactly in integers and the
-k best of each visited bucket are ranked again per query.
+k best of each visited bucket are ranked again per query. Squared lengths are
+doubles, which long vectors do not overflow; every bound taken from them gives
+way by ``SLACK``, so rounding never drops a candidate.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankweave.runtime import is_small
-
 from .common import range_bounds, range_bucket, stored
 
 # Rows of a bucket of candidates and of a block of queries that meet in one task.
 BUCKET_ROWS = 4096
 QUERY_ROWS = 4096
+# Bytes of components that a bucket or a block holds at most: wide vectors make smaller ones.
+BUCKET_BYTES = 16 * 1024 * 1024
+# Share by which a bound from squared lengths gives way; their rounding is far below it.
+SLACK = 1e-9
 # Local cosine threshold from which coordinate pruning is used instead of length pruning.
 COORD_THETA = 0.3
 K = 5
@@ -44,10 +46,11 @@ SCALE = 256
 QUERY_EVERY = 50
 
 RESULT = "query_id long, rank int, vec_id long, score long"
+_SCORES = "query_id long, copy int, vec_id long, score long"
 
 
 def integer_vectors(embeddings: DataFrame, column: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """(vec_id, v: floor(256 x) as longs, n2: squared length) of the usable rows.
+    """(vec_id, v: floor(256 x) as longs, n2: squared length as a double) of the usable rows.
 
     Rows with a null id, a null vector or a null, NaN or infinite component
     take no part; an empty vector is usable (all its products are 0).
@@ -57,7 +60,7 @@ def integer_vectors(embeddings: DataFrame, column: str = "embedding", key: str =
     ints = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("long"))
     out = embeddings.where(F.col(key).isNotNull() & x.isNotNull() & ~bad)
     out = out.select(F.col(key).alias("vec_id"), ints.alias("v"))
-    return out.withColumn("n2", F.aggregate("v", F.lit(0).cast("long"), lambda acc, c: acc + c * c))
+    return out.withColumn("n2", F.aggregate("v", F.lit(0.0), lambda acc, c: acc + c.cast("double") * c.cast("double")))
 
 
 def exact_topk(
@@ -77,69 +80,64 @@ def exact_topk(
     copy). Returns (query_id, rank from 1, vec_id, score).
     """
     spark = embeddings.sparkSession
-    vectors = integer_vectors(embeddings)
-    cuts = range_bounds(vectors, "n2")
-    vectors = vectors.withColumn("range", range_bucket("n2", cuts))
-    ranges = vectors.groupBy("range").agg(F.count("*").alias("rows"), F.max("n2").alias("top")).collect()
+    # The key of a range: beyond the longs all lengths share the last one.
+    vectors = integer_vectors(embeddings).withColumn("n2_key", F.least("n2", F.lit(9e18)).cast("long"))
+    cuts = range_bounds(vectors, "n2_key")
+    vectors = vectors.withColumn("range", range_bucket("n2_key", cuts)).drop("n2_key")
+    found = vectors.groupBy("range").agg(F.count("*").alias("rows"), F.max("n2").alias("top"), F.max(F.size("v")).alias("width"))
+    ranges = sorted((r.range, r.rows, r.top, r.width) for r in found.collect())
     if not ranges:
         return spark.createDataFrame([], RESULT)
-    ranges = sorted((r.range, r.rows, r.top) for r in ranges)
-    subs = {r: max(1, math.ceil(rows / bucket_rows)) for r, rows, _ in ranges}
-    # Longest squared norm up to each range: a bound that rises with the range.
-    bounds = np.maximum.accumulate(np.array([top for _, _, top in ranges], np.int64))
-    ids = np.array([r for r, _, _ in ranges], np.int64)
+    fitting = max(1, BUCKET_BYTES // (8 * max(1, *[width for *_, width in ranges])))
+    bucket_rows, query_rows = min(bucket_rows, fitting), min(query_rows, fitting)
+    subs = {r: max(1, math.ceil(rows / bucket_rows)) for r, rows, *_ in ranges}
+    # Longest squared length up to each range: a bound that rises with the range.
+    bounds = np.maximum.accumulate(np.array([top for _, _, top, _ in ranges], np.float64))
+    ids = np.array([r for r, *_ in ranges], np.int64)
     sub_of = F.create_map(*[F.lit(x) for r, n in subs.items() for x in (r, n)])
-    vectors = vectors.withColumn("sub", F.pmod(F.xxhash64("vec_id"), F.element_at(sub_of, F.col("range"))))
+    # An int, as in ``asked``: keys of two types are dealt to different tasks and never meet.
+    vectors = vectors.withColumn("sub", F.pmod(F.xxhash64("vec_id"), F.element_at(sub_of, F.col("range"))).cast("int"))
+
+    # Rows of one vec_id are queries of their own, told apart by ``copy``.
+    queries = vectors.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", "n2")
+    queries = queries.withColumn("copy", F.row_number().over(Window.partitionBy("query_id").orderBy("v")))
+    blocks = max(1, math.ceil(queries.count() / query_rows))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "copy"), F.lit(blocks)))
+    keys = ["range", "sub", "block"]
+
+    def bucket(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _bucket_scores(left, right, k)
+
+    def meet(asked: DataFrame, visits: DataFrame) -> DataFrame:
+        # Fresh names: the candidates' side must not share columns with the queries' one.
+        dealt = vectors.join(visits, ["range", "sub"]).select(*[F.col(c).alias(c) for c in (*keys, "vec_id", "v", "n2")])
+        return asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(bucket, _SCORES)
 
     top_range = int(ids[-1])
-    seed = vectors.where((F.col("range") == top_range) & (F.col("sub") == 0)).select("vec_id", "v")
-    if not is_small(seed, F.size("v") * 8, max_rows=4 * bucket_rows):
-        seed = seed.limit(0)
-    seed_rows = seed.collect()
-    seed_ids = np.array([r.vec_id for r in seed_rows], np.int64)
-    seed_matrix = _padded([r.v for r in seed_rows])
-
-    queries = vectors.where(F.col("vec_id") % every == 0).select("vec_id", "v", "n2")
-    first_schema = "query_id long, vec_id long, score long, seed long"
-
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield _seed_scores(batch, seed_ids, seed_matrix, k)
-
-    met = queries.mapInPandas(first, first_schema)
-    met = stored(met, "topk-seed")
-    seeds = met.groupBy("query_id").agg(F.min("seed").alias("seed"))
-    n_queries = seeds.count()
-    blocks = max(1, math.ceil(n_queries / query_rows))
+    place = {"range": F.lit(top_range), "sub": F.lit(0)}
+    first = queries.withColumns({**place, "seed": F.lit(None).cast("long")})
+    everywhere = spark.range(blocks).select(*[c.alias(n) for n, c in place.items()], F.col("id").alias("block"))
+    met = stored(meet(first, everywhere), "topk-seed")
+    # Only a full list bounds the k-th score.
+    seeds = met.groupBy("query_id", "copy").agg(F.when(F.count("*") == k, F.min("score")).alias("seed"))
 
     @F.pandas_udf("long")
     def first_range(seed: pd.Series, n2: pd.Series) -> pd.Series:
         # Ranges whose bound b has b * n2 >= seed^2 (all, when seed <= 0 or unknown).
-        need = np.where(seed.isna() | (seed.fillna(0) <= 0), -1, seed.fillna(0).astype("float64") ** 2)
-        # One below the float quotient: a few ranges too many rather than one too few.
-        least = np.floor(need / np.maximum(n2.to_numpy("float64"), 1)) - 1
+        known = seed.fillna(0).astype("float64").to_numpy()
+        least = known**2 * (1 - SLACK) / np.maximum(n2.to_numpy("float64"), 1)
         at = np.searchsorted(bounds, least, side="left")
-        at = np.where(need < 0, 0, np.where(n2.to_numpy() == 0, len(ids), at))
-        return pd.Series(at, dtype="int64")
+        return pd.Series(np.where(known <= 0, 0, at), dtype="int64")
 
-    asked = queries.join(seeds, queries.vec_id == seeds.query_id).select("query_id", "v", "n2", "seed")
+    asked = queries.join(seeds, ["query_id", "copy"], "left")
     ranks = F.array(*[F.lit(int(r)) for r in ids])
     asked = asked.withColumn("range", F.explode(F.slice(ranks, first_range("seed", "n2") + 1, len(ids))))
     asked = asked.withColumn("sub", F.explode(F.sequence(F.lit(0), F.element_at(sub_of, F.col("range")) - 1)))
     asked = asked.where((F.col("range") != top_range) | (F.col("sub") != 0))
-    asked = stored(asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))), "topk-asked")
-    # Fresh names: the candidates' side must not share columns with the queries' one.
-    visits = asked.select(*[F.col(c).alias(c) for c in ("range", "sub", "block")]).distinct()
-    dealt = vectors.join(visits, ["range", "sub"]).select("range", "sub", "block", "vec_id", "v", "n2")
-
-    def bucket(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _bucket_scores(left, right, k)
-
-    keys = ["range", "sub", "block"]
-    later = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(bucket, "query_id long, vec_id long, score long")
-    found = met.select("query_id", "vec_id", "score").where(F.col("vec_id").isNotNull()).unionByName(later)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    asked = stored(asked, "topk-asked")
+    visits = asked.select(*keys).distinct()
+    order = Window.partitionBy("query_id", "copy").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+    ranked = met.unionByName(meet(asked, visits)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
@@ -151,69 +149,42 @@ def _padded(vectors: list) -> np.ndarray:
     return out
 
 
-def _dot(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    width = max(queries.shape[1], candidates.shape[1])
-    q = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
-    c = np.pad(candidates, ((0, 0), (0, width - candidates.shape[1])))
-    return q @ c.T
-
-
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best: score descending, then id ascending."""
     order = np.lexsort((ids, -scores))
     return order[:k]
 
 
-def _seed_scores(batch: pd.DataFrame, seed_ids: np.ndarray, seed_matrix: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query's k best among the longest bucket, and its k-th score (null if fewer)."""
-    out = []
-    if not len(batch):
-        return pd.DataFrame(columns=["query_id", "vec_id", "score", "seed"])
-    queries = _padded(list(batch["v"]))
-    scores = _dot(queries, seed_matrix) if len(seed_ids) else np.zeros((len(batch), 0), np.int64)
-    for row, qid in enumerate(batch["vec_id"].to_numpy()):
-        keep = seed_ids != qid
-        ids, s = seed_ids[keep], scores[row][keep]
-        best = _best(ids, s, k)
-        least = int(s[best[-1]]) if len(best) == k else None
-        if not len(best):
-            out.append((qid, None, None, None))
-        for at in best:
-            out.append((qid, int(ids[at]), int(s[at]), least))
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "seed"]).astype(
-        {"query_id": "int64", "vec_id": "Int64", "score": "Int64", "seed": "Int64"}
-    )
-
-
 def _bucket_scores(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd.DataFrame:
     """Exact k best of one bucket for each query, pruned by length or by coordinate."""
     if queries.empty or candidates.empty:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        return pd.DataFrame({"query_id": [], "copy": [], "vec_id": [], "score": []}, dtype="int64")
     order = np.argsort(-candidates["n2"].to_numpy(), kind="stable")
     ids = candidates["vec_id"].to_numpy()[order]
-    n2 = candidates["n2"].to_numpy()[order].astype(np.int64)
+    n2 = candidates["n2"].to_numpy()[order]
     matrix = _padded([candidates["v"].iloc[i] for i in order])
     q_matrix = _padded(list(queries["v"]))
     width = max(matrix.shape[1], q_matrix.shape[1])
     matrix = np.pad(matrix, ((0, 0), (0, width - matrix.shape[1])))
     q_matrix = np.pad(q_matrix, ((0, 0), (0, width - q_matrix.shape[1])))
-    lengths = np.sqrt(n2.astype(np.float64))
+    lengths = np.sqrt(n2)
     unit = matrix / np.maximum(lengths, 1e-300)[:, None]
     # Sorted lists per coordinate, built when a query first asks for that coordinate.
     sorted_by: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     top = float(lengths[0])
-    out_q, out_id, out_s = [], [], []
-    for row, (qid, seed, qn2) in enumerate(zip(queries["query_id"], queries["seed"], queries["n2"])):
+    out_q, out_copy, out_id, out_s = [], [], [], []
+    asking = zip(queries["query_id"], queries["copy"], queries["seed"], queries["n2"])
+    for row, (qid, copy, seed, qn2) in enumerate(asking):
         q = q_matrix[row]
         known = seed is not None and not pd.isna(seed) and seed > 0
         take = len(ids)
         if known:
             # Length pruning: the prefix whose |p|^2 * |q|^2 >= seed^2.
-            need = float(seed) ** 2
-            take = int(np.searchsorted(-(n2.astype(np.float64) * float(qn2)), -need, side="right"))
+            need = float(seed) ** 2 * (1 - SLACK)
+            take = int(np.searchsorted(-(n2 * float(qn2)), -need, side="right"))
         picked = np.arange(take)
         q_len = math.sqrt(float(qn2))
-        theta = float(seed) / (q_len * top) if known and q_len > 0 and top > 0 else 0.0
+        theta = float(seed) / (q_len * top) * (1 - SLACK) if known and q_len > 0 and top > 0 else 0.0
         if known and theta >= COORD_THETA and take > 0:
             f = int(np.argmax(np.abs(q)))
             qf = q[f] / q_len
@@ -237,6 +208,7 @@ def _bucket_scores(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> p
         cand, scores = cand[keep], scores[keep]
         best = _best(cand, scores, k)
         out_q.extend([qid] * len(best))
+        out_copy.extend([copy] * len(best))
         out_id.extend(cand[best].tolist())
         out_s.extend(scores[best].tolist())
-    return pd.DataFrame({"query_id": out_q, "vec_id": out_id, "score": out_s}, dtype="int64")
+    return pd.DataFrame({"query_id": out_q, "copy": out_copy, "vec_id": out_id, "score": out_s}, dtype="int64")

@@ -186,6 +186,35 @@ def test_topk_edges(spark):
     assert sorted(tuple(r) for r in xt.exact_topk(few).collect()) == _plain_topk([(0, [0.1, 0.2]), (1, [0.3, 0.1]), (50, [0.0, 0.0])])
 
 
+def test_topk_when_buckets_are_not_in_one_task(spark):
+    rnd = np.random.default_rng(9)
+    rows = [(i, rnd.normal(size=8).astype(np.float32).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(tuple(r) for r in xt.exact_topk(df, bucket_rows=16, query_rows=3).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    assert got == _plain_topk(rows)
+
+
+def test_topk_of_repeated_ids_and_of_vectors_beyond_the_longs(spark):
+    rnd = np.random.default_rng(10)
+    rows = [(i, rnd.normal(size=4).astype(np.float32).tolist()) for i in range(200)]
+    rows += rows[:60] + [(100, [2.0, -1.0, 0.5, 0.25]), (201, [1e9] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in xt.exact_topk(df).collect()) == _plain_topk(rows)
+
+
+def test_topk_does_not_depend_on_the_bytes_of_a_bucket(spark, monkeypatch):
+    rnd = np.random.default_rng(11)
+    rows = [(i, rnd.normal(size=8).astype(np.float32).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(xt, "BUCKET_BYTES", 8 * 8 * 10)
+    assert sorted(tuple(r) for r in xt.exact_topk(df).collect()) == _plain_topk(rows)
+
+
 # -- op13 -----------------------------------------------------------------------
 
 
