@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from rankweave.operators.filters import Filter, apply_filter
 from rankweave.operators.topk import RunningTopK, list_schema, merge_lists, task_group
-from rankweave.runtime import broadcast_if_small, scratch_path
+from rankweave.runtime import broadcast_if_small
 from rankweave.spec import DEFAULT_K, CollectionSpec, DistanceStrategy
 
 # Bounds of a broadcast query block.
@@ -29,8 +29,9 @@ MAX_QUERY_ROWS = 8_192
 MAX_QUERY_BYTES = 64 * 1024 * 1024
 # Numbers held at once by one step of the comparison inside a task.
 _CELLS = 4_000_000
-# Documents and queries of one shuffled block.
+# Documents of one shuffled block. A block of queries is smaller: its lists are held all the time.
 _BLOCK_BYTES = 64 * 1024 * 1024
+_BLOCK_QUERIES = 8_192
 
 
 def vectors_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -76,7 +77,8 @@ class NearestRows(RunningTopK):
     def _add_part(self, docs: np.ndarray, ids: np.ndarray, active: np.ndarray) -> None:
         rough, slack = self._rough_keys(docs, active)
         limit = self.bound[active]
-        if len(docs) > self.k:
+        # Once every query has k rows, their bounds alone leave few candidates.
+        if len(docs) > self.k and np.isinf(limit).any():
             in_part = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
             limit = np.minimum(limit, in_part + slack)
         qi, di = np.nonzero(rough <= (limit + slack)[:, None])
@@ -103,7 +105,10 @@ class NearestRows(RunningTopK):
         dots = queries.astype(kind) @ docs.astype(kind, copy=False).T
         if self.metric is DistanceStrategy.INNER_PRODUCT:
             return -dots, error * (q_norm * norm.max() + 1e-300)
-        keys = (q_norm[:, None] ** 2 + norm[None, :] ** 2).astype(kind) - 2 * dots
+        keys = dots
+        keys *= -2
+        keys += (q_norm**2).astype(kind)[:, None]
+        keys += (norm**2).astype(kind)[None, :]
         return keys, 2 * error * (q_norm**2 + norm.max() ** 2 + 1e-300)
 
     def _exact_keys(self, docs: np.ndarray, owner: np.ndarray, di: np.ndarray) -> np.ndarray:
@@ -223,7 +228,7 @@ def scan_in_blocks(
 
     dim = docs.select(F.size(doc_vec)).first()
     rows_per_block = max(1, block_bytes // (8 * max(1, dim[0] if dim else 1)))
-    query_blocks = max(1, -(-queries.count() // rows_per_block))
+    query_blocks = max(1, -(-queries.count() // min(rows_per_block, _BLOCK_QUERIES)))
     if keyed:
         # A list may hold any share of the documents: each gets the blocks it needs.
         sizes = docs.groupBy("list_id").agg(
@@ -296,31 +301,5 @@ def knn(
     )
     block = collect_block(wanted, max_rows=max_broadcast_rows)
     if block is None:
-        return _by_query_blocks(vectors, wanted, k, metric, max_broadcast_rows)
+        return merge_nearest(scan_in_blocks(vectors, wanted, k, metric), k, metric)
     return merge_nearest(scan_with_block(vectors, block, wanted, k, metric), k, metric)
-
-
-def _by_query_blocks(
-    vectors: DataFrame, queries: DataFrame, k: int, metric: DistanceStrategy, max_rows: int
-) -> DataFrame:
-    """Nearest documents for a query set over the bounds: block after block of the queries is broadcast.
-
-    The documents are read once a block and never shuffled. A block's result is
-    written before the next one starts, so one block at a time is held.
-    """
-    spark = vectors.sparkSession
-    dim = queries.select(F.size("query_embedding")).first()[0] or 1
-    rows = max(1, min(max_rows, MAX_QUERY_BYTES // (8 * dim + 64)))
-    blocks = -(-queries.count() // rows)
-    path, schema = scratch_path(spark, "nearest"), None
-    numbered = queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    for number in range(blocks):
-        some = numbered.where(F.col("_block") == number).drop("_block")
-        # Full on average; the hash leaves no block far over the bound.
-        block = collect_block(some, 8 * rows + 64, 8 * MAX_QUERY_BYTES)
-        if block is None:
-            raise ValueError("query ids repeat too often to be cut into blocks")
-        found = merge_nearest(scan_with_block(vectors, block, some, k, metric), k, metric)
-        schema = found.schema
-        found.write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)

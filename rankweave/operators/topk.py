@@ -48,18 +48,29 @@ class RunningTopK:
     def offer(self, owner: np.ndarray, key: np.ndarray, ids: np.ndarray) -> None:
         if len(owner) == 0:
             return
+        rest = np.zeros(len(self.owner), dtype=bool)
         if self.ids is not None:
-            owner = np.concatenate([self.owner, owner])
-            key = np.concatenate([self.key, key])
-            ids = np.concatenate([self.ids, ids])
+            # Lists that get no row stay as they are.
+            offered = np.zeros(len(self.bound), dtype=bool)
+            offered[owner] = True
+            old = offered[self.owner]
+            rest = ~old
+            owner = np.concatenate([self.owner[old], owner])
+            key = np.concatenate([self.key[old], key])
+            ids = np.concatenate([self.ids[old], ids])
         _, id_order = np.unique(ids, return_inverse=True)
         order = np.lexsort((id_order, key, owner))
         owner, key, ids = owner[order], key[order], ids[order]
         place = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left")
         keep = place < self.k
-        self.owner, self.key, self.ids = owner[keep], key[keep], ids[keep]
         full = place == self.k - 1
         self.bound[owner[full]] = key[full]
+        owner, key, ids = owner[keep], key[keep], ids[keep]
+        if rest.any():
+            owner = np.concatenate([self.owner[rest], owner])
+            key = np.concatenate([self.key[rest], key])
+            ids = np.concatenate([self.ids[rest], ids])
+        self.owner, self.key, self.ids = owner, key, ids
 
     def batch(self, query_ids: pa.Array, id_type: pa.DataType, values: np.ndarray, group: int) -> pa.RecordBatch:
         """The kept rows as (query_id, id, value, merge_group); NaN becomes NULL."""

@@ -3,6 +3,7 @@ import pytest
 
 from rankweave.operators import dense
 from rankweave.operators.dense import knn, scan_in_blocks
+from rankweave.operators.topk import RunningTopK
 from rankweave.operators.filters import MetadataFilter
 from rankweave.operators.ivf import build_ivf, ivf_search, train_centers
 from rankweave.plans.search import SearchTarget
@@ -84,6 +85,28 @@ def test_many_small_blocks(spark, data, metric):
     check(dense.merge_nearest(lists, 15, metric), brute(docs, queries, 15, metric))
 
 
+def test_a_large_query_set_is_one_job_and_not_one_a_block(spark, data):
+    docs, _ = data
+    counter = spark.sparkContext
+    counter.setJobGroup("many-queries", "")
+    try:
+        found = knn(make_docs(spark, docs), make_queries(spark, docs), 5, COSINE, max_broadcast_rows=2).collect()
+        jobs = counter.statusTracker().getJobIdsForGroup("many-queries")
+    finally:
+        counter.setLocalProperty("spark.jobGroup.id", None)
+    assert len({r["query_id"] for r in found}) == len(docs)
+    assert len(jobs) < 40
+
+
+def test_lists_that_get_no_row_stay_as_they_are():
+    best = RunningTopK(3, 2)
+    best.offer(np.array([0, 0, 1, 2]), np.array([3.0, 1.0, 5.0, 4.0]), np.array([7, 8, 9, 6]))
+    before = best.owner
+    best.offer(np.array([1, 1]), np.array([6.0, 5.0]), np.array([3, 2]))
+    assert sorted(zip(best.owner, best.key, best.ids)) == [(0, 1.0, 8), (0, 3.0, 7), (1, 5.0, 2), (1, 5.0, 9), (2, 4.0, 6)]
+    assert before is not best.owner and best.bound.tolist() == [3.0, 5.0, np.inf]
+
+
 def test_filter_comes_before_the_ranking(spark, data):
     docs, queries = data
     found = knn(make_docs(spark, docs), make_queries(spark, queries), 5, filter=MetadataFilter("g", 1))
