@@ -55,6 +55,7 @@ def block_max_index(index: Bm25Index, path: str | None = None, levels: int = LEV
 
     Postings are written partitioned by term bucket and sorted by term and
     level, so that a read of some terms and blocks touches few row groups.
+    A bucket is cut over as many tasks as its size asks for.
     """
     spark = index.postings.sparkSession
     path = path or scratch_path(spark, "bm25-blockmax")
@@ -67,7 +68,8 @@ def block_max_index(index: Bm25Index, path: str | None = None, levels: int = LEV
     if "term_bucket" not in postings.columns:
         postings = postings.withColumn("term_bucket", F.lit(0))
     postings = postings.select("term", "level", "id", "tf", "dl", "part", "term_bucket")
-    postings.repartition("term_bucket").sortWithinPartitions("term", F.desc("level")).write.partitionBy("term_bucket").parquet(f"{path}/postings")
+    balanced = postings.hint("rebalance", "term_bucket").sortWithinPartitions("term_bucket", "term", F.desc("level"))
+    balanced.write.partitionBy("term_bucket").parquet(f"{path}/postings")
     written = spark.read.parquet(f"{path}/postings")
     blocks = written.groupBy("term", "level").agg(F.max("part").alias("top"), F.count("*").alias("rows"))
     blocks.write.parquet(f"{path}/blocks")
