@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # Most that a broadcast side may hold.
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# The same for a side of bare ids, where a shuffle would move a table many times its size.
+MAX_BROADCAST_IDS = 2_000_000
+MAX_ID_BYTES = 128 * 1024 * 1024
 
 
 def is_small(
@@ -40,6 +43,13 @@ def broadcast_if_small(df: DataFrame, width: Column | None = None) -> DataFrame:
     return F.broadcast(df) if is_small(df, width) else df
 
 
+def broadcast_ids(df: DataFrame, *ids: str) -> DataFrame:
+    """Hint a broadcast only for a list of ids under the bounds for ids."""
+    texts = [F.octet_length(F.col(c)) for c in ids if df.schema[c].dataType.typeName() in ("string", "binary")]
+    width = sum(texts[1:], texts[0]) if texts else None
+    return F.broadcast(df) if is_small(df, width, MAX_BROADCAST_IDS, MAX_ID_BYTES) else df
+
+
 def few_results(queries: DataFrame, k: int) -> bool:
     """True when k result rows for every query stay under the broadcast bound."""
     most = MAX_BROADCAST_ROWS // max(1, k)
