@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from rankweave.functions.text import analyzer
 from rankweave.operators.sparse import Bm25Index, term_bucket, term_counts
-from rankweave.runtime import broadcast_if_small, folders, path_exists
+from rankweave.runtime import broadcast_ids, folders, path_exists
 from rankweave.spec import Bm25Params, CollectionSpec
 
 MAX_DELTAS = 4
@@ -105,18 +105,25 @@ def _killed(docs: DataFrame, tombstones: DataFrame) -> DataFrame:
 
 def _live(rows: DataFrame, killed: DataFrame) -> DataFrame:
     """Rows whose document is not killed; the killed list is broadcast when it passes the size check."""
-    return rows.join(broadcast_if_small(killed), ["id", "seq"], "left_anti")
+    return rows.join(broadcast_ids(killed, "id"), ["id", "seq"], "left_anti")
 
 
-def _write_segment(
-    spark: SparkSession, path: str, seq: int, postings: DataFrame, docs: DataFrame,
-    tombstones: DataFrame, df: DataFrame, totals: DataFrame, buckets: int,
-) -> Segment:
+def _write_rows(
+    spark: SparkSession, path: str, seq: int, postings: DataFrame, docs: DataFrame, tombstones: DataFrame, id_type: str
+) -> tuple[str, dict[str, DataFrame]]:
+    """Write the rows of a new segment; its name and the rows as written, to count from."""
     name = f"seg-{seq:06d}-{uuid.uuid4().hex[:8]}"
-    root = f"{path}/segments/{name}"
+    root, schemas = f"{path}/segments/{name}", _schemas(id_type)
     postings.select("term", "id", "tf", "dl", "term_bucket").sortWithinPartitions("term_bucket", "term").write.parquet(f"{root}/postings")
     docs.select("id", "dl").write.parquet(f"{root}/docs")
     tombstones.select("id").write.parquet(f"{root}/tombstones")
+    parts = ("postings", "docs", "tombstones")
+    return name, {part: spark.read.schema(schemas[part]).parquet(f"{root}/{part}") for part in parts}
+
+
+def _write_changes(spark: SparkSession, path: str, seq: int, name: str, df: DataFrame, totals: DataFrame) -> Segment:
+    """Write a segment's changes of the statistics, beside its rows."""
+    root = f"{path}/segments/{name}"
     df.groupBy("term", "term_bucket").agg(F.sum("df").alias("df")).select("term", "df", "term_bucket").write.parquet(f"{root}/df")
     totals.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"), F.coalesce(F.sum("dl_sum"), F.lit(0)).alias("dl_sum")).coalesce(1).write.parquet(f"{root}/totals")
     counted = spark.read.schema("n_docs long, dl_sum long").parquet(f"{root}/totals").first()
@@ -140,34 +147,33 @@ def create_segmented_bm25(
     name = params.text_config if isinstance(params.text_config, str) else None
     spark.createDataFrame([(name, params.k1, params.b, buckets, id_type)], _OPTIONS).coalesce(1).write.parquet(f"{path}/options")
     postings, lengths = _added(docs, spec, params, buckets)
-    segment = _changes(spark, path, 0, postings, lengths, lengths.select("id").limit(0), [], id_type, buckets)
+    segment = _changes(spark, path, 0, postings, lengths, lengths.select("id").limit(0), [], id_type)
     _publish(spark, path, 0, [segment])
     return load_segmented_bm25(spark, path)
 
 
-def _changes(spark, path, seq, postings, lengths, gone, live_segments, id_type, buckets) -> Segment:
-    """Write one segment: its rows, its tombstones and the additive changes they make."""
-    postings = postings.persist()
-    lengths = lengths.persist()
-    try:
-        old_docs = _all(spark, path, live_segments, "docs", id_type)
-        # Removed and replaced ids; only those that an older segment holds need a tombstone.
-        asked = gone.select("id").unionByName(lengths.select("id")).where(F.col("id").isNotNull())
-        tombstones = asked.join(old_docs.select("id"), "id", "left_semi").distinct()
+def _changes(spark, path, seq, postings, lengths, gone, live_segments, id_type) -> Segment:
+    """Write one segment: its rows, its tombstones and the additive changes they make.
+
+    The changes are counted from the rows just written: nothing is held in memory meanwhile.
+    """
+    old_docs = _all(spark, path, live_segments, "docs", id_type)
+    # Removed and replaced ids; only those that an older segment holds need a tombstone.
+    asked = gone.select("id").unionByName(lengths.select("id")).where(F.col("id").isNotNull())
+    tombstones = asked.join(old_docs.select("id"), "id", "left_semi").distinct()
+    name, rows = _write_rows(spark, path, seq, postings, lengths, tombstones, id_type)
+    df = rows["postings"].groupBy("term", "term_bucket").agg(F.count("*").alias("df"))
+    totals = rows["docs"].agg(F.count("*").alias("n_docs"), F.sum("dl").cast("long").alias("dl_sum"))
+    if live_segments:
         dead = _killed(old_docs, _all(spark, path, live_segments, "tombstones", id_type))
-        killed_docs = _live(old_docs.join(tombstones, "id", "left_semi"), dead)
+        killed_docs = _live(old_docs.join(rows["tombstones"], "id", "left_semi"), dead)
         old_postings = _all(spark, path, live_segments, "postings", id_type)
-        killed = old_postings.join(killed_docs.select("id", "seq"), ["id", "seq"], "left_semi")
-        df = postings.groupBy("term", "term_bucket").agg(F.count("*").alias("df")).unionByName(
-            killed.groupBy("term", "term_bucket").agg((-F.count("*")).alias("df"))
-        )
-        totals = lengths.agg(F.count("*").alias("n_docs"), F.sum("dl").cast("long").alias("dl_sum")).unionByName(
+        killed = old_postings.join(broadcast_ids(killed_docs.select("id", "seq"), "id"), ["id", "seq"], "left_semi")
+        df = df.unionByName(killed.groupBy("term", "term_bucket").agg((-F.count("*")).alias("df")))
+        totals = totals.unionByName(
             killed_docs.agg((-F.count("*")).alias("n_docs"), (-F.sum("dl")).cast("long").alias("dl_sum"))
         )
-        return _write_segment(spark, path, seq, postings, lengths, tombstones, df, totals, buckets)
-    finally:
-        postings.unpersist()
-        lengths.unpersist()
+    return _write_changes(spark, path, seq, name, df, totals)
 
 
 def refresh_segmented_bm25(
@@ -186,7 +192,7 @@ def refresh_segmented_bm25(
     postings, lengths = _added(added, spec, params, options.buckets)
     gone = removed.select(F.col(spec.id).alias("id"))
     seq = max(s.seq for s in live) + 1 if live else 0
-    segment = _changes(spark, path, seq, postings, lengths, gone, live, options.id_type, options.buckets)
+    segment = _changes(spark, path, seq, postings, lengths, gone, live, options.id_type)
     live = [*live, segment]
     _publish(spark, path, version + 1, live)
     if merge:
@@ -234,7 +240,8 @@ def _merged(spark: SparkSession, path: str, live: list[Segment], chosen: list[Se
     df = _all(spark, path, chosen, "df", id_type).select("term", "df", "term_bucket")
     totals = _all(spark, path, chosen, "totals", id_type).select("n_docs", "dl_sum")
     seq = chosen[-1].seq
-    return _write_segment(spark, path, seq, postings, docs, kept_stones.select("id").distinct(), df, totals, options.buckets)
+    name, _ = _write_rows(spark, path, seq, postings, docs, kept_stones.select("id").distinct(), id_type)
+    return _write_changes(spark, path, seq, name, df, totals)
 
 
 def load_segmented_bm25(spark: SparkSession, path: str) -> Bm25Index:
