@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from rankweave.runtime import scratch_path
 
 # Bytes of text hashed at a time; bounds the arrays of a task.
-WINDOW_BYTES = 1 << 21
+WINDOW_BYTES = 1 << 19
+# Bytes of text of a batch that a task turns into Python texts at a time.
+SLICE_BYTES = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -203,6 +205,17 @@ def chunk_home(chunk: int, homes: int) -> int:
     return ((chunk >> 24) * 7919 + (chunk & 0xFFFFFF)) % homes
 
 
+def text_slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows of about ``most`` bytes of one text column; a long text is one run."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def text_chunks(texts: Iterable[str | None], most: int = WINDOW_BYTES) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs of about ``most`` characters."""
     start = size = i = 0

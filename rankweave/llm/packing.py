@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import range_bounds, running_before, stored, text_or_empty
+from .common import range_bounds, running_before, stored, text_or_empty, text_slices
 from .tokens import encoder
 
 LENGTH = 4096
@@ -141,15 +141,17 @@ def measured(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = encoder(tokenizer)
         for batch in batches:
-            tokens, sums = [], []
-            for raw in held.encode(batch.column(1).to_pylist()):
-                ids = held.ids(raw)
-                tokens.append(len(ids))
-                sums.append([zlib.crc32(ids[a:a + length].tobytes()) for a in range(0, len(ids), length)])
-            yield pa.record_batch({
-                "doc_id": batch.column(0), "tokens": pa.array(tokens, pa.int64()),
-                "sums": pa.array(sums, pa.list_(pa.int64())),
-            })
+            for part in text_slices(batch, 1):
+                tokens, sums = [], []
+                for raw in held.encode(part.column(1).to_pylist()):
+                    ids = held.ids(raw)
+                    tokens.append(len(ids))
+                    sums.append([zlib.crc32(ids[a:a + length].tobytes()) for a in range(0, len(ids), length)])
+                yield pa.record_batch({
+                    "doc_id": part.column(0), "tokens": pa.array(tokens, pa.int64()),
+                    "sums": pa.array(sums, pa.list_(pa.int64())),
+                })
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     return stored(rows.mapInArrow(measure, "doc_id long, tokens long, sums array<long>"), "token-counts")

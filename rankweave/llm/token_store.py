@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rankweave.runtime import scratch_path
 
-from .common import range_bounds, range_numbers, stored, text_or_empty
+from .common import range_bounds, range_numbers, stored, text_or_empty, text_slices
 from .files import open_file, write_file
 from .tokens import END, encoder
 
@@ -61,8 +61,9 @@ def token_table(docs: DataFrame, tokenizer: str, name: str = "ids") -> DataFrame
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = encoder(tokenizer)
         for batch in batches:
-            raw = held.encode(batch.column(1).to_pylist())
-            yield pa.record_batch({"doc_id": batch.column(0), "ids": pa.array(raw, pa.binary())})
+            for part in text_slices(batch, 1):
+                raw = held.encode(part.column(1).to_pylist())
+                yield pa.record_batch({"doc_id": part.column(0), "ids": pa.array(raw, pa.binary())})
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     return stored(rows.mapInArrow(encode, "doc_id long, ids binary"), name)

@@ -15,11 +15,14 @@ import pyarrow.compute as pc
 from .common import text_chunks, worker_store
 
 END = 2
-# Words kept in each of the two halves of a worker's cache. It bounds memory, not results.
+# Words that a worker's cache goes back to when it holds twice as many, and code
+# points of the longest one kept. They bound memory, not results.
 CACHED_WORDS = 400_000
-# Characters of new words encoded in one call, and of texts in one batch.
+CACHED_LENGTH = 64
+# Characters of new words encoded in one call, of texts in one batch, and of texts cut into words at a time.
 _CALL_CHARS = 1 << 16
-_BATCH_CHARS = 1 << 23
+_BATCH_CHARS = 1 << 22
+_CUT_CHARS = 1 << 19
 # Stands before the first word of a byte-level text, which has no space before it.
 _FIRST = "\x02"
 _MARK = "\x01"
@@ -45,7 +48,10 @@ class Encoder:
         self.opens[[i for t, i in vocabulary.items() if t[:1] in "ĠĊ"]] = True
         self.mark = self.whole(_MARK) if self.spaced else b""
         self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # The cache: words, their ids (null: cannot stand alone), and the batch that last had them.
+        # Arrow arrays take a fraction of the memory of a dict of texts.
+        self.words, self.held = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used, self.batches = np.zeros(0, np.int64), 0
 
     def whole(self, text: str) -> bytes:
         """Ids of a text in one call, without the end id."""
@@ -64,6 +70,8 @@ class Encoder:
         out: list[bytes] = []
         for a, b in text_chunks(texts, _BATCH_CHARS):
             out += self._batch(texts[a:b])
+            # Freed buffers of one batch are not kept beside those of the next.
+            pa.default_memory_pool().release_unused()
         return out
 
     def _batch(self, texts: list[str]) -> list[bytes]:
@@ -71,7 +79,10 @@ class Encoder:
         if self.spaced:
             # Python's white space is that of the tokenizer and four control characters more.
             odd = pc.match_substring_regex(held, "[\x1c-\x1f\x01]")
-            lists = pa.array([t.split() for t in texts], pa.large_list(pa.large_string()))
+            lists = pa.concat_arrays([
+                pa.array([t.split() for t in texts[a:b]], pa.large_list(pa.large_string()))
+                for a, b in text_chunks(texts, _CUT_CHARS)
+            ])
         else:
             odd = pc.match_substring(held, _FIRST)
             lines = pc.replace_substring(held, "\n", " \n")
@@ -80,12 +91,10 @@ class Encoder:
         for sign in [x for x in self.added if any(map(str.isspace, x))]:
             odd = pc.or_(odd, pc.match_substring(held, sign, ignore_case=True))
         coded = pc.dictionary_encode(lists.flatten())
-        words = coded.dictionary.to_pylist()
-        self._learn(words)
-        ids = list(map(self.new.get, words))
-        bad = np.array([x is None for x in ids], bool)
+        ids = self._word_ids(coded.dictionary)
+        bad = ids.is_null().to_numpy(zero_copy_only=False)
         index = coded.indices.to_numpy()
-        flat = pa.array([x or b"" for x in ids], pa.large_binary()).take(coded.indices)
+        flat = ids.take(coded.indices)
         _, offsets, data = flat.buffers()
         at = np.frombuffer(offsets, np.int64)[flat.offset:flat.offset + len(flat) + 1]
         bounds = lists.offsets.to_numpy()
@@ -101,17 +110,34 @@ class Encoder:
             for t, s, a, b in zip(texts, skip.tolist(), cuts[:-1].tolist(), cuts[1:].tolist())
         ]
 
-    def _learn(self, words: list[str]) -> None:
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words, null for a word that cannot stand alone; what is not in the cache is encoded."""
+        self.batches += 1
+        at = pc.index_in(words, value_set=self.words)
+        fresh = at.is_null().to_numpy(zero_copy_only=False)
+        place = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.used[place[~fresh]] = self.batches
+        missing = words.filter(pa.array(fresh))
+        texts = missing.to_pylist()
+        self._learn(texts)
+        made = pa.array([self.new.get(w) for w in texts], pa.large_binary())
+        self.new = {}
+        place[fresh] = len(self.words) + np.arange(len(missing))
+        out = pa.concat_arrays([self.held, made]).take(pa.array(place))
+        short = pc.less_equal(pc.utf8_length(missing), CACHED_LENGTH)
+        self.words = pa.concat_arrays([self.words, missing.filter(short)])
+        self.held = pa.concat_arrays([self.held, made.filter(short)])
+        self.used = np.append(self.used, np.full(len(self.words) - len(self.used), self.batches))
+        if len(self.words) > 2 * CACHED_WORDS:
+            last = pa.array(np.sort(np.argsort(-self.used, kind="stable")[:CACHED_WORDS]))
+            self.words, self.held, self.used = self.words.take(last), self.held.take(last), self.used[last.to_numpy()]
+        return out
+
+    def _learn(self, missing: list[str]) -> None:
         """Have the ids of all these words in ``new``, but of words that cannot stand alone."""
-        if len(self.new) + len(words) > 2 * CACHED_WORDS:
-            self.old, self.new = self.new, {}
-        missing = []
-        for w in words:
-            if w not in self.new:
-                if (found := self.old.get(w)) is not None:
-                    self.new[w] = found
-                elif not any(sign in w.lower() for sign in self.added):
-                    missing.append(w)
+        low = "\n".join(missing).lower()
+        if any(sign in low for sign in self.added):
+            missing = [w for w in missing if not any(sign in w.lower() for sign in self.added)]
         if self.spaced:
             self._in_calls([w for w in missing if _MARK not in w], self._learn_spaced)
             return
