@@ -39,12 +39,16 @@ FORM_RATIO = 5
 # Letters that can stand in a word after lower-casing: a-z and U+00C0 to U+00FF.
 ALPHABET = LOWER + "".join(chr(c) for c in range(0xC0, 0x100))
 _INDEX = {c: i for i, c in enumerate(ALPHABET)}
+_NUMBERS = np.zeros(256, np.uint8)
+_NUMBERS[[ord(c) for c in ALPHABET]] = np.arange(1, len(ALPHABET) + 1)
 
 # Words of one length that one cell (one task of the range search) holds, about.
 CELL_WORDS = 20_000
 LEAF = 8
-# Queries that go down a cell's tree together.
-QUERY_CHUNK = 32
+# Queries that go down a cell's tree together, and rows of a step of the search.
+QUERY_CHUNK = 1024
+_FRONT = 1 << 17
+_CODED_ROWS = 1 << 13
 
 RESULT = "word string, form string, root string, n long, n_near long, form_n long"
 
@@ -194,75 +198,129 @@ def one_edit(a: str, b: str) -> bool:
     return a[i:] == b[i + 1 :]
 
 
+def _unary(points: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Counts in unary code, 64 bits to a word: the L1 distance of two rows is the number of bits that differ.
+
+    ``levels`` has the largest count of each column; larger ones are cut to it.
+    """
+    columns = np.repeat(np.arange(len(levels)), levels)
+    steps = np.arange(len(columns)) - np.repeat(np.cumsum(levels) - levels, levels)
+    out = np.zeros((len(points), max(1, -(-len(columns) // 64)) * 64), bool)
+    for first in range(0, len(points), _CODED_ROWS):
+        out[first : first + _CODED_ROWS, : len(columns)] = points[first : first + _CODED_ROWS][:, columns] > steps
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
+def _bits(words: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(words).sum(axis=1, dtype=np.int32)
+
+
 class CountTree:
-    """k-d tree over letter-count vectors with tight boxes, searched in batches."""
+    """k-d tree over letter-count vectors with tight boxes, searched in batches.
+
+    Counts are in unary code, so a split (a letter, a threshold) is one bit, and
+    the box of a node is the AND (least counts) and the OR (largest ones) of its
+    points. Each node is split at the bit that halves it best.
+    """
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points = points
+        self.levels = points.max(axis=0).astype(np.int64) if len(points) else np.zeros(points.shape[1], np.int64)
+        self.points = _unary(points, self.levels)
         self.order = np.arange(len(points))
         self.lo, self.hi, self.kids, self.spans = [], [], [], []
-        self._build(0, len(points), leaf)
+        flags = np.unpackbits(self.points.view(np.uint8), axis=1).view(bool)
+        todo = [(0, len(points), -1, 0)]
+        while todo:
+            start, end, parent, side = todo.pop()
+            node, own = len(self.lo), self.order[start:end]
+            if parent >= 0:
+                self.kids[parent][side] = node
+            part = self.points[own]
+            self.lo.append(np.bitwise_and.reduce(part, axis=0))
+            self.hi.append(np.bitwise_or.reduce(part, axis=0))
+            self.kids.append([-1, -1])
+            self.spans.append((start, end))
+            if end - start <= leaf or (self.lo[node] == self.hi[node]).all():
+                continue
+            ones = flags[own].sum(axis=0, dtype=np.int64)
+            upper = flags[own, int(np.argmin(np.abs(2 * ones - len(own))))]
+            self.order[start:end] = np.concatenate([own[~upper], own[upper]])
+            middle = end - int(upper.sum())
+            todo += [(middle, end, node, 1), (start, middle, node, 0)]
         self.lo, self.hi = np.array(self.lo), np.array(self.hi)
         self.kids, self.spans = np.array(self.kids, np.int64), np.array(self.spans, np.int64)
 
-    def _build(self, start: int, end: int, leaf: int) -> int:
-        node = len(self.lo)
-        part = self.points[self.order[start:end]]
-        self.lo.append(part.min(axis=0))
-        self.hi.append(part.max(axis=0))
-        self.kids.append((-1, -1))
-        self.spans.append((start, end))
-        spread = self.hi[node] - self.lo[node]
-        if end - start <= leaf or spread.max() == 0:
-            return node
-        axis = int(np.argmax(spread))
-        at = np.argsort(part[:, axis], kind="stable")
-        self.order[start:end] = self.order[start:end][at]
-        middle = start + (end - start) // 2
-        left = self._build(start, middle, leaf)
-        right = self._build(middle, end, leaf)
-        self.kids[node] = (left, right)
-        return node
-
     def within(self, queries: np.ndarray, radius: int, chunk: int = QUERY_CHUNK) -> tuple[np.ndarray, np.ndarray]:
         """All (query, point) index pairs with L1 distance at most ``radius``."""
-        found = list(self.chunks(queries, radius, chunk))
+        found = list(self.chunks(queries, radius, chunk=chunk))
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate([q for q, _ in found]), np.concatenate([p for _, p in found])
 
-    def chunks(self, queries: np.ndarray, radius: int, chunk: int = QUERY_CHUNK):
-        """The same pairs, ``chunk`` queries at a time, so that a caller can thin them as they come."""
+    def chunks(self, queries: np.ndarray, radius: int, more: int | None = None, less: int | None = None, chunk: int = QUERY_CHUNK):
+        """The same pairs, piece by piece, so that a caller can thin them as they come.
+
+        ``more`` and ``less`` bound by how much the counts of a point may lie
+        above and below the query's, each summed over the letters.
+        """
+        most = [radius if x is None else min(x, radius) for x in (more, less)]
         for first in range(0, len(queries), chunk):
-            qs, ps = self._within(queries[first : first + chunk], radius)
-            yield qs + first, ps
+            part = queries[first : first + chunk]
+            # Counts over the largest of all points are below the query's in every point.
+            over = np.maximum(part.astype(np.int64) - self.levels, 0).sum(axis=1)
+            for qs, ps in self._within(_unary(part, self.levels), over, radius, *most):
+                yield qs + first, ps
 
-    def _within(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    def _within(self, queries: np.ndarray, over: np.ndarray, radius: int, more: int, less: int):
         q_at = np.arange(len(queries))
         nodes = np.zeros(len(queries), np.int64)
-        found_q, found_p = [], []
-        while len(q_at):
+        stack = [(q_at, nodes)]
+        while stack:
+            q_at, nodes = stack.pop()
+            if len(q_at) > _FRONT:
+                half = len(q_at) // 2
+                stack += [(q_at[half:], nodes[half:]), (q_at[:half], nodes[:half])]
+                continue
             q = queries[q_at]
-            away = (np.maximum(self.lo[nodes] - q, 0) + np.maximum(q - self.hi[nodes], 0)).sum(axis=1, dtype=np.int16)
-            near = away <= radius
+            above, below = _bits(self.lo[nodes] & ~q), _bits(q & ~self.hi[nodes]) + over[q_at]
+            near = (above <= more) & (below <= less) & (above + below <= radius)
             q_at, nodes = q_at[near], nodes[near]
             leaf = self.kids[nodes, 0] < 0
             if leaf.any():
                 # Every point of every leaf reached, with its query, checked at once.
-                starts, ends = self.spans[nodes[leaf], 0], self.spans[nodes[leaf], 1]
-                sizes = ends - starts
-                shift = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-                points = self.order[shift + np.arange(int(sizes.sum()))]
-                owners = np.repeat(q_at[leaf], sizes)
-                close = np.abs(self.points[points] - queries[owners]).sum(axis=1, dtype=np.int16) <= radius
-                found_q.append(owners[close])
-                found_p.append(points[close])
+                yield from self._in_leaves(queries, over, q_at[leaf], self.spans[nodes[leaf]], radius)
             inner = ~leaf
-            q_at = np.repeat(q_at[inner], 2)
-            nodes = self.kids[nodes[inner]].reshape(-1)
-        if not found_q:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(found_q), np.concatenate(found_p)
+            if inner.any():
+                stack.append((np.repeat(q_at[inner], 2), self.kids[nodes[inner]].reshape(-1)))
+
+    def _in_leaves(self, queries: np.ndarray, over: np.ndarray, q_at: np.ndarray, spans: np.ndarray, radius: int):
+        ends = np.cumsum(spans[:, 1] - spans[:, 0])
+        first = 0
+        while first < len(q_at):
+            # Leaves of equal points may be large; so many pairs at a time, and a leaf at least.
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + _FRONT, side="right")))
+            starts, sizes = spans[first:last, 0], spans[first:last, 1] - spans[first:last, 0]
+            shift = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+            points = self.order[shift + np.arange(int(sizes.sum()))]
+            owners = np.repeat(q_at[first:last], sizes)
+            close = _bits(self.points[points] ^ queries[owners]) + over[owners] <= radius
+            yield owners[close], points[close]
+            first = last
+
+
+def _half_counts(codes: np.ndarray, cut: int) -> np.ndarray:
+    """Letter counts of the first ``cut`` code points of each word, beside those of the rest."""
+    letters = len(ALPHABET) + 1
+    out = np.zeros((len(codes), 2 * letters), np.uint8)
+    rows = np.arange(len(codes))
+    for place in range(codes.shape[1]):
+        column = codes[:, place].astype(np.int64) + (letters if place >= cut else 0)
+        held = out[rows, column]
+        # Cut at 127: that never makes two counts further apart, so no pair is lost.
+        out[rows, column] = np.minimum(held + 1, 127)
+    # Code 0 is the padding after a word.
+    return np.delete(out, [0, letters], axis=1)
 
 
 def _search_cell(length: int, targets: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -271,31 +329,35 @@ def _search_cell(length: int, targets: pd.DataFrame, queries: pd.DataFrame) -> p
         return _pairs([])
     t_words, q_words = targets["word"].tolist(), queries["word"].tolist()
     t_n, q_n = targets["n"].to_numpy(), queries["n"].to_numpy()
-    t_vectors = np.stack([letter_counts(w) for w in t_words])
-    q_vectors = np.stack([letter_counts(w) for w in q_words])
-    # Letters that no word of the cell or its askers has add nothing to a distance.
-    used = np.flatnonzero(t_vectors.any(axis=0) | q_vectors.any(axis=0))
-    # Counts clipped to 127 fit a byte; clipping never makes two counts further apart, so no pair is lost.
-    t_vectors = np.minimum(t_vectors[:, used], 127).astype(np.int8)
-    q_vectors = np.minimum(q_vectors[:, used], 127).astype(np.int8)
-    tree = CountTree(t_vectors)
     t_codes, q_codes = _codes(t_words, length), _codes(q_words, length)
+    # One edit is in one half of a word, so the counts of both halves differ by no more than those of the whole.
+    cut = length // 2
+    t_vectors = _half_counts(t_codes, cut)
+    used = np.flatnonzero(t_vectors.any(axis=0))
+    unused = np.setdiff1d(np.arange(t_vectors.shape[1]), used)
+    tree = CountTree(np.column_stack([t_vectors[:, used], np.zeros(len(t_words), np.uint8)]))
     lengths = np.array([len(w) for w in q_words])
     parts = []
     for same in (True, False):
-        chosen = np.flatnonzero((lengths == length) == same)
-        if not len(chosen):
-            continue
+        asking = np.flatnonzero((lengths == length) == same)
         kept_q, kept_p = [], []
-        for qs, ps in tree.chunks(q_vectors[chosen], 2 if same else 1):
-            qs = chosen[qs]
-            # Letter order, checked for all pairs of a chunk at once; only near pairs are held.
-            good = _one_edit_codes(q_codes[qs], t_codes[ps], same)
-            kept_q.append(qs[good])
-            kept_p.append(ps[good])
+        # A letter inserted before the cut moves the cut of the shorter word by one.
+        for at in (cut,) if same else (cut, cut - 1):
+            vectors = _half_counts(q_codes[asking], at)
+            # Letters that no word of the cell has are all below the query's counts.
+            beyond = vectors[:, unused].sum(axis=1, dtype=np.int64)
+            left = np.flatnonzero(beyond <= (1 if same else 0))
+            chosen, vectors = asking[left], np.column_stack([vectors[left][:, used], beyond[left].astype(np.uint8)])
+            for qs, ps in tree.chunks(vectors, 2 if same else 1, 1, 1 if same else 0):
+                qs = chosen[qs]
+                # Letter order, checked for all pairs of a chunk at once; only near pairs are held.
+                good = _one_edit_codes(q_codes[qs], t_codes[ps], same)
+                kept_q.append(qs[good])
+                kept_p.append(ps[good])
         if not kept_q:
             continue
-        qs, ps = np.concatenate(kept_q), np.concatenate(kept_p)
+        pairs = np.unique(np.concatenate(kept_q) * len(t_words) + np.concatenate(kept_p))
+        qs, ps = pairs // len(t_words), pairs % len(t_words)
         parts.append(pd.DataFrame({"word": np.array(q_words, object)[qs], "other": np.array(t_words, object)[ps], "other_n": t_n[ps]}))
         if not same:
             parts.append(pd.DataFrame({"word": np.array(t_words, object)[ps], "other": np.array(q_words, object)[qs], "other_n": q_n[qs]}))
@@ -305,11 +367,9 @@ def _search_cell(length: int, targets: pd.DataFrame, queries: pd.DataFrame) -> p
 
 
 def _codes(words: list[str], width: int) -> np.ndarray:
-    """Code points of each word, padded with zeros to ``width``."""
-    out = np.zeros((len(words), width), np.int32)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = [ord(c) for c in w[:width]]
-    return out
+    """Each word's letters by their numbers in the alphabet, from 1, padded with zeros to ``width``."""
+    points = np.array([w[:width] for w in words], f"<U{width}").view("<u4").reshape(len(words), width)
+    return _NUMBERS[points]
 
 
 def _one_edit_codes(a: np.ndarray, b: np.ndarray, same: bool) -> np.ndarray:

@@ -1,12 +1,16 @@
 """Work and memory of steps inside a task."""
 
+import itertools
 import random
 import tracemalloc
 
+import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from rankweave.llm import spelling_variants as sv
 from rankweave.llm import tokens
 from rankweave.llm.common import text_slices
 
@@ -41,3 +45,30 @@ def test_text_slices_keep_every_row_in_bounded_runs():
     parts = list(text_slices(batch, 1, 30))
     assert [x for p in parts for x in p.column(1).to_pylist()] == texts[1:]
     assert [p.column(0).to_pylist() for p in parts] == [[1, 2], [3], [4, 5], [6]]
+
+
+def test_words_of_equal_letters_are_told_apart_by_their_halves(monkeypatch):
+    """Anagrams have equal counts over the whole word; most never reach the check of letter order."""
+    words = ["".join(p) for p in itertools.islice(itertools.permutations("abcdefgh"), 0, 40_320, 100)]
+    words += [w[:3] + "z" + w[4:] for w in words[:50]]
+    frame = pd.DataFrame({"word": words, "n": range(5, 5 + len(words))})
+    checked, real = [], sv._one_edit_codes
+    monkeypatch.setattr(sv, "_one_edit_codes", lambda a, b, same: (checked.append(len(a)), real(a, b, same))[1])
+    got = sv._search_cell(8, frame, frame)
+    want = {(a, b) for a in words for b in words if sv.one_edit(a, b)}
+    assert set(zip(got["word"], got["other"])) == want and len(got) == len(want)
+    assert sum(checked) < len(words) ** 2 / 10
+
+
+def test_insertions_are_found_on_both_sides_of_the_cut():
+    target = "abcdefghi"
+    shorter = sorted({target[:i] + target[i + 1:] for i in range(len(target))})
+    got = sv._search_cell(9, pd.DataFrame({"word": [target], "n": [7]}), pd.DataFrame({"word": shorter, "n": [9] * len(shorter)}))
+    want = sorted([(s, target, 7) for s in shorter] + [(target, s, 9) for s in shorter])
+    assert sorted(map(tuple, got.itertuples(index=False))) == want
+
+
+def test_tree_counts_over_the_largest_of_all_points():
+    tree = sv.CountTree(np.array([[1, 0], [0, 2]], np.int16))
+    qs, ps = tree.within(np.array([[3, 0], [0, 4], [0, 9]], np.int16), 2)
+    assert set(zip(qs.tolist(), ps.tolist())) == {(0, 0), (1, 1)}
