@@ -25,10 +25,19 @@ from pyspark.sql import functions as F
 
 from rankweave.runtime import is_small
 
-from .common import chunk_home, mixed, release_encoders, shingle_hashes, stored, text_chunks, text_or_empty
+from .common import (
+    WINDOW_BYTES,
+    chunk_home,
+    mixed,
+    release_encoders,
+    shingle_hashes,
+    stored,
+    text_or_empty,
+    text_slices,
+)
 
 WORDS = 5
-# Characters of text, and documents, whose shingles travel together.
+# Bytes of text, and documents, whose shingles travel together.
 CHUNK_CHARS = 1 << 24
 CHUNK_DOCS = 1 << 16
 # A shingle of so many documents of one chunk does not meet those of others in one place.
@@ -70,21 +79,24 @@ def _row(**held) -> dict:
     return {c: held.get(c) for c in _COLUMNS}
 
 
-def _chunk(texts: list[str], ids: list, chunk: int, bits: int, words: int) -> Iterator[dict]:
+def _chunk(texts: pa.Array, ids: list, chunk: int, bits: int, words: int) -> Iterator[dict]:
     """Shingles of a chunk by fragment, and the chunk's documents."""
     sets, keys = [], []
-    for a, b in text_chunks(texts):
-        hashes, first = shingle_hashes([t.encode("utf-8", "surrogatepass") for t in texts[a:b]], words)
+    for part in text_slices(pa.record_batch([texts], ["text"]), 0, WINDOW_BYTES):
+        hashes, first = shingle_hashes(part.column(0).cast(pa.binary()).to_pylist(), words)
         for x, y in zip(first[:-1], first[1:]):
             own = np.unique(hashes[x:y])
             sets.append(own)
             two = np.array([mixed(own).sum(dtype=np.uint64), mixed(own * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)])
             keys.append(two)
     sizes = np.array([len(s) for s in sets], "<i8")
-    docs = np.repeat(np.arange(len(sets), dtype="<u2"), sizes)
-    values = np.concatenate(sets) >> np.uint64(64 - bits - KEPT_BITS) if len(sets) else np.zeros(0, np.uint64)
+    docs = np.repeat(np.arange(len(sizes), dtype="<u2"), sizes)
+    values = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
+    del sets
+    values >>= np.uint64(64 - bits - KEPT_BITS)
     order = np.argsort(values, kind="stable")
     values, docs = values[order], docs[order]
+    del order
     starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, int)
     counts = np.diff(np.append(starts, len(values)))
     hot = np.repeat(counts >= HOT, counts)
@@ -208,12 +220,13 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
         release_encoders()
         chunk = TaskContext.get().partitionId() << 24
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in text_chunks(texts, CHUNK_CHARS):
-                for c in range(a, b, CHUNK_DOCS):
-                    d = min(b, c + CHUNK_DOCS)
-                    yield from _batches(_chunk(texts[c:d], ids[c:d], chunk, bits, words), shape)
+            for part in text_slices(batch, 1, CHUNK_CHARS):
+                for a in range(0, part.num_rows, CHUNK_DOCS):
+                    held = part.slice(a, CHUNK_DOCS)
+                    made = _chunk(held.column(1), held.column(0).to_pylist(), chunk, bits, words)
+                    yield from _batches(made, shape, 1 << 22)
                     chunk += 1
+        pa.default_memory_pool().release_unused()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[dict]:
