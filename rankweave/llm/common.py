@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
@@ -40,11 +41,23 @@ def worker_store() -> dict:
     return sys.modules.setdefault("_rankweave_llm_store", types.ModuleType("_rankweave_llm_store")).__dict__
 
 
+def give_back() -> None:
+    """Return freed memory to the machine; an idle worker keeps its heap otherwise."""
+    pa.default_memory_pool().release_unused()
+    store = worker_store()
+    if "trim" not in store:
+        try:
+            store["trim"] = ctypes.CDLL(None).malloc_trim
+        except (OSError, AttributeError, TypeError):  # only glibc has it
+            store["trim"] = lambda pad: 0
+    store["trim"](0)
+
+
 def release_encoders() -> None:
     """Give back the word cache that a tokenising task left in this worker."""
     if worker_store().pop("encoders", None) is not None:
         gc.collect()
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -33,15 +33,19 @@ def _knapsack(sizes: np.ndarray, prices: np.ndarray, room: int) -> tuple[float,
     """The most valuable pattern: how many items of each size, by dynamic programming over the room."""
     value = np.zeros(room + 1)
     taken = np.full(room + 1, -1)
+    # A price per size of the room, none where there is no item: those that fit meet the values of the room they leave.
+    place = np.full(room + 1, -1)
+    place[sizes] = np.arange(len(sizes))
+    price = np.full(room + 1, -np.inf)
+    price[sizes] = prices
+    worth = np.empty(room + 1)
     for w in range(1, room + 1):
-        fit = int(np.searchsorted(sizes, w, side="right"))
-        if fit:
-            worth = value[w - sizes[:fit]] + prices[:fit]
-            best = int(np.argmax(worth))
-            if worth[best] > value[w - 1] + 1e-12:
-                value[w], taken[w] = worth[best], best
-                continue
-        value[w] = value[w - 1]
+        held = np.add(value[w - 1::-1], price[1:w + 1], worth[:w])
+        best = held.argmax()
+        if held[best] > value[w - 1] + 1e-12:
+            value[w], taken[w] = held[best], place[best + 1]
+        else:
+            value[w] = value[w - 1]
     pattern, w = np.zeros(len(sizes)), room
     while w > 0:
         if taken[w] < 0:
@@ -151,7 +155,7 @@ def measured(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame
                     "doc_id": part.column(0), "tokens": pa.array(tokens, pa.int64()),
                     "sums": pa.array(sums, pa.list_(pa.int64())),
                 })
-        pa.default_memory_pool().release_unused()
+        held.rest()
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     return stored(rows.mapInArrow(measure, "doc_id long, tokens long, sums array<long>"), "token-counts")

@@ -64,6 +64,7 @@ def token_table(docs: DataFrame, tokenizer: str, name: str = "ids") -> DataFrame
             for part in text_slices(batch, 1):
                 raw = held.encode(part.column(1).to_pylist())
                 yield pa.record_batch({"doc_id": part.column(0), "ids": pa.array(raw, pa.binary())})
+        held.rest()
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     return stored(rows.mapInArrow(encode, "doc_id long, ids binary"), name)

@@ -2,23 +2,29 @@
 
 A text is cut where the tokenizer cuts it anyway (at its spaces), so the ids of
 a word do not depend on its neighbours: the distinct words of a batch are
-looked up or encoded once. Texts for which that is not certain are encoded
-whole.
+looked up or encoded once. Where the file's pattern also cuts between letters
+and the punctuation after them, only the letters are looked up as a word, so
+that "word", "word," and "word!" are learned once. Texts for which that is not
+certain are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import text_chunks, worker_store
+from .common import give_back, text_chunks, worker_store
 
 END = 2
 # Words that a worker's cache goes back to when it holds twice as many, and code
 # points of the longest one kept. They bound memory, not results.
 CACHED_WORDS = 400_000
 CACHED_LENGTH = 64
+CACHED_TAILS = 20_000
 # Characters of new words encoded in one call, of texts in one batch, and of texts cut into words at a time.
 _CALL_CHARS = 1 << 16
 _BATCH_CHARS = 1 << 22
@@ -26,6 +32,20 @@ _CUT_CHARS = 1 << 19
 # Stands before the first word of a byte-level text, which has no space before it.
 _FIRST = "\x02"
 _MARK = "\x01"
+# The two pre-tokenizers known to cut between a run of letters and the signs after it.
+_LETTERS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPACED_CUTS = {
+    "type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _LETTERS_PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_SPACED_FORMS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_BYTE_LEVEL_CUTS = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+# Bytes that a byte-level vocabulary writes as letters from U+0100 on, in their order.
+_BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate([*range(33), *range(127, 161), 173])}
+# Signs that may follow the letters; no apostrophe, which the patterns take together with letters.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
@@ -47,6 +67,8 @@ class Encoder:
         self.opens = np.zeros(self.size, bool)
         self.opens[[i for t, i in vocabulary.items() if t[:1] in "ĠĊ"]] = True
         self.mark = self.whole(_MARK) if self.spaced else b""
+        self.tailed = self._cuts_tails()
+        self.tails: dict[str, bytes] = {}
         self.new: dict[str, bytes] = {}
         # The cache: words, their ids (null: cannot stand alone), and the batch that last had them.
         # Arrow arrays take a fraction of the memory of a dict of texts.
@@ -58,6 +80,18 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
+    def _cuts_tails(self) -> bool:
+        """The file is known to give letters the same ids with and without signs after them."""
+        rules = json.loads(self.tokenizer.to_str())
+        # A sign before a letter: then no added token stands inside letters and the signs after them.
+        if rules["truncation"] or not all(re.search(r"[^\w\s][^\W\d_]", sign) for sign in self.added):
+            return False
+        if rules["model"]["type"] != "BPE" or rules["model"].get("dropout"):
+            return False
+        if self.spaced:
+            return rules["pre_tokenizer"] == _SPACED_CUTS and (rules["normalizer"] or {}).get("normalizers") == _SPACED_FORMS
+        return rules["pre_tokenizer"] == _BYTE_LEVEL_CUTS and rules["normalizer"] is None
+
     def ids(self, raw: bytes) -> np.ndarray:
         """Stored ids with the end id, as 32-bit numbers."""
         got = np.frombuffer(raw, self.dtype)
@@ -111,17 +145,42 @@ class Encoder:
         ]
 
     def _word_ids(self, words: pa.Array) -> pa.Array:
-        """Ids of distinct words, null for a word that cannot stand alone; what is not in the cache is encoded."""
+        """Ids of distinct words, null for a word that cannot stand alone."""
+        if not self.tailed or not len(words):
+            return self._key_ids(words)
+        letters = pc.ascii_rtrim(words, characters=_TAIL)
+        plain = pc.and_(pc.utf8_is_alpha(letters), pa.array(_latin(letters)))
+        cut = pc.less(pc.binary_length(letters), pc.binary_length(words))
+        keys = pc.dictionary_encode(pc.if_else(plain, pc.utf8_lower(letters) if self.spaced else letters, words))
+        got = self._key_ids(keys.dictionary).take(keys.indices)
+        cut = np.flatnonzero(pc.and_(plain, cut).to_numpy(zero_copy_only=False))
+        if not len(cut):
+            return got
+        rows = pa.array(cut)
+        sizes = pc.utf8_length(letters.take(rows)).to_pylist()
+        tails = [self._tail(w[n:]) for w, n in zip(words.take(rows).to_pylist(), sizes)]
+        none = pa.scalar(b"", pa.large_binary())
+        joined = pc.binary_join_element_wise(got.take(rows), pa.array(tails, pa.large_binary()), none)
+        place = np.arange(len(words))
+        place[cut] = len(words) + np.arange(len(cut))
+        return pa.concat_arrays([got, joined]).take(pa.array(place))
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > CACHED_TAILS or len(tail) > CACHED_LENGTH:
+                return self.whole(tail)
+            self.tails[tail] = self.whole(tail)
+        return self.tails[tail]
+
+    def _key_ids(self, words: pa.Array) -> pa.Array:
+        """The same by the cache; what is not in it is encoded."""
         self.batches += 1
         at = pc.index_in(words, value_set=self.words)
         fresh = at.is_null().to_numpy(zero_copy_only=False)
         place = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         self.used[place[~fresh]] = self.batches
         missing = words.filter(pa.array(fresh))
-        texts = missing.to_pylist()
-        self._learn(texts)
-        made = pa.array([self.new.get(w) for w in texts], pa.large_binary())
-        self.new = {}
+        made = self._made(missing)
         place[fresh] = len(self.words) + np.arange(len(missing))
         out = pa.concat_arrays([self.held, made]).take(pa.array(place))
         short = pc.less_equal(pc.utf8_length(missing), CACHED_LENGTH)
@@ -129,10 +188,54 @@ class Encoder:
         self.held = pa.concat_arrays([self.held, made.filter(short)])
         self.used = np.append(self.used, np.full(len(self.words) - len(self.used), self.batches))
         if len(self.words) > 2 * CACHED_WORDS:
-            last = pa.array(np.sort(np.argsort(-self.used, kind="stable")[:CACHED_WORDS]))
-            self.words, self.held, self.used = self.words.take(last), self.held.take(last), self.used[last.to_numpy()]
+            self._shrink()
         return out
 
+    def _shrink(self) -> None:
+        last = pa.array(np.sort(np.argsort(-self.used, kind="stable")[:CACHED_WORDS]))
+        self.words, self.held, self.used = self.words.take(last), self.held.take(last), self.used[last.to_numpy()]
+
+    def rest(self) -> None:
+        """After a task: an idle worker keeps the smaller cache only."""
+        if len(self.words) > CACHED_WORDS:
+            self._shrink()
+        give_back()
+
+    def _made(self, words: pa.Array) -> pa.Array:
+        """Ids of words that are not in the cache: runs of letters by joined calls, the rest one by one in ``new``."""
+        plain = np.zeros(len(words), bool)
+        if self.tailed and len(words):
+            plain = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False) & _latin(words)
+        letters = words.filter(pa.array(plain))
+        parts, start = [], 0
+        ends = np.cumsum(pc.binary_length(letters).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while start < len(letters):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + _CALL_CHARS, side="right")))
+            parts.append(self._letters(letters.slice(start, end - start)))
+            start = end
+        texts = words.filter(pa.array(~plain)).to_pylist()
+        self._learn(texts)
+        parts.append(pa.array([self.new.get(w) for w in texts], pa.large_binary()))
+        self.new = {}
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(words))
+        return pa.concat_arrays(parts).take(pa.array(place))
+
+    def _letters(self, words: pa.Array) -> pa.Array:
+        """Ids of runs of letters: each is one piece, so it goes to the file's model at once, in its byte letters."""
+        tokenize, lead = self.tokenizer.model.tokenize, "" if self.spaced else "\u0120"
+        ids: list[int] = []
+        ends = [0]
+        for word in words.to_pylist():
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids += [token.id for token in tokenize(lead + word)]
+            ends.append(len(ids))
+        offsets = np.array(ends, np.int64) * self.width
+        held = [pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.array(ids, self.dtype).tobytes())]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, *held])
+
     def _learn(self, missing: list[str]) -> None:
         """Have the ids of all these words in ``new``, but of words that cannot stand alone."""
         low = "\n".join(missing).lower()
@@ -179,6 +282,17 @@ class Encoder:
         self.new.update(zip(words, [raw[a:b] for a, b in zip(begins, ends)]))
 
 
+def _latin(words: pa.Array) -> np.ndarray:
+    """Words without a code point over U+00FF, by their bytes."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    if data is None or at[-1] == at[0]:
+        return np.ones(len(words), bool)
+    high = np.flatnonzero(np.frombuffer(data, np.uint8)[at[0]:at[-1]] > 0xC3) + at[0]
+    seen = np.searchsorted(high, at)
+    return seen[1:] == seen[:-1]
+
+
 def _one_piece(word: str) -> bool:
     """A word without white space inside."""
     return (word.isascii() and word.isalnum()) or (word != "" and not any(map(str.isspace, word)))

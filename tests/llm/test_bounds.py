@@ -1,6 +1,7 @@
 """Work and memory of steps inside a task."""
 
 import itertools
+import json
 import random
 import tracemalloc
 
@@ -10,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from rankweave.llm import packing
 from rankweave.llm import spelling_variants as sv
 from rankweave.llm import tokens
 from rankweave.llm.common import text_slices
@@ -39,6 +41,46 @@ def test_ids_do_not_depend_on_the_cache(name, monkeypatch):
             assert held.encode(some) == [held.whole(t) for t in some]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_word_with_signs_after_it_is_learned_once(name):
+    held = tokens.Encoder(public_tokenizers.path(name))
+    words = ["word", "éÀß", "Word", "don't", "a1", "x×y", "Åb", "ŝo", "e\u0301a", "İx", "日本", "ªº", "<|endoftext", "'s", "-"]
+    tails = ["", ",", "!!", "...", "'s", ",'s", "\"", "|>", "--", ",b", "».", "1."]
+    texts = [" ".join(w + t for t in tails) for w in words] + [f"{w}{t}\n{w}{t} {w}  {w}{t}" for w in words for t in tails]
+    for some in (texts, texts[::-1]):
+        assert held.encode(some) == [held.whole(t) for t in some]
+    before = len(held.words)
+    held.encode(["Wordy wordy, wordy! Wordy... wordy?"])
+    # One word for the file that lower-cases; else two, and the first word of the text, which has no space before it.
+    assert len(held.words) - before == (1 if held.spaced else 3)
+
+
+def test_a_file_with_other_cuts_keeps_words_whole(tmp_path):
+    rules = json.loads(open(public_tokenizers.path("byte_bpe_50k.json")).read())
+    rules["pre_tokenizer"]["use_regex"] = False
+    (tmp_path / "other.json").write_text(json.dumps(rules))
+    assert not tokens.Encoder(str(tmp_path / "other.json")).tailed
+    assert tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json")).tailed
+
+
+def test_a_resting_encoder_keeps_the_smaller_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_WORDS", 5)
+    held = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    held.encode(["a b c d e f g h"])
+    assert len(held.words) == 8
+    held.rest()
+    assert len(held.words) == 5 and held.encode(["a h z"]) == [held.whole("a h z")]
+
+
+def test_prices_meet_only_sizes_that_are_there():
+    """Against every way to fill the room; absent sizes and the room over the largest one stay empty."""
+    sizes, prices, room = np.array([3, 5, 8]), np.array([0.2, 0.4, 0.55]), 17
+    worth, pattern = packing._knapsack(sizes, prices, room)
+    ways = itertools.product(range(6), range(4), range(3))
+    best = max(float(np.dot(w, prices)) for w in ways if np.dot(w, sizes) <= room)
+    assert abs(worth - best) < 1e-9 and abs(pattern @ prices - best) < 1e-9 and pattern @ sizes <= room
+
+
 def test_text_slices_keep_every_row_in_bounded_runs():
     texts = ["é" * 10, None, "", "b" * 100, "c" * 15, "d" * 15, "e"]
     batch = pa.record_batch({"id": range(7), "text": pa.array(texts)}).slice(1)
