@@ -29,8 +29,12 @@ MAX_QUERY_ROWS = 8_192
 MAX_QUERY_BYTES = 64 * 1024 * 1024
 # Numbers held at once by one step of the comparison inside a task.
 _CELLS = 4_000_000
-# Documents of one shuffled block. A block of queries is smaller: its lists are held all the time.
-_BLOCK_BYTES = 64 * 1024 * 1024
+# Numbers of one step of the exact distances, and candidates offered at once: ties may make every pair one.
+_EXACT_CELLS = 1 << 20
+_CANDIDATES = 1 << 18
+# Documents of one shuffled block: a worker holds them and a few copies, whatever the table's size.
+_BLOCK_BYTES = 8 * 1024 * 1024
+# Queries of one shuffled block, whose lists are held all the time.
 _BLOCK_QUERIES = 8_192
 
 
@@ -82,8 +86,10 @@ class NearestRows(RunningTopK):
             in_part = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
             limit = np.minimum(limit, in_part + slack)
         qi, di = np.nonzero(rough <= (limit + slack)[:, None])
-        owner = active[qi]
-        self.offer(owner, self._exact_keys(docs, owner, di), ids[di])
+        for start in range(0, len(qi), _CANDIDATES):
+            part = slice(start, start + _CANDIDATES)
+            owner = active[qi[part]]
+            self.offer(owner, self._exact_keys(docs, owner, di[part]), ids[di[part]])
 
     def _rough_keys(self, docs: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keys by matrix product (smaller is nearer) and a bound of their error."""
@@ -113,7 +119,7 @@ class NearestRows(RunningTopK):
 
     def _exact_keys(self, docs: np.ndarray, owner: np.ndarray, di: np.ndarray) -> np.ndarray:
         keys = np.empty(len(owner))
-        step = max(1, _CELLS // docs.shape[1])
+        step = max(1, _EXACT_CELLS // docs.shape[1])
         for start in range(0, len(owner), step):
             part = slice(start, start + step)
             a, b = self.q[owner[part]], docs[di[part]].astype(np.float64)

@@ -53,6 +53,8 @@ MAX_CENTER_BYTES = 256 << 20
 CELLS = 1 << 22
 # Queries x lists up to which the probed lists are one table that every task holds.
 MAX_PROBE_CELLS = 1 << 26
+# Numbers of the query copies made at once, one copy for each probed list.
+_COPIED_CELLS = 1 << 20
 ITERATIONS = 10
 # Sums of the training are whole numbers of this size, so their order does not matter.
 _UNIT = 1 << 24
@@ -192,6 +194,19 @@ def extend_ivf(index: IvfIndex, changed: DataFrame, gone: DataFrame) -> IvfIndex
     return IvfIndex(index.centers, left.unionByName(new.select(index.docs.columns)), index.params, spec)
 
 
+def _copies(
+    batch: pa.RecordBatch, centers: np.ndarray, metric: DistanceStrategy, probes: int, names: list[str]
+) -> Iterator[pa.RecordBatch]:
+    """The queries of a batch, once for each probed list, in batches of bounded size."""
+    step = max(1, _COPIED_CELLS // (probes * max(1, centers.shape[1])))
+    for start in range(0, batch.num_rows, step):
+        part = batch.slice(start, step)
+        chosen = _nearest_lists(vectors_of(part.column(1)), centers, metric, probes)
+        copied = part.take(pa.array(np.repeat(np.arange(part.num_rows), chosen.shape[1])))
+        lists = pa.array(chosen.reshape(-1).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([*copied.columns, lists], names=names)
+
+
 def _with_lists(queries: DataFrame, index: IvfIndex, probes: int) -> DataFrame:
     """One row for each query and probed list, for query sets of any size."""
     metric = index.params.distance_strategy
@@ -200,13 +215,7 @@ def _with_lists(queries: DataFrame, index: IvfIndex, probes: int) -> DataFrame:
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            chosen = _nearest_lists(vectors_of(batch.column(1)), centers.value, metric, probes)
-            rows = np.repeat(np.arange(batch.num_rows), chosen.shape[1])
-            copied = batch.take(pa.array(rows))
-            lists = pa.array(chosen.reshape(-1).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*copied.columns, lists], names=schema.names)
+            yield from _copies(batch, centers.value, metric, probes, schema.names)
 
     return queries.mapInArrow(probe, schema)
 
