@@ -6,7 +6,7 @@ import ctypes
 import gc
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,18 @@ def give_back() -> None:
     store["trim"](0)
 
 
+def resting(step: Callable) -> Callable:
+    """A step over batches, after which the worker gives freed memory back: it may stand idle for the rest of the job."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def release_encoders() -> None:
     """Give back the word cache that a tokenising task left in this worker."""
     if worker_store().pop("encoders", None) is not None:

@@ -30,6 +30,7 @@ from .common import (
     chunk_home,
     mixed,
     release_encoders,
+    resting,
     shingle_hashes,
     stored,
     text_or_empty,
@@ -226,7 +227,6 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     made = _chunk(held.column(1), held.column(0).to_pylist(), chunk, bits, words)
                     yield from _batches(made, shape, 1 << 22)
                     chunk += 1
-        pa.default_memory_pool().release_unused()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[dict]:
@@ -242,9 +242,9 @@ def shared_shingles(docs: DataFrame, words: int = WORDS) -> DataFrame:
         yield from _batches((r for chunk, run in _runs(batches, "chunk") for r in _assembled(chunk, run)), out)
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    pieces = rows.mapInArrow(cut, _CUT).repartition(parts, "fragment").sortWithinPartitions("fragment")
-    counted = pieces.mapInArrow(count, _CUT).repartition(parts, "chunk").sortWithinPartitions("chunk")
-    return stored(counted.mapInArrow(assemble, _DOCS), "shared-shingles")
+    pieces = rows.mapInArrow(resting(cut), _CUT).repartition(parts, "fragment").sortWithinPartitions("fragment")
+    counted = pieces.mapInArrow(resting(count), _CUT).repartition(parts, "chunk").sortWithinPartitions("chunk")
+    return stored(counted.mapInArrow(resting(assemble), _DOCS), "shared-shingles")
 
 
 def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def _prefixes(sets: DataFrame) -> DataFrame:
                     "at": pa.array(at, pa.int64()),
                 })
 
-    return sets.select("row", "n", "shared", "values").mapInArrow(explode, "value long, row long, n long, shared long, at long")
+    return sets.select("row", "n", "shared", "values").mapInArrow(resting(explode), "value long, row long, n long, shared long, at long")
 
 
 def _possible(a: str, b: str) -> Column:
@@ -313,7 +313,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                         made["values"].append(values[piece == k].tobytes())
                 yield pa.RecordBatch.from_pydict(made, _schema("row long, n long, piece int, values binary"))
 
-    cut = _only(sets, wanted).select("row", "n", "values").mapInArrow(fragments, "row long, n long, piece int, values binary")
+    cut = _only(sets, wanted).select("row", "n", "values").mapInArrow(resting(fragments), "row long, n long, piece int, values binary")
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +324,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     x = cut.select(F.col("row").alias("a"), F.col("n").alias("na"), "piece", F.col("values").alias("x"))
     y = cut.select(F.col("row").alias("b"), F.col("n").alias("nb"), "piece", F.col("values").alias("y"))
     met = pairs.join(x, "a").join(y, ["b", "piece"]).select("a", "b", "na", "nb", "x", "y")
-    counted = met.mapInArrow(overlap, "a long, b long, na long, nb long, partial long")
+    counted = met.mapInArrow(resting(overlap), "a long, b long, na long, nb long, partial long")
     total = counted.groupBy("a", "b", "na", "nb").agg(F.sum("partial").alias("both"))
     return total.where(7 * F.col("both") >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
@@ -374,7 +374,7 @@ def _linked_to_groups(held: DataFrame, groups: DataFrame, sets: DataFrame) -> Da
                 yield pa.record_batch({k: pa.array(v, pa.int64()) for k, v in zip("ab", zip(*links))})
                 links = []
 
-    return dealt.mapInArrow(meet, "a long, b long")
+    return dealt.mapInArrow(resting(meet), "a long, b long")
 
 
 def components(nodes: DataFrame, links: DataFrame, key: str = "row") -> DataFrame:

@@ -11,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from rankweave.llm import packing
+from rankweave.llm import common, packing
 from rankweave.llm import spelling_variants as sv
 from rankweave.llm import tokens
 from rankweave.llm.common import text_slices
@@ -72,6 +72,15 @@ def test_a_resting_encoder_keeps_the_smaller_cache(monkeypatch):
     assert len(held.words) == 5 and held.encode(["a h z"]) == [held.whole("a h z")]
 
 
+def test_a_step_gives_memory_back_when_it_ends_or_fails(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    assert list(common.resting(lambda batches: (b + 1 for b in batches))([1, 2])) == [2, 3] and given == [1]
+    with pytest.raises(ZeroDivisionError):
+        list(common.resting(lambda batches: (1 // b for b in batches))([1, 0]))
+    assert given == [1, 1]
+
+
 def test_prices_meet_only_sizes_that_are_there():
     """Against every way to fill the room; absent sizes and the room over the largest one stay empty."""
     sizes, prices, room = np.array([3, 5, 8]), np.array([0.2, 0.4, 0.55]), 17
