@@ -10,12 +10,14 @@ fragment and summed per pair.
 Two documents link when |A and B| / |A or B| >= 3/4, which is 7 |A and B| >= 3
 (|A| + |B|). Groups of near copies are first joined to one of their members
 each; of the pairs left, only those between different groups are counted, so no
-link between groups is lost and a group's pairs are not all made.
+link between groups is lost and a group's pairs are not all made. Nor are the
+pairs of a long list of sets that do not link: its sets meet in blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,10 @@ MAX_ROWS = 2_000_000
 # larger ones meet a set in blocks of about so many members.
 MOST_PAIRED = 16
 BLOCK_SETS = 512
+# Sets of small groups up to which the pairs of a list are made one by one; those of
+# longer lists meet in blocks, of about so many values at most.
+MOST_LISTED = 64
+BLOCK_VALUES = 1 << 20
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -279,14 +285,16 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     return sets.select("row", "n", "shared", "values").mapInArrow(resting(explode), "value long, row long, n long, shared long, at long")
 
 
-def _possible(a: str, b: str) -> Column:
+def _possible(a: str, b: str, first: bool = False) -> Column:
     """Whether two sets that share the shingle at these places can overlap enough.
 
     At most the shingles before the nearer place, itself, and those after the
-    farther one in the shorter rest.
+    farther one in the shorter rest. With ``first`` it is the first one that both
+    have, so they share none before it; every pair that links has such a list.
     """
     x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
-    most = F.least(x("at"), y("at")) + 1 + F.least(x("shared") - x("at") - 1, y("shared") - y("at") - 1)
+    most = 1 + F.least(x("shared") - x("at") - 1, y("shared") - y("at") - 1)
+    most = most if first else F.least(x("at"), y("at")) + most
     return (7 * most >= 3 * (x("n") + y("n"))) & (4 * x("n") >= 3 * y("n")) & (4 * y("n") >= 3 * x("n"))
 
 
@@ -377,6 +385,97 @@ def _linked_to_groups(held: DataFrame, groups: DataFrame, sets: DataFrame) -> Da
     return dealt.mapInArrow(resting(meet), "a long, b long")
 
 
+def _with_partners(rows: DataFrame) -> DataFrame:
+    """The rows of lists whose set can reach a partner that it meets there first, with their list's size.
+
+    What it shares from the list's shingle on must be enough for the smallest set of the list.
+    """
+    least = rows.groupBy("value").agg(F.min("n").alias("least"))
+    need = 3 * (F.col("n") + F.greatest("least", F.ceil(3 * F.col("n") / 4)))
+    kept = rows.join(least, "value").where(7 * (F.col("shared") - F.col("at")) >= need).drop("least")
+    sizes = kept.groupBy("value").agg(F.count("*").alias("many"), F.sum("shared").alias("weight"))
+    return kept.join(sizes.where("many > 1"), "value")
+
+
+class _Block:
+    """Sets that others meet, by value; gives the links that join groups not joined so far."""
+
+    def __init__(self, rows: list[int], groups: list[int], sizes: list[int], sets: list[np.ndarray]):
+        self.rows, self.groups, self.sizes, self.sets = rows, np.array(groups, np.int64), np.array(sizes, np.int64), sets
+        values = np.concatenate(sets)
+        order = np.argsort(values, kind="stable")
+        self.docs = np.repeat(np.arange(len(sets)), [len(v) for v in sets])[order]
+        self.values, begins = np.unique(values[order], return_index=True)
+        self.begins = np.append(begins, len(values))
+
+    def links(self, row: int, group: int, n: int, own: np.ndarray) -> Iterator[tuple[int, int]]:
+        if (self.groups == group).all():
+            return
+        at = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
+        at = at[self.values[at] == own]
+        sizes = self.begins[at + 1] - self.begins[at]
+        take = np.arange(sizes.sum()) + np.repeat(self.begins[at] - np.cumsum(sizes) + sizes, sizes)
+        both = np.bincount(self.docs[take], minlength=len(self.rows))
+        good = np.flatnonzero(7 * both >= 3 * (self.sizes + n))
+        while len(good := good[self.groups[good] != group]):
+            yield row, self.rows[good[0]]
+            self.groups[self.groups == self.groups[good[0]]] = group
+
+    def own_links(self) -> Iterator[tuple[int, int]]:
+        for i, own in enumerate(self.sets):
+            yield from self.links(self.rows[i], self.groups[i], self.sizes[i], own)
+
+
+def _linked_in_lists(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the groups of sets in long lists, enough to join all groups that link there.
+
+    The sets of a list are dealt into blocks, each block meets itself and the
+    sets of half the others; pairs are not made as rows. Blocks grow with the
+    root of a list, up to BLOCK_VALUES, so that its sets are sent less often.
+    """
+    block_sets = F.greatest(F.lit(float(BLOCK_SETS)), 16 * F.sqrt("many"))
+    blocks = F.ceil(F.greatest(F.col("many") / block_sets, F.col("weight") / BLOCK_VALUES))
+    rows = rows.select("value", "row", "component", blocks.alias("blocks"))
+    members = rows.withColumn("block", F.pmod(F.xxhash64("row"), "blocks")).withColumn("asks", F.lit(0))
+    others = F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("blocks") / 2)))
+    asking = members.where("blocks > 1").withColumn("step", others)
+    asking = asking.withColumn("block", F.pmod(F.col("block") + F.col("step"), "blocks")).withColumn("asks", F.lit(1))
+    both = members.unionByName(asking.drop("step"))
+    held = _only(sets.select("row", "n", "values"), rows.select("row").distinct())
+    both = both.join(held, "row").select("value", "block", "asks", "row", "component", "n", "values")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(parts, "value", "block").sortWithinPartitions("value", "block", "asks", "row")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[int, int]]:
+            at, held, block = None, [], None
+            for batch in batches:
+                for a in range(0, batch.num_rows, 1024):
+                    part = batch.slice(a, 1024)
+                    for value, number, asks, row, component, n, raw in zip(*(c.to_pylist() for c in part.columns)):
+                        if (value, number) != at:
+                            if held:
+                                yield from _Block(*zip(*held)).own_links()
+                            at, held, block = (value, number), [], None
+                        own = np.frombuffer(raw, "<u8")
+                        if not asks:
+                            held.append((row, component, n, own))
+                            continue
+                        if held:
+                            block, held = _Block(*zip(*held)), []
+                            yield from block.own_links()
+                        if block:
+                            yield from block.links(row, component, n, own)
+            if held:
+                yield from _Block(*zip(*held)).own_links()
+
+        links = found()
+        while some := list(islice(links, 4096)):
+            yield pa.record_batch({k: pa.array(v, pa.int64()) for k, v in zip("ab", zip(*some))})
+
+    return dealt.mapInArrow(resting(meet), "a long, b long")
+
+
 def components(nodes: DataFrame, links: DataFrame, key: str = "row") -> DataFrame:
     """(row, component): the smallest row that links reach; each round also jumps over pointers."""
     both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -424,11 +523,13 @@ def ngram_join(docs: DataFrame, words: int = WORDS) -> DataFrame:
     held = lists.select("value", "row", "n", "shared", "at").join(groups.join(sizes, "component"), "row")
     several = held.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     held = stored(held.join(several.select("value"), "value"), "open-lists")
-    small = held.where(F.col("size") <= MOST_PAIRED)
-    across = small.alias("x").join(small.alias("y"), (F.col("x.value") == F.col("y.value"))
-                                   & (F.col("x.component") < F.col("y.component")) & _possible("x", "y"))
+    small = stored(_with_partners(held.where(F.col("size") <= MOST_PAIRED)), "small-groups")
+    short, long = small.where(F.col("many") <= MOST_LISTED), small.where(F.col("many") > MOST_LISTED)
+    across = short.alias("x").join(short.alias("y"), (F.col("x.value") == F.col("y.value"))
+                                   & (F.col("x.component") < F.col("y.component")) & _possible("x", "y", first=True))
     across = stored(across.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct(), "open-pairs")
-    found = stored(links.union(linked(across, sets)).union(_linked_to_groups(held, groups, sets)), "all-links")
+    found = links.union(linked(across, sets)).union(_linked_to_groups(held, groups, sets))
+    found = stored(found.union(_linked_in_lists(long, sets)), "all-links")
     groups = components(sets, found)
 
     named = same.join(groups.withColumnRenamed("row", "set_row"), "set_row").select("key", "n_shingles", "component")
