@@ -20,6 +20,8 @@ from rankweave.operators.dense import (
     collect_block,
     knn,
     merge_nearest,
+    rows_per_block,
+    scan_by_list,
     scan_in_blocks,
     scan_with_block,
     vectors_of,
@@ -55,6 +57,8 @@ CELLS = 1 << 22
 MAX_PROBE_CELLS = 1 << 26
 # Numbers of the query copies made at once, one copy for each probed list.
 _COPIED_CELLS = 1 << 20
+# Copies of a row, on average, up to which blocks of a list meet by copies of their rows.
+_FEW_COPIES = 4
 ITERATIONS = 10
 # Sums of the training are whole numbers of this size, so their order does not matter.
 _UNIT = 1 << 24
@@ -207,19 +211,54 @@ def _copies(
         yield pa.RecordBatch.from_arrays([*copied.columns, lists], names=names)
 
 
-def _with_lists(queries: DataFrame, index: IvfIndex, probes: int) -> DataFrame:
-    """One row for each query and probed list, for query sets of any size."""
+def _with_lists(queries: DataFrame, index: IvfIndex, probes: int, copied: bool) -> DataFrame:
+    """The queries with the lists they look into, for query sets of any size.
+
+    One row for each list (``list_id``) where they are ``copied``, else one row
+    for each query with an array (``lists``).
+    """
     metric = index.params.distance_strategy
     centers = queries.sparkSession.sparkContext.broadcast(index.centers)
-    schema = T.StructType([*queries.schema.fields, T.StructField("list_id", T.IntegerType())])
+    lists = T.StructField("list_id", T.IntegerType()) if copied else T.StructField("lists", T.ArrayType(T.IntegerType()))
+    schema = T.StructType([*queries.schema.fields, lists])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _copies(batch, centers.value, metric, probes, schema.names)
+            if copied:
+                yield from _copies(batch, centers.value, metric, probes, schema.names)
+            elif batch.num_rows:
+                chosen = _nearest_lists(vectors_of(batch.column(1)), centers.value, metric, probes)
+                ends = np.arange(0, chosen.size + 1, probes, dtype=np.int32)
+                arrays = pa.ListArray.from_arrays(ends, pa.array(chosen.reshape(-1).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, arrays], names=schema.names)
 
     return queries.mapInArrow(probe, schema)
 
 
+def _scan_lists(
+    vectors: DataFrame, queries: DataFrame, index: IvfIndex, k: int, probes: int, products: bool
+) -> DataFrame:
+    """k nearest documents in the probed lists, for query sets of any size.
+
+    Where the blocks of a list can meet by few copies of their rows they do;
+    else blocks of all lists meet, which needs no copies.
+    """
+    metric = index.params.distance_strategy
+    asked = _with_lists(queries, index, probes, copied=False)
+    held, looked = (
+        {r["list_id"]: r["count"] for r in rows.groupBy("list_id").count().collect()}
+        for rows in (vectors, asked.select(F.explode("lists").alias("list_id")))
+    )
+    per_block, queries_per_block = rows_per_block(vectors)
+    copies = sum(
+        looked[i] * -(-held[i] // per_block) + held[i] * -(-looked[i] // queries_per_block) for i in held if i in looked
+    )
+    if copies <= _FEW_COPIES * (sum(held.values()) + sum(looked.values()) // probes):
+        copied = _with_lists(queries, index, probes, copied=True)
+        return scan_by_list(vectors, copied, k, metric, held, looked, products)
+    return scan_in_blocks(vectors, asked, k, metric, products=products, held=held)
+
+
 def ivf_search(
     index: IvfIndex,
     queries: DataFrame,
@@ -228,12 +267,17 @@ def ivf_search(
     filter: Filter | Column | None = None,
     iterative_scan: IterativeScanMode = IterativeScanMode.OFF,
     max_broadcast_rows: int = MAX_QUERY_ROWS,
+    products: bool = False,
 ) -> DataFrame:
     """The k nearest documents found in the ``probes`` nearest lists.
 
     With an iterative scan, queries that got fewer than k rows are searched
     again in all lists, so a selective filter does not shorten the result.
+    ``products`` adds the column ``product``, the inner product of each row
+    found, as a search without an iterative scan has it at hand.
     """
+    if products and iterative_scan is not IterativeScanMode.OFF:
+        raise ValueError("products are of a search without an iterative scan")
     metric, spec = index.params.distance_strategy, index.spec
     probes = min(max(1, probes), len(index.centers))
     docs = apply_filter(index.docs, filter, spec.metadata)
@@ -243,8 +287,7 @@ def ivf_search(
     )
     block = collect_block(wanted, max_rows=max_broadcast_rows)
     if block is None or len(block.ids) * len(index.centers) > MAX_PROBE_CELLS:
-        probed = _with_lists(wanted, index, probes)
-        lists = scan_in_blocks(vectors, probed, k, metric)
+        lists = _scan_lists(vectors, wanted, index, k, probes, products)
     else:
         table = np.zeros((len(block.ids), len(index.centers)), dtype=bool)
         if len(block.ids):
@@ -253,7 +296,7 @@ def ivf_search(
         # Partitions of lists that no query looks into are not read.
         used = np.flatnonzero(table.any(axis=0)).tolist()
         vectors = vectors.where(F.col("list_id").isin(used))
-        lists = scan_with_block(vectors, block, wanted, k, metric, probes=table)
+        lists = scan_with_block(vectors, block, wanted, k, metric, probes=table, products=products)
     found = merge_nearest(lists, k, metric)
     if iterative_scan is IterativeScanMode.OFF or probes == len(index.centers):
         return found

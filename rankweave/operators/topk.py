@@ -35,7 +35,8 @@ class RunningTopK:
     """The k rows with the smallest (key, id) of each query, seen so far.
 
     ``bound`` is the key of a query's k-th row: a row above it need not be
-    offered. Queries are numbers from 0.
+    offered. Queries are numbers from 0. ``extra`` is one more number of a row
+    that goes with it, NaN where none was offered.
     """
 
     def __init__(self, queries: int, k: int) -> None:
@@ -43,11 +44,13 @@ class RunningTopK:
         self.bound = np.full(queries, np.inf)
         self.owner = np.empty(0, dtype=np.int64)
         self.key = np.empty(0, dtype=np.float64)
+        self.extra = np.empty(0, dtype=np.float64)
         self.ids: np.ndarray | None = None
 
-    def offer(self, owner: np.ndarray, key: np.ndarray, ids: np.ndarray) -> None:
+    def offer(self, owner: np.ndarray, key: np.ndarray, ids: np.ndarray, extra: np.ndarray | None = None) -> None:
         if len(owner) == 0:
             return
+        extra = np.full(len(owner), np.nan) if extra is None else extra
         rest = np.zeros(len(self.owner), dtype=bool)
         if self.ids is not None:
             # Lists that get no row stay as they are.
@@ -58,19 +61,21 @@ class RunningTopK:
             owner = np.concatenate([self.owner[old], owner])
             key = np.concatenate([self.key[old], key])
             ids = np.concatenate([self.ids[old], ids])
+            extra = np.concatenate([self.extra[old], extra])
         _, id_order = np.unique(ids, return_inverse=True)
         order = np.lexsort((id_order, key, owner))
-        owner, key, ids = owner[order], key[order], ids[order]
+        owner, key, ids, extra = owner[order], key[order], ids[order], extra[order]
         place = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left")
         keep = place < self.k
         full = place == self.k - 1
         self.bound[owner[full]] = key[full]
-        owner, key, ids = owner[keep], key[keep], ids[keep]
+        owner, key, ids, extra = owner[keep], key[keep], ids[keep], extra[keep]
         if rest.any():
             owner = np.concatenate([self.owner[rest], owner])
             key = np.concatenate([self.key[rest], key])
             ids = np.concatenate([self.ids[rest], ids])
-        self.owner, self.key, self.ids = owner, key, ids
+            extra = np.concatenate([self.extra[rest], extra])
+        self.owner, self.key, self.ids, self.extra = owner, key, ids, extra
 
     def batch(self, query_ids: pa.Array, id_type: pa.DataType, values: np.ndarray, group: int) -> pa.RecordBatch:
         """The kept rows as (query_id, id, value, merge_group); NaN becomes NULL."""
@@ -107,8 +112,11 @@ def merge_lists(lists: DataFrame, k: int, value: Column) -> DataFrame:
     """One ranked list a query out of the lists of all tasks, in two levels.
 
     The first level is keyed by query and task group, so that a search with
-    few queries over very many tasks does not end in a few large sorts.
+    few queries over very many tasks does not end in a few large sorts. Lists
+    without the column merge_group are few a query and are merged at once.
     """
     order = [value, F.asc("id")]
+    if "merge_group" not in lists.columns:
+        return top_per_query(lists, k, order)
     first = top_per_query(lists, k, order, by=["query_id", "merge_group"])
     return top_per_query(first.drop("merge_group", "rank"), k, order)
