@@ -25,6 +25,8 @@ class AugmentedIndex:
     lists: IvfIndex
     longest: float
     docs: DataFrame
+    #: No id is null or of two documents.
+    distinct: bool
 
 
 def _doubles(column: str) -> Column:
@@ -35,6 +37,11 @@ def _square(column: Column) -> Column:
     return F.aggregate(column, F.lit(0.0), lambda acc, x: acc + x * x)
 
 
+def _distinct(rows: DataFrame, key: str) -> bool:
+    """True when no value of the column is null or comes twice."""
+    return rows.groupBy(key).count().where(F.col(key).isNull() | (F.col("count") > 1)).isEmpty()
+
+
 def build_augmented_ivf(
     docs: DataFrame, lists: int = 100, spec: CollectionSpec = CollectionSpec(), seed: int = 42
 ) -> AugmentedIndex:
@@ -48,7 +55,7 @@ def build_augmented_ivf(
     extra = F.sqrt(F.greatest(F.lit(longest * longest) - _square(F.col(spec.embedding)), F.lit(0.0)))
     augmented = usable.withColumn(spec.embedding, F.concat(F.col(spec.embedding), F.array(extra)))
     index = build_ivf(augmented, IvfParams(lists=lists, distance_strategy=DistanceStrategy.EUCLIDEAN, seed=seed), spec)
-    return AugmentedIndex(index, float(longest), usable.select(spec.id, spec.embedding))
+    return AugmentedIndex(index, float(longest), usable.select(spec.id, spec.embedding), _distinct(usable, spec.id))
 
 
 def augmented_search(index: AugmentedIndex, queries: DataFrame, k: int = DEFAULT_K, probes: int = 1) -> DataFrame:
@@ -62,10 +69,14 @@ def augmented_search(index: AugmentedIndex, queries: DataFrame, k: int = DEFAULT
         F.col("query_embedding").isNotNull()
     )
     padded = asked.withColumn("query_embedding", F.concat("query_embedding", F.array(F.lit(0.0))))
-    found = ivf_search(index.lists, padded, k, probes=probes).select("query_id", "id")
-    vectors = index.docs.select(F.col(spec.id).alias("id"), F.col(spec.embedding).alias("v"))
-    scored = found.join(asked, "query_id").join(vectors, "id")
-    product = F.aggregate(F.zip_with("query_embedding", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    scored = scored.select("query_id", "id", product.alias("distance"))
+    found = ivf_search(index.lists, padded, k, probes=probes, products=True)
+    if index.distinct and _distinct(asked, "query_id"):
+        scored = found.select("query_id", "id", F.col("product").alias("distance"))
+    else:
+        # An id of several rows stands for all of them.
+        vectors = index.docs.select(F.col(spec.id).alias("id"), F.col(spec.embedding).alias("v"))
+        scored = found.select("query_id", "id").join(asked, "query_id").join(vectors, "id")
+        product = F.aggregate(F.zip_with("query_embedding", "v", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+        scored = scored.select("query_id", "id", product.alias("distance"))
     order = Window.partitionBy("query_id").orderBy(F.desc("distance"), "id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

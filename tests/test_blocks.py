@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankweave.operators import dense, ivf
 from rankweave.operators.dense import NearestRows, scan_in_blocks
 from rankweave.operators.ivf import build_ivf, ivf_search
+from rankweave.operators.mips import augmented_search, build_augmented_ivf
 from rankweave.spec import CollectionSpec, DistanceStrategy, IvfParams
 
 VECTORS = CollectionSpec(id="vec_id", metadata=None)
@@ -92,3 +93,28 @@ def test_small_tiles_and_steps_give_the_same_rows(monkeypatch):
     for name, value in (("_CELLS", 160), ("_STEP", 4), ("_TILE", 12), ("_CANDIDATES", 5)):
         monkeypatch.setattr(dense, name, value)
     assert [run(metric) for metric in DistanceStrategy] == want
+
+
+def test_products_of_found_rows_need_no_join(spark):
+    docs = stored(spark, np.random.default_rng(8).normal(size=(60, 8)) * np.arange(1, 61)[:, None])
+    index = build_augmented_ivf(docs, 4, VECTORS)
+    found = augmented_search(index, asking(docs), 5, 4)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    held = {r["vec_id"]: r["embedding"] for r in docs.collect()}
+    for r in found.collect():
+        total = 0.0
+        for a, b in zip(held[r["query_id"]], held[r["id"]]):
+            total += a * b
+        assert r["distance"] == total
+
+
+def test_an_id_of_two_rows_stands_for_both(spark):
+    """Each found pair meets every row of its ids, as a join of the ids gives it."""
+    vectors = np.random.default_rng(9).normal(size=(12, 4))
+    docs = stored(spark, vectors, [*range(10), 0, 1])
+    index = build_augmented_ivf(docs, 2, VECTORS)
+    found = augmented_search(index, asking(docs).where("query_id = 3"), 12, 2).collect()
+    ids, exact = [*range(10), 0, 1], np.float32(vectors).astype(float)
+    pairs = [(-float(exact[j] @ exact[3]), ids[j]) for i in range(12) for j in range(12) if ids[i] == ids[j]]
+    want = [(r + 1, doc, round(-key, 9)) for r, (key, doc) in enumerate(sorted(pairs)[:12])]
+    assert sorted((r["rank"], r["id"], round(r["distance"], 9)) for r in found) == want
